@@ -14,10 +14,10 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelforge.functions.jsonx import json_kind, parse_doc
+from funnelforge.functions.jsonx import json_kind, with_doc
 
 # ---------------------------------------------------------------------------
 # The v1 product-event contract (must equal the published one).
@@ -148,10 +148,48 @@ def compile_contract(schema: dict, doc: Column, raw: Column | None = None) -> li
     return rules
 
 
-def violations(raw: Column | str, schema: dict | None = None) -> Column:
-    """array<string> of violated rule codes, in validator order (empty = valid)."""
+def violations(doc: Column | str, raw: Column | str | None = None,
+               schema: dict | None = None) -> Column:
+    """array<string> of violated rule codes, in validator order (empty = valid).
+
+    ``doc`` is the parsed VARIANT column (see ``jsonx.with_doc``), ``raw`` the
+    original text (used for the top-level key list).
+    """
+    doc = F.col(doc) if isinstance(doc, str) else doc
     raw = F.col(raw) if isinstance(raw, str) else raw
-    doc = parse_doc(raw)
     rules = compile_contract(schema or PRODUCT_EVENT_V1, doc, raw)
     codes = F.array(*[F.when(r.violated, F.lit(r.code)) for r in rules])
     return F.filter(codes, lambda c: c.isNotNull())
+
+
+def validate(df: DataFrame, raw_col: str = "raw_json", schema: dict | None = None) -> DataFrame:
+    """K-8 input: ``df`` plus ``violations`` (array) and ``failure_reason`` (first
+    code, at most 200 characters; NULL when the document is valid)."""
+    v = with_doc(df, raw_col)
+    v = v.withColumn("violations", violations("_doc", raw_col, schema))
+    return (v.withColumn("failure_reason", F.substring(F.get(F.col("violations"), 0), 1, 200))
+            .drop("_doc"))
+
+
+def contract_report(validated: DataFrame) -> DataFrame:
+    """K-9: valid count, dead-letter count and dead-letter share (percent, 3
+    decimals) of validated documents – one aggregation pass."""
+    from funnelforge.functions.semantics import round_half_away
+    bad = F.size("violations") > 0
+    return validated.agg(
+        F.count_if(~bad).alias("valid_count"),
+        F.count_if(bad).alias("dead_letter_count"),
+        round_half_away(F.count_if(bad) * F.lit(100.0) / F.count(F.lit(1)), 3).alias("dead_letter_pct"))
+
+
+def contract_samples(validated: DataFrame, n: int = 3, order_by: str = "raw_json") -> DataFrame:
+    """K-9: ``n`` sample violations (event id text, first reason truncated to 90
+    characters) – a top-n, so only ``n`` rows per task reach the driver."""
+    return (validated.filter(F.size("violations") > 0)
+            .select(F.get_json_object("raw_json", "$.event_id").alias("event_id"),
+                    F.substring("failure_reason", 1, 90).alias("failure_reason"), order_by)
+            .orderBy(order_by).limit(n).drop(order_by) if order_by != "raw_json" else
+            validated.filter(F.size("violations") > 0)
+            .select(F.get_json_object("raw_json", "$.event_id").alias("event_id"),
+                    F.substring("failure_reason", 1, 90).alias("failure_reason"), "raw_json")
+            .orderBy("raw_json").limit(n).drop("raw_json"))

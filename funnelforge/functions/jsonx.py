@@ -9,7 +9,7 @@ kind of a top-level key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,18 @@ def parse_doc(raw: Column | str) -> Column:
     return F.try_parse_json(raw)
 
 
+def with_doc(df: DataFrame, raw_col: str = "raw_json", out: str = "_doc") -> DataFrame:
+    """Add the parsed VARIANT of ``raw_col`` as column ``out``, parsed exactly once.
+
+    A plain ``select(parse(raw) AS _doc)`` is not enough: the optimizer pushes
+    later filters below that projection and substitutes ``_doc`` by its
+    definition, so every predicate term re-parses the document (measured: 4x
+    slower staging).  Emitting the value through a one-element generator makes
+    it an attribute the optimizer cannot inline; predicates stay above it.
+    """
+    return df.select("*", F.explode(F.array(parse_doc(F.col(raw_col)))).alias(out))
+
+
 def json_text(doc: Column, path: str, raw: Column | None = None) -> Column:
     """``doc ->> path``: strings unquoted, numbers / booleans as text, objects as
     JSON text, JSON null and absent keys as NULL."""

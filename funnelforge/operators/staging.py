@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from funnelforge.functions.jsonx import json_kind, json_text, parse_doc
+from funnelforge.functions.jsonx import json_kind, json_text, with_doc
 from funnelforge.functions.semantics import (
     cents_to_usd, epoch_to_ts, first_element, hours_between, month_start,
     try_int_rounded, try_timestamp,
@@ -46,7 +46,7 @@ def parse_events(events_raw: DataFrame, keep_raw: bool = True) -> DataFrame:
     """
     raw = F.col("raw_json")
     doc = F.col("_doc")
-    staged = events_raw.select("raw_json", "_loaded_at", parse_doc(raw).alias("_doc"))
+    staged = with_doc(events_raw.select("raw_json", "_loaded_at"))
     cols: list[Column] = []
     for name, path in EVENT_FIELDS:
         text = json_text(doc, path, raw)

@@ -230,3 +230,62 @@ def with_ctes(final_select: str, extra: dict[str, str] | None = None) -> str:
     if not parts:
         return final_select.strip()
     return "WITH " + ",\n".join(parts) + "\n" + final_select.strip()
+
+
+# ---------------------------------------------------------------------------
+# Contract rules in warehouse SQL (generated from the same contract document
+# the Spark compiler reads; the two compilers are independent).
+# ---------------------------------------------------------------------------
+def _sql_lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def contract_violations_sql(schema: dict, raw: str = "raw_json") -> str:
+    """SQL list expression of violated rule codes in validator order."""
+    def kind(path: str | None) -> str:
+        t = f"json_type({raw})" if path is None else f"json_type({raw}, '{path}')"
+        return (f"(CASE WHEN {t} IS NULL THEN NULL WHEN {t} = 'VARCHAR' THEN 'string' "
+                f"WHEN {t} = 'NULL' THEN 'null' WHEN {t} = 'BOOLEAN' THEN 'boolean' "
+                f"WHEN {t} = 'OBJECT' THEN 'object' WHEN {t} = 'ARRAY' THEN 'array' ELSE 'number' END)")
+
+    def has(k: str) -> str:
+        return f"(json_type({raw}, '$.{k}') IS NOT NULL)"
+
+    def types(spec) -> list[str]:
+        t = spec.get("type")
+        return [] if t is None else ([t] if isinstance(t, str) else list(t))
+
+    is_obj = f"({kind(None)} = 'object')"
+    rules: list[tuple[str, str]] = []
+    top = types(schema)
+    if top:
+        rules.append(("not_json", "FALSE"))
+        rules.append(("type", f"NOT ({kind(None)} IN ({', '.join(_sql_lit(t) for t in top)}))"))
+    for k in schema.get("required", []):
+        rules.append((f"required:{k}", f"{is_obj} AND NOT {has(k)}"))
+    for k, spec in schema.get("properties", {}).items():
+        kk = kind(f"$.{k}")
+        allowed = types(spec)
+        if allowed:
+            rules.append((f"type:{k}", f"{is_obj} AND {has(k)} AND NOT ({kk} IN ({', '.join(_sql_lit(t) for t in allowed)}))"))
+        if "pattern" in spec:
+            rules.append((f"pattern:{k}", f"{is_obj} AND {kk} = 'string' AND NOT regexp_matches({raw} ->> '$.{k}', {_sql_lit(spec['pattern'])})"))
+        if "enum" in spec:
+            vals = [v for v in spec["enum"] if v is not None]
+            ok = f"({kk} = 'string' AND ({raw} ->> '$.{k}') IN ({', '.join(_sql_lit(v) for v in vals)}))"
+            if None in spec["enum"]:
+                ok = f"({ok} OR {kk} = 'null')"
+            rules.append((f"enum:{k}", f"{is_obj} AND {has(k)} AND NOT {ok}"))
+    if schema.get("anyOf"):
+        branches = []
+        for sub in schema["anyOf"]:
+            req = sub.get("required", [])
+            branches.append("(" + " AND ".join(has(k) for k in req) + ")" if req else "TRUE")
+        code = "anyOf:" + "|".join("+".join(s.get("required", [])) for s in schema["anyOf"])
+        rules.append((code, f"{is_obj} AND NOT ({' OR '.join(branches)})"))
+    if schema.get("additionalProperties") is False:
+        known = "[" + ", ".join(_sql_lit(k) for k in schema.get("properties", {})) + "]"
+        rules.append(("additional_properties",
+                      f"{is_obj} AND len(list_filter(json_keys({raw}), lambda x: NOT list_contains({known}, x))) > 0"))
+    items = ", ".join(f"CASE WHEN {cond} THEN {_sql_lit(code)} END" for code, cond in rules)
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"

@@ -23,6 +23,7 @@ No row is dropped: every source row yields at least one raw row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SPARK = "spark"
 DUCK = "duckdb"
@@ -294,7 +295,10 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if cols:
         df = df.select(*cols)
     if dup_cond:
-        df = df.selectExpr("*", f"{_copies(SPARK, dup_cond)} AS copy_no")
+        # every row once, plus a second copy of the rows that are re-delivered;
+        # a union (not a generator) keeps the generated code per stage small
+        df = (df.withColumn("copy_no", F.lit(0))
+              .unionByName(df.filter(F.expr(dup_cond)).withColumn("copy_no", F.lit(1))))
     out = [f"{e} AS {a}" for a, e in exprs(SPARK)]
     if name != "events_raw":
         out.append(f"{_ts_lit(SPARK, LOADED_AT)} AS _loaded_at")
