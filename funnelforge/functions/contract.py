@@ -82,45 +82,70 @@ def _java_pattern(p: str) -> str:
     return "(?U)" + p
 
 
-def compile_contract(schema: dict, doc: Column, raw: Column | None = None) -> list[Rule]:
-    """Compile the contract keywords into ordered rules over a parsed document."""
-    rules: list[Rule] = []
-    is_obj = json_kind(doc) == "object"
-    present: dict[str, Column] = {}
-    kinds: dict[str, Column] = {}
+def contract_keys(schema: dict) -> list[str]:
+    """Top-level keys whose kind / text the rules need."""
+    keys = list(schema.get("required", [])) + list(schema.get("properties", {}))
+    for sub in schema.get("anyOf", []) or []:
+        keys += sub.get("required", [])
+    return list(dict.fromkeys(keys))
+
+
+def _kind_col(key: str | None) -> str:
+    return "_kind" if key is None else f"_kind_{key}"
+
+
+def _text_col(key: str) -> str:
+    return f"_text_{key}"
 
-    def kind_of(key: str) -> Column:
-        if key not in kinds:
-            kinds[key] = json_kind(doc, f"$.{key}")
-        return kinds[key]
+
+def with_contract_inputs(df: DataFrame, schema: dict, doc: str = "_doc") -> DataFrame:
+    """Extract, once per document, the JSON kind of the document and of every
+    key the rules look at (and the text of keys with pattern / enum rules).
+
+    The rules then compare plain columns; nothing is re-extracted per rule.
+    """
+    d = F.col(doc)
+    cols = [json_kind(d).alias(_kind_col(None))]
+    props = schema.get("properties", {})
+    for k in contract_keys(schema):
+        cols.append(json_kind(d, f"$.{k}").alias(_kind_col(k)))
+        spec = props.get(k, {})
+        if "pattern" in spec or "enum" in spec:
+            cols.append(F.try_variant_get(d, f"$.{k}", "string").alias(_text_col(k)))
+    return df.select("*", *cols)
+
+
+def compile_contract(schema: dict, raw: Column | None = None) -> list[Rule]:
+    """Compile the contract keywords into ordered rules over the columns made
+    by ``with_contract_inputs``."""
+    rules: list[Rule] = []
+    kind = F.col(_kind_col(None))
+    is_obj = kind == "object"
 
     def has(key: str) -> Column:
-        if key not in present:
-            present[key] = kind_of(key).isNotNull()
-        return present[key]
+        return F.col(_kind_col(key)).isNotNull()
 
     top = _types(schema)
     if top:
         # an unparseable document is reported as such, not as a type error
-        rules.append(Rule("not_json", doc.isNull()))
-        rules.append(Rule("type", doc.isNotNull() & ~_kind_ok(json_kind(doc), top)))
+        rules.append(Rule("not_json", kind.isNull()))
+        rules.append(Rule("type", kind.isNotNull() & ~_kind_ok(kind, top)))
 
     for key in schema.get("required", []):
         rules.append(Rule(f"required:{key}", is_obj & ~has(key)))
 
     for key, spec in schema.get("properties", {}).items():
-        k = kind_of(key)
+        k = F.col(_kind_col(key))
         allowed = _types(spec)
         if allowed:
             rules.append(Rule(f"type:{key}", is_obj & has(key) & ~_kind_ok(k, allowed)))
         if "pattern" in spec:
-            txt = F.try_variant_get(doc, f"$.{key}", "string")
+            txt = F.col(_text_col(key))
             rules.append(Rule(f"pattern:{key}",
                               is_obj & (k == "string") & ~txt.rlike(_java_pattern(spec["pattern"]))))
         if "enum" in spec:
             values = [v for v in spec["enum"] if v is not None]
-            txt = F.try_variant_get(doc, f"$.{key}", "string")
-            ok = (k == "string") & txt.isin(values)
+            ok = (k == "string") & F.col(_text_col(key)).isin(values)
             if None in spec["enum"]:
                 ok = ok | (k == "null")
             rules.append(Rule(f"enum:{key}", is_obj & has(key) & ~ok))
@@ -129,9 +154,8 @@ def compile_contract(schema: dict, doc: Column, raw: Column | None = None) -> li
     if any_of:
         branches = []
         for sub in any_of:
-            req = sub.get("required", [])
             cond = F.lit(True)
-            for key in req:
+            for key in sub.get("required", []):
                 cond = cond & has(key)
             branches.append(cond)
         satisfied = branches[0]
@@ -141,34 +165,37 @@ def compile_contract(schema: dict, doc: Column, raw: Column | None = None) -> li
                           is_obj & ~satisfied))
 
     if schema.get("additionalProperties") is False:
+        if raw is None:
+            raise ValueError("additionalProperties needs the raw document text")
         known = F.array(*[F.lit(k) for k in schema.get("properties", {})])
-        keys = F.json_object_keys(F.to_json(doc)) if raw is None else F.json_object_keys(raw)
         rules.append(Rule("additional_properties",
-                          is_obj & (F.size(F.array_except(keys, known)) > 0)))
+                          is_obj & (F.size(F.array_except(F.json_object_keys(raw), known)) > 0)))
     return rules
 
 
-def violations(doc: Column | str, raw: Column | str | None = None,
-               schema: dict | None = None) -> Column:
+def violations(raw: Column | str, schema: dict | None = None) -> Column:
     """array<string> of violated rule codes, in validator order (empty = valid).
 
-    ``doc`` is the parsed VARIANT column (see ``jsonx.with_doc``), ``raw`` the
-    original text (used for the top-level key list).
+    Expects the columns of ``with_contract_inputs``.  Built as a concatenation
+    of zero-or-one element arrays (no higher-order function, so the whole
+    projection stays in generated code).
     """
-    doc = F.col(doc) if isinstance(doc, str) else doc
     raw = F.col(raw) if isinstance(raw, str) else raw
-    rules = compile_contract(schema or PRODUCT_EVENT_V1, doc, raw)
-    codes = F.array(*[F.when(r.violated, F.lit(r.code)) for r in rules])
-    return F.filter(codes, lambda c: c.isNotNull())
+    rules = compile_contract(schema or PRODUCT_EVENT_V1, raw)
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(F.coalesce(r.violated, F.lit(False)), F.array(F.lit(r.code)))
+                      .otherwise(none) for r in rules])
 
 
 def validate(df: DataFrame, raw_col: str = "raw_json", schema: dict | None = None) -> DataFrame:
     """K-8 input: ``df`` plus ``violations`` (array) and ``failure_reason`` (first
     code, at most 200 characters; NULL when the document is valid)."""
-    v = with_doc(df, raw_col)
-    v = v.withColumn("violations", violations("_doc", raw_col, schema))
+    schema = schema or PRODUCT_EVENT_V1
+    inputs = with_contract_inputs(with_doc(df, raw_col), schema)
+    helper = [c for c in inputs.columns if c.startswith("_kind") or c.startswith("_text_")]
+    v = inputs.withColumn("violations", violations(raw_col, schema))
     return (v.withColumn("failure_reason", F.substring(F.get(F.col("violations"), 0), 1, 200))
-            .drop("_doc"))
+            .drop("_doc", *helper))
 
 
 def contract_report(validated: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from funnelforge.functions.contract import EVENT_NAMES, PRODUCT_EVENT_V1, contract_report, validate, violations
+from funnelforge.functions.contract import EVENT_NAMES, PRODUCT_EVENT_V1, contract_report, validate
 from funnelforge.functions.jsonx import with_doc
 from funnelforge.operators import identity, incremental, marts, quality, staging
 from funnelforge.plans.catalog import _wh, register
@@ -81,11 +81,10 @@ FROM (SELECT raw_json ->> '$.event_id' AS event_id, {_VIOL} AS v FROM events_raw
 WHERE len(v) > 0""")
 def k1_contract_violations(spark, sf_dir):
     """K-1..K-8: documents breaking the wire contract, first reason + count."""
-    raw = testdata.raw_table(spark, sf_dir, "events_raw")
-    d = with_doc(raw).withColumn("v", violations("_doc", "raw_json"))
-    return d.filter(F.size("v") > 0).select(
-        F.try_variant_get("_doc", "$.event_id", "string").alias("event_id"),
-        F.get("v", 0).alias("failure_reason"), F.size("v").cast("bigint").alias("n_violations"))
+    v = validate(testdata.raw_table(spark, sf_dir, "events_raw"))
+    return v.filter(F.size("violations") > 0).select(
+        F.get_json_object("raw_json", "$.event_id").alias("event_id"),
+        "failure_reason", F.size("violations").cast("bigint").alias("n_violations"))
 
 
 @register("k9_contract_report", f"""
