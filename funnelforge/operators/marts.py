@@ -154,7 +154,7 @@ def fct_ndr(ledger: DataFrame) -> DataFrame:
         round_half_away("_base", 2).alias("base_mrr"),
         round_half_away("_ret", 2).alias("retained_mrr"),
         round_half_away(safe_div("_ret", "_base"), 4).alias("ndr"),
-        "churned_accounts")
+        "churned_accounts").orderBy("invoice_month")
 
 
 def account_revenue(ledger: DataFrame) -> DataFrame:

@@ -82,6 +82,20 @@ def mobile_events_share(fct: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("device_type").isin(MOBILE_DEVICES), 1).otherwise(0)), 3).alias("mobile_share"))
 
 
+DEFAULT_ROW_CAP = 1000
+
+
+def cap_rows(df: DataFrame, n: int = DEFAULT_ROW_CAP) -> DataFrame:
+    """T-4: cap an interactive answer at ``n`` rows (the feature is the cap);
+    Spark stops reading once ``n`` rows are produced."""
+    return df.limit(n)
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """T-5: a few rows of a model for a human to look at."""
+    return df.limit(n)
+
+
 GOLDEN = {
     "g1_mrr_last_month": lambda w: mrr_last_month(w.fct_mrr_monthly),
     "g2_ndr_latest": lambda w: ndr_latest(w.fct_ndr),
