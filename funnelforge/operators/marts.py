@@ -136,20 +136,23 @@ def fct_ndr(ledger: DataFrame) -> DataFrame:
            .withColumn("_next_month", F.lead("invoice_month").over(w))
            .withColumn("_next_mrr", F.lead("mrr").over(w)))
     target = F.col("invoice_month") + F.expr("INTERVAL 1 MONTH")
-    cohort = nxt.select(
-        target.alias("invoice_month"),
-        F.col("mrr").alias("base_mrr"),
-        # a NULL account never equals itself in the published join: no retention
-        F.when(F.col("account_id").isNotNull() & (F.col("_next_month") == target), F.col("_next_mrr"))
-        .otherwise(F.lit(0.0)).alias("retained_mrr"))
-    agg = cohort.groupBy("invoice_month").agg(
-        F.count(F.lit(1)).alias("base_accounts"),
+    # a base row counts toward month t+1; a NULL account never equals itself in
+    # the published join, so it is never retained
+    retained = (F.when(F.col("account_id").isNotNull() & (F.col("_next_month") == target), F.col("_next_mrr"))
+                .otherwise(F.lit(0.0)))
+    base = nxt.select(target.alias("invoice_month"), F.col("mrr").alias("base_mrr"),
+                      retained.alias("retained_mrr"), F.lit(True).alias("_is_base"))
+    # marker rows: which months have revenue at all (same windowed input, so the
+    # shuffle below is shared and the ledger is computed once)
+    present = nxt.select("invoice_month", F.lit(None).cast("double").alias("base_mrr"),
+                         F.lit(None).cast("double").alias("retained_mrr"), F.lit(False).alias("_is_base"))
+    agg = base.unionByName(present).groupBy("invoice_month").agg(
+        F.count_if(F.col("_is_base")).alias("base_accounts"),
         F.sum("base_mrr").alias("_base"),
         F.sum("retained_mrr").alias("_ret"),
-        F.count_if(F.col("retained_mrr") == 0).alias("churned_accounts"))
-    # months that actually have revenue: bounded by the calendar span, tiny
-    months = ledger.select("invoice_month").distinct()
-    return agg.join(months, "invoice_month", "inner").select(
+        F.count_if(F.col("_is_base") & (F.col("retained_mrr") == 0)).alias("churned_accounts"),
+        F.max(~F.col("_is_base")).alias("_present"))
+    return agg.filter(F.col("_present") & (F.col("base_accounts") > 0)).select(
         "invoice_month", "base_accounts",
         round_half_away("_base", 2).alias("base_mrr"),
         round_half_away("_ret", 2).alias("retained_mrr"),

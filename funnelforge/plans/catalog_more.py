@@ -174,7 +174,7 @@ def _check_sql(c: quality.Check) -> str:
           + " UNION ALL ".join(_check_sql(c) for c in quality.DECLARED_CHECKS) + ") r")
 def q5_dq_report(spark, sf_dir):
     """Q-5: all 21 declared tests of the warehouse as one result table."""
-    return quality.dq_report(_wh(spark, sf_dir))
+    return quality.dq_report(_wh(spark, sf_dir, materialize="all"))
 
 
 @register("q6_result_equivalence", """

@@ -1,8 +1,8 @@
 """Golden business questions (G-1..G-15) over the five gold tables.
 
 Each function takes the gold DataFrames it needs and returns a small result
-DataFrame.  "Last month" means ``max(invoice_month)``, evaluated as a scalar
-subquery (``DataFrame.scalar()``) so that it stays inside one Spark plan.
+DataFrame.  "Last month" means ``max(invoice_month)``; it is taken from the per-month
+aggregate (one row per month), so the upstream plan runs once.
 """
 
 from __future__ import annotations
@@ -24,16 +24,23 @@ METRICS = {
 }
 
 
-def _latest(df: DataFrame, col: str = "invoice_month") -> DataFrame:
-    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
+def _latest_row(per_month: DataFrame, col: str = "invoice_month") -> DataFrame:
+    """Rows of the latest month of a table that has one row per month.
+
+    Picking the top row of the (small) per-month result avoids a scalar
+    subquery that would recompute the whole upstream plan a second time.
+    """
+    return per_month.orderBy(F.col(col).desc_nulls_last()).limit(1)
 
 
 def mrr_last_month(ledger: DataFrame) -> DataFrame:
-    return _latest(ledger).agg(round_half_away(F.sum("mrr"), 2).alias("total_mrr"))
+    """Total MRR of the latest invoice month (one row, NULL on an empty ledger)."""
+    per_month = ledger.groupBy("invoice_month").agg(F.sum("mrr").alias("m"))
+    return per_month.agg(round_half_away(F.max_by("m", "invoice_month"), 2).alias("total_mrr"))
 
 
 def ndr_latest(ndr: DataFrame) -> DataFrame:
-    return _latest(ndr).select("ndr")
+    return _latest_row(ndr).select("ndr")
 
 
 def top_channel(attribution: DataFrame, metric: str) -> DataFrame:
@@ -43,7 +50,7 @@ def top_channel(attribution: DataFrame, metric: str) -> DataFrame:
 
 
 def churned_last_month(ndr: DataFrame) -> DataFrame:
-    return _latest(ndr).select("churned_accounts")
+    return _latest_row(ndr).select("churned_accounts")
 
 
 def paying_accounts(ledger: DataFrame) -> DataFrame:

@@ -27,16 +27,26 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], strict_dead_letter: bool = False,
-                 compat_conflicts: bool = False, materialize: bool = False):
+                 compat_conflicts: bool = False, materialize: bool | str = False):
         """``materialize=True`` writes ``stg_events`` (four consumers: both
         identity models, fct_events and the quality checks) once to the shared
         checkpoint folder and reads it back, cutting its lineage: downstream
         plans start from that table, and a lost executor re-reads files instead
-        of recomputing the parse + dedup shuffle."""
+        of recomputing the parse + dedup shuffle.  ``materialize="all"`` does
+        the same for every silver and gold model (for jobs such as the quality
+        report that read most models several times)."""
         self.raw = dict(raw)
         self.strict_dead_letter = strict_dead_letter
         self.compat_conflicts = compat_conflicts
-        self.materialize = materialize
+        if materialize == "all":
+            self._materialize = set(SILVER_TABLES) | set(GOLD_TABLES)
+        elif materialize:
+            self._materialize = {"stg_events"}
+        else:
+            self._materialize = set()
+
+    def _out(self, name: str, df: DataFrame) -> DataFrame:
+        return materialized(df, name) if name in self._materialize else df
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
@@ -49,75 +59,74 @@ class Warehouse:
     # ---- silver: events
     @cached_property
     def parsed_events(self) -> DataFrame:
-        return staging.parse_events(self.raw["events_raw"])
+        return self._out("parsed_events", staging.parse_events(self.raw["events_raw"]))
 
     @cached_property
     def stg_events(self) -> DataFrame:
-        df = staging.stg_events(self.raw["events_raw"])
-        return materialized(df, "stg_events") if self.materialize else df
+        return self._out("stg_events", staging.stg_events(self.raw["events_raw"]))
 
     @cached_property
     def dead_letter(self) -> DataFrame:
-        return staging.dead_letter(self.raw["events_raw"], strict=self.strict_dead_letter)
+        return self._out("dead_letter", staging.dead_letter(self.raw["events_raw"], strict=self.strict_dead_letter))
 
     # ---- silver: CRM / billing
     @cached_property
     def stg_companies(self) -> DataFrame:
-        return staging.stg_companies(self.raw["hubspot_companies"])
+        return self._out("stg_companies", staging.stg_companies(self.raw["hubspot_companies"]))
 
     @cached_property
     def stg_contacts(self) -> DataFrame:
-        return staging.stg_contacts(self.raw["hubspot_contacts"])
+        return self._out("stg_contacts", staging.stg_contacts(self.raw["hubspot_contacts"]))
 
     @cached_property
     def stg_deals(self) -> DataFrame:
-        return staging.stg_deals(self.raw["hubspot_deals"])
+        return self._out("stg_deals", staging.stg_deals(self.raw["hubspot_deals"]))
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.raw["stripe_customers"])
+        return self._out("stg_customers", staging.stg_customers(self.raw["stripe_customers"]))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return staging.stg_subscriptions(self.raw["stripe_subscriptions"])
+        return self._out("stg_subscriptions", staging.stg_subscriptions(self.raw["stripe_subscriptions"]))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return staging.stg_invoices(self.raw["stripe_invoices"])
+        return self._out("stg_invoices", staging.stg_invoices(self.raw["stripe_invoices"]))
 
     # ---- silver: identity
     @cached_property
     def anon_to_user(self) -> DataFrame:
-        return identity.anon_to_user(self.stg_events, compat=self.compat_conflicts)
+        return self._out("anon_to_user", identity.anon_to_user(self.stg_events, compat=self.compat_conflicts))
 
     @cached_property
     def user_to_account(self) -> DataFrame:
-        return identity.user_to_account(self.stg_events)
+        return self._out("user_to_account", identity.user_to_account(self.stg_events))
 
     @cached_property
     def account_spine(self) -> DataFrame:
-        return identity.account_spine(self.user_to_account, self.stg_companies, self.stg_customers)
+        return self._out("account_spine", identity.account_spine(self.user_to_account, self.stg_companies, self.stg_customers))
 
     # ---- gold
     @cached_property
     def fct_events(self) -> DataFrame:
-        return marts.fct_events(self.stg_events, self.anon_to_user, self.user_to_account)
+        return self._out("fct_events", marts.fct_events(self.stg_events, self.anon_to_user, self.user_to_account))
 
     @cached_property
     def dim_accounts(self) -> DataFrame:
-        return marts.dim_accounts(self.account_spine, self.fct_events)
+        return self._out("dim_accounts", marts.dim_accounts(self.account_spine, self.fct_events))
 
     @cached_property
     def fct_mrr_monthly(self) -> DataFrame:
-        return marts.mrr_ledger(self.stg_invoices, self.stg_customers)
+        return self._out("fct_mrr_monthly", marts.mrr_ledger(self.stg_invoices, self.stg_customers))
 
     @cached_property
     def fct_ndr(self) -> DataFrame:
-        return marts.fct_ndr(self.fct_mrr_monthly)
+        return self._out("fct_ndr", marts.fct_ndr(self.fct_mrr_monthly))
 
     @cached_property
     def fct_revenue_attribution(self) -> DataFrame:
-        return marts.revenue_attribution(self.dim_accounts, self.fct_mrr_monthly)
+        return self._out("fct_revenue_attribution", marts.revenue_attribution(self.dim_accounts, self.fct_mrr_monthly))
 
 
 GOLD_TABLES = ["fct_events", "dim_accounts", "fct_mrr_monthly", "fct_ndr", "fct_revenue_attribution"]
