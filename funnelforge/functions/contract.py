@@ -98,14 +98,19 @@ def _text_col(key: str) -> str:
     return f"_text_{key}"
 
 
-def with_contract_inputs(df: DataFrame, schema: dict, doc: str = "_doc") -> DataFrame:
+def with_contract_inputs(df: DataFrame, schema: dict, doc: str = "_doc",
+                         raw_col: str | None = "raw_json") -> DataFrame:
     """Extract, once per document, the JSON kind of the document and of every
     key the rules look at (and the text of keys with pattern / enum rules).
 
     The rules then compare plain columns; nothing is re-extracted per rule.
     """
     d = F.col(doc)
-    cols = [json_kind(d).alias(_kind_col(None))]
+    # top level: an object iff it parses and has a key list (json_object_keys is
+    # NULL for anything but an object) – no schema string of the whole document
+    keys = F.json_object_keys(F.col(raw_col)) if raw_col else F.lit(None)
+    cols = [F.when(d.isNull(), F.lit(None)).when(keys.isNotNull(), F.lit("object"))
+            .otherwise(F.lit("other")).alias(_kind_col(None)), keys.alias("_keys")]
     props = schema.get("properties", {})
     for k in contract_keys(schema):
         cols.append(json_kind(d, f"$.{k}").alias(_kind_col(k)))
@@ -165,11 +170,9 @@ def compile_contract(schema: dict, raw: Column | None = None) -> list[Rule]:
                           is_obj & ~satisfied))
 
     if schema.get("additionalProperties") is False:
-        if raw is None:
-            raise ValueError("additionalProperties needs the raw document text")
         known = F.array(*[F.lit(k) for k in schema.get("properties", {})])
         rules.append(Rule("additional_properties",
-                          is_obj & (F.size(F.array_except(F.json_object_keys(raw), known)) > 0)))
+                          is_obj & (F.size(F.array_except(F.col("_keys"), known)) > 0)))
     return rules
 
 
@@ -191,8 +194,8 @@ def validate(df: DataFrame, raw_col: str = "raw_json", schema: dict | None = Non
     """K-8 input: ``df`` plus ``violations`` (array) and ``failure_reason`` (first
     code, at most 200 characters; NULL when the document is valid)."""
     schema = schema or PRODUCT_EVENT_V1
-    inputs = with_contract_inputs(with_doc(df, raw_col), schema)
-    helper = [c for c in inputs.columns if c.startswith("_kind") or c.startswith("_text_")]
+    inputs = with_contract_inputs(with_doc(df, raw_col), schema, raw_col=raw_col)
+    helper = [c for c in inputs.columns if c.startswith("_kind") or c.startswith("_text_") or c == "_keys"]
     v = inputs.withColumn("violations", violations(raw_col, schema))
     return (v.withColumn("failure_reason", F.substring(F.get(F.col("violations"), 0), 1, 200))
             .drop("_doc", *helper))

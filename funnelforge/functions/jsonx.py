@@ -40,16 +40,16 @@ def json_text(doc: Column, path: str, raw: Column | None = None) -> Column:
     return F.when(doc.isNotNull(), val).otherwise(F.get_json_object(raw, path))
 
 
-# Variant type names (schema_of_variant) -> JSON-Schema type names.
+# Variant type names (schema_of_variant prefix) -> JSON-Schema type names;
+# anything else (BIGINT, DOUBLE, DECIMAL(p,s), ...) is a number.
+_KINDS = {"STRING": "string", "VOID": "null", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array"}
+
+
 def _kind_of_variant(v: Column) -> Column:
-    t = F.schema_of_variant(v)
-    return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(t == "STRING", "string")
-            .when(t == "VOID", "null")
-            .when(t == "BOOLEAN", "boolean")
-            .when(t.startswith("OBJECT"), "object")
-            .when(t.startswith("ARRAY"), "array")
-            .otherwise("number"))
+    prefix = F.substring_index(F.schema_of_variant(v), "<", 1)
+    table = F.create_map(*[F.lit(x) for kv in _KINDS.items() for x in kv])
+    # one schema_of_variant per value; NULL (absent) stays NULL
+    return F.when(v.isNotNull(), F.coalesce(table[prefix], F.lit("number")))
 
 
 def json_kind(doc: Column, path: str | None = None, raw: Column | None = None) -> Column:

@@ -81,7 +81,7 @@ FROM (SELECT raw_json ->> '$.event_id' AS event_id, {_VIOL} AS v FROM events_raw
 WHERE len(v) > 0""")
 def k1_contract_violations(spark, sf_dir):
     """K-1..K-8: documents breaking the wire contract, first reason + count."""
-    v = validate(testdata.raw_table(spark, sf_dir, "events_raw"))
+    v = validate(testdata.landed_events_raw(spark, sf_dir))
     return v.filter(F.size("violations") > 0).select(
         F.get_json_object("raw_json", "$.event_id").alias("event_id"),
         "failure_reason", F.size("violations").cast("bigint").alias("n_violations"))
@@ -94,7 +94,7 @@ SELECT count(*) FILTER (WHERE len(v) = 0) AS valid_count,
 FROM (SELECT {_VIOL} AS v FROM events_raw) c""")
 def k9_contract_report(spark, sf_dir):
     """K-9: valid / dead-letter counts and share of a document set."""
-    return contract_report(validate(testdata.raw_table(spark, sf_dir, "events_raw")))
+    return contract_report(validate(testdata.landed_events_raw(spark, sf_dir)))
 
 
 # -------------------------------------------------------------- quality (A/Q)
@@ -222,7 +222,7 @@ UNION ALL SELECT * FROM b2) w6""")
 def w6_incremental_upsert(spark, sf_dir):
     """W-6 + R-3: two incremental runs; the second re-delivers four days of the
     first and only rows above the high-water mark are merged."""
-    raw = testdata.raw_table(spark, sf_dir, "events_raw")
+    raw = testdata.landed_events_raw(spark, sf_dir)
     d = with_doc(raw)
     rts = staging.try_timestamp(F.try_variant_get("_doc", "$.received_ts", "string"))
     cut = d.agg((F.max(rts) - F.expr("INTERVAL 7 DAYS")).alias("c")).scalar()
@@ -240,7 +240,7 @@ SELECT coalesce(nullif(raw_json ->> '$.user_id', ''), nullif(raw_json ->> '$.ano
        raw_json AS value FROM events_raw""")
 def w7_keyed_records(spark, sf_dir):
     """W-7 / ST-6: (key, value) records as published to the event topic."""
-    return sinks.keyed_records(testdata.raw_table(spark, sf_dir, "events_raw"))
+    return sinks.keyed_records(testdata.landed_events_raw(spark, sf_dir))
 
 
 # -------------------------------------------------------------- streaming (ST)
