@@ -1,6 +1,6 @@
-"""The batch pipeline: land -> silver -> gold, written as tables.
+"""The batch build: land -> silver -> gold, written as tables.
 
-``run_pipeline`` is what a scheduled job calls.  Tables with several
+``run_warehouse`` is what a scheduled job calls.  Tables with several
 consumers are written once and re-read (lineage cut; a lost executor re-reads
 files instead of recomputing upstream shuffles):
 
@@ -67,7 +67,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     return res
 
 
-def run_pipeline(spark: SparkSession, landing_root: str, out_root: str, **kw) -> PipelineResult:
+def run_warehouse(spark: SparkSession, landing_root: str, out_root: str, **kw) -> PipelineResult:
     """Land the raw exports under ``landing_root`` (bronze spec) and build everything."""
     return build(spark, bronze.read_bronze(spark, landing_root), out_root, **kw)
 

@@ -4,7 +4,7 @@
 DataFrame, built on first access and shared by everything downstream, so a
 single Spark query over e.g. ``attribution`` contains the whole lineage and
 Catalyst can prune columns / push filters through all of it.  Materializing
-(``plans.pipeline``) swaps an attribute for a read of its written table.
+(``plans.build``) swaps an attribute for a read of its written table.
 """
 
 from __future__ import annotations
