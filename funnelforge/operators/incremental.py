@@ -93,6 +93,16 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(self.path(nxt))
         return nxt
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` complete versions (at least one is
+        always kept); returns the removed version numbers."""
+        keep = max(1, keep)
+        old = self.versions()[:-keep]
+        fs, jvm = self._fs()
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
+        return old
+
     def apply(self, batch_raw: DataFrame) -> int:
         """Run one incremental batch and publish it as the next version."""
         return self.commit(apply_batch(self.current(), batch_raw))

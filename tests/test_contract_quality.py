@@ -79,6 +79,8 @@ def test_incremental_equals_full_refresh_for_disjoint_batches(raw_events, spark,
     t.apply(raw_events(docs[10:]))
     full = staging.stg_events(raw_events(docs))
     assert t.current().exceptAll(full).isEmpty() and full.exceptAll(t.current()).isEmpty()
+    assert t.vacuum(keep=1) == [1] and t.versions() == [2]
+    assert t.current().count() == full.count()
 
 
 def test_dq_report_has_all_declared_checks(spark):
