@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, language_id, packing, toxicity
+from . import decontam, html_extract, language_id, license_scan, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and statements in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from labels that are not held out."""
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -31,7 +41,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op5_toxicity, op7_packing, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op7_packing, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
 
 
