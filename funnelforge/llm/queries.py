@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, language_id, license_scan, packing, pii, toxicity
+from . import decontam, html_extract, language_id, license_scan, packing, pii, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
@@ -46,7 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op7_packing, op9_personal_data, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op9_personal_data, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
 
 
