@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, language_id, license_scan, packing, pii, toxicity, url_filter
+from . import decontam, html_extract, jaccard_join, language_id, license_scan, packing, pii, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by the similarity of their word 5-grams."""
+    return jaccard_join.join(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
@@ -51,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op9_personal_data, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
 
 
