@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_extract, jaccard_join, language_id, license_scan, packing, pii, toxicity, url_filter
+from . import ann, decontam, html_extract, jaccard_join, language_id, license_scan, packing, pii, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_extract.extract(_table(spark, sf_dir, "pages"))
@@ -56,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
 
 
