@@ -6,6 +6,8 @@ Words are cut on UTF-8 bytes: every byte of a multi-byte character is at least
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,12 @@ def space_words(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a string column; null is empty."""
-    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+def byte_texts(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of a string column, a few rows at a time; null is empty."""
+    whole = column.cast(pa.large_binary())
+    for at in range(0, len(whole), 256):
+        for x in whole.slice(at, 256).to_pylist():
+            yield x or b""
 
 
 def fold(id_col: str, modulus: int) -> F.Column:
@@ -53,3 +58,15 @@ def broadcast_checked(spark: SparkSession, value, n_bytes: int, limit: int, what
     if n_bytes > limit:
         raise ValueError(f"{what}: {n_bytes} bytes exceed the broadcast bound of {limit}")
     return spark.sparkContext.broadcast(value)
+
+
+#: Ids up to this many (under 64 MB as a hash table) are sent to all tasks.
+SMALL_IDS = 500_000
+
+
+def without(documents: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows whose id is not among ``gone``'s; columns as they were.  Few ids
+    are broadcast after counting them, more are joined by a shuffle."""
+    ids = stored(gone.select(F.col(id_col).alias("gone_id")).distinct(), "gone-ids")
+    side = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
+    return documents.join(side, documents[id_col].eqNullSafe(side["gone_id"]), "left_anti")

@@ -241,5 +241,4 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark window; columns as they were."""
-    hit = find_contamination(documents, benchmark).where("contaminated").select("doc_id").distinct()
-    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    return common.without(documents, find_contamination(documents, benchmark).where("contaminated"))

@@ -394,8 +394,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id; columns as they
     were.  Of rows with equal id and text one stays; rows without id stay."""
     joined = common.stored(join(documents), "components")
-    gone = (joined.where("doc_id IS NOT NULL AND doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct())
-    out = documents.join(gone, documents["doc_id"] == gone["gone_id"], "left_anti")
+    out = common.without(documents, joined.where("doc_id IS NOT NULL AND doc_id <> component_id"))
     repeated = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return out

@@ -48,7 +48,7 @@ EXPECTED = 0.05
 THRESHOLD = 0.3
 #: Labels up to this many rows (under 32 MB) are sent to all tasks; more are joined by a shuffle.
 SMALL_LABELS = 1_000_000
-HELD = 400_000
+HELD = 150_000
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
