@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelforge.functions.jsonx import json_kind, with_doc
+from funnelforge.functions.jsonx import json_kind, text_kind, with_doc
 
 # ---------------------------------------------------------------------------
 # The v1 product-event contract (must equal the published one).
@@ -98,37 +98,47 @@ def _text_col(key: str) -> str:
     return f"_text_{key}"
 
 
-def with_contract_inputs(df: DataFrame, schema: dict, doc: str = "_doc",
-                         raw_col: str | None = "raw_json") -> DataFrame:
-    """Extract, once per document, the JSON kind of the document and of every
-    key the rules look at (and the text of keys with pattern / enum rules).
+def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """Add ``column``, evaluated once: the optimizer cannot copy a generator's
+    value into the expressions and filters above it (see ``with_doc``)."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
 
-    The rules then compare plain columns; nothing is re-extracted per rule.
+
+def with_contract_inputs(df: DataFrame, schema: dict, raw_col: str = "raw_json") -> DataFrame:
+    """Add, once per document, the JSON kind of the document and of every key the
+    rules look at, the text of keys with pattern / enum rules, and the key list.
+
+    The document is cast once to a map of its members; kinds and texts are taken
+    from the members found there.  A document that the variant parser refuses
+    although it is JSON (duplicate keys) is read by its text instead.
     """
-    d = F.col(doc)
-    # top level: an object iff it parses and has a key list (json_object_keys is
-    # NULL for anything but an object) – no schema string of the whole document
-    keys = F.json_object_keys(F.col(raw_col)) if raw_col else F.lit(None)
-    cols = [F.when(d.isNull(), F.lit(None)).when(keys.isNotNull(), F.lit("object"))
-            .otherwise(F.lit("other")).alias(_kind_col(None)), keys.alias("_keys")]
+    raw, doc = F.col(raw_col), F.col("_doc")
+    members = F.try_variant_get(doc, "$", "map<string,variant>")
+    d = _once(with_doc(df, raw_col), F.struct(
+        members.alias("map"), F.when(doc.isNull(), F.json_object_keys(raw)).alias("text_keys")), "_members")
+    found, text_keys = F.col("_members.map"), F.col("_members.text_keys")
     props = schema.get("properties", {})
+    cols = [F.when(found.isNotNull() | text_keys.isNotNull(), "object").when(doc.isNotNull(), "other").alias(_kind_col(None)),
+            F.coalesce(F.map_keys(found), text_keys).alias("_keys")]
     for k in contract_keys(schema):
-        cols.append(json_kind(d, f"$.{k}").alias(_kind_col(k)))
+        member = F.try_element_at(found, F.lit(k))
+        cols.append(F.when(text_keys.isNull(), json_kind(member)).otherwise(text_kind(raw, k)).alias(_kind_col(k)))
         spec = props.get(k, {})
         if "pattern" in spec or "enum" in spec:
-            cols.append(F.try_variant_get(d, f"$.{k}", "string").alias(_text_col(k)))
-    return df.select("*", *cols)
+            cols.append(F.when(text_keys.isNull(), F.try_variant_get(member, "$", "string"))
+                        .otherwise(F.get_json_object(raw, f"$.{k}")).alias(_text_col(k)))
+    return _once(d, F.struct(*cols), "_in")
 
 
 def compile_contract(schema: dict, raw: Column | None = None) -> list[Rule]:
     """Compile the contract keywords into ordered rules over the columns made
     by ``with_contract_inputs``."""
     rules: list[Rule] = []
-    kind = F.col(_kind_col(None))
+    kind = F.col(f"_in.{_kind_col(None)}")
     is_obj = kind == "object"
 
     def has(key: str) -> Column:
-        return F.col(_kind_col(key)).isNotNull()
+        return F.col(f"_in.{_kind_col(key)}").isNotNull()
 
     top = _types(schema)
     if top:
@@ -140,17 +150,17 @@ def compile_contract(schema: dict, raw: Column | None = None) -> list[Rule]:
         rules.append(Rule(f"required:{key}", is_obj & ~has(key)))
 
     for key, spec in schema.get("properties", {}).items():
-        k = F.col(_kind_col(key))
+        k = F.col(f"_in.{_kind_col(key)}")
         allowed = _types(spec)
         if allowed:
             rules.append(Rule(f"type:{key}", is_obj & has(key) & ~_kind_ok(k, allowed)))
         if "pattern" in spec:
-            txt = F.col(_text_col(key))
+            txt = F.col(f"_in.{_text_col(key)}")
             rules.append(Rule(f"pattern:{key}",
                               is_obj & (k == "string") & ~txt.rlike(_java_pattern(spec["pattern"]))))
         if "enum" in spec:
             values = [v for v in spec["enum"] if v is not None]
-            ok = (k == "string") & F.col(_text_col(key)).isin(values)
+            ok = (k == "string") & F.col(f"_in.{_text_col(key)}").isin(values)
             if None in spec["enum"]:
                 ok = ok | (k == "null")
             rules.append(Rule(f"enum:{key}", is_obj & has(key) & ~ok))
@@ -172,7 +182,7 @@ def compile_contract(schema: dict, raw: Column | None = None) -> list[Rule]:
     if schema.get("additionalProperties") is False:
         known = F.array(*[F.lit(k) for k in schema.get("properties", {})])
         rules.append(Rule("additional_properties",
-                          is_obj & (F.size(F.array_except(F.col("_keys"), known)) > 0)))
+                          is_obj & (F.size(F.array_except(F.col("_in._keys"), known)) > 0)))
     return rules
 
 
@@ -192,34 +202,26 @@ def violations(raw: Column | str, schema: dict | None = None) -> Column:
 
 def validate(df: DataFrame, raw_col: str = "raw_json", schema: dict | None = None) -> DataFrame:
     """K-8 input: ``df`` plus ``violations`` (array) and ``failure_reason`` (first
-    code, at most 200 characters; NULL when the document is valid)."""
+    code; NULL when the document is valid)."""
     schema = schema or PRODUCT_EVENT_V1
-    inputs = with_contract_inputs(with_doc(df, raw_col), schema, raw_col=raw_col)
-    helper = [c for c in inputs.columns if c.startswith("_kind") or c.startswith("_text_") or c == "_keys"]
-    v = inputs.withColumn("violations", violations(raw_col, schema))
-    return (v.withColumn("failure_reason", F.substring(F.get(F.col("violations"), 0), 1, 200))
-            .drop("_doc", *helper))
+    checked = _once(with_contract_inputs(df, schema, raw_col), violations(raw_col, schema), "violations")
+    return checked.withColumn("failure_reason", F.get(F.col("violations"), 0)).drop("_doc", "_members", "_in")
 
 
 def contract_report(validated: DataFrame) -> DataFrame:
     """K-9: valid count, dead-letter count and dead-letter share (percent, 3
-    decimals) of validated documents – one aggregation pass."""
-    from funnelforge.functions.semantics import round_half_away
+    decimals; NULL without documents) of validated documents in one aggregation."""
+    from funnelforge.functions.semantics import round_half_away, safe_div
     bad = F.size("violations") > 0
     return validated.agg(
         F.count_if(~bad).alias("valid_count"),
         F.count_if(bad).alias("dead_letter_count"),
-        round_half_away(F.count_if(bad) * F.lit(100.0) / F.count(F.lit(1)), 3).alias("dead_letter_pct"))
+        round_half_away(safe_div(F.count_if(bad) * F.lit(100.0), F.count(F.lit(1))), 3).alias("dead_letter_pct"))
 
 
 def contract_samples(validated: DataFrame, n: int = 3, order_by: str = "raw_json") -> DataFrame:
-    """K-9: ``n`` sample violations (event id text, first reason truncated to 90
-    characters) – a top-n, so only ``n`` rows per task reach the driver."""
+    """K-9: ``n`` sample violations (event id text, first reason), the first by
+    ``order_by`` – a top-n, so only ``n`` rows per task reach the driver."""
     return (validated.filter(F.size("violations") > 0)
-            .select(F.get_json_object("raw_json", "$.event_id").alias("event_id"),
-                    F.substring("failure_reason", 1, 90).alias("failure_reason"), order_by)
-            .orderBy(order_by).limit(n).drop(order_by) if order_by != "raw_json" else
-            validated.filter(F.size("violations") > 0)
-            .select(F.get_json_object("raw_json", "$.event_id").alias("event_id"),
-                    F.substring("failure_reason", 1, 90).alias("failure_reason"), "raw_json")
-            .orderBy("raw_json").limit(n).drop("raw_json"))
+            .select(F.get_json_object("raw_json", "$.event_id").alias("event_id"), "failure_reason", order_by)
+            .orderBy(order_by).limit(n).select("event_id", "failure_reason"))

@@ -59,10 +59,16 @@ def json_kind(doc: Column, path: str | None = None, raw: Column | None = None) -
     kind = _kind_of_variant(v)
     if raw is None or path is None or path.count(".") != 1:
         return kind
-    key = path.split(".", 1)[1]
-    quoted = r'"' + key + r'"\s*:\s*"'
-    nulled = r'"' + key + r'"\s*:\s*null'
-    fallback = (F.when(raw.rlike(quoted), "string")
-                .when(raw.rlike(nulled), "null")
-                .when(F.get_json_object(raw, path).isNotNull(), "number"))
-    return F.when(doc.isNotNull(), kind).otherwise(fallback)
+    return F.when(doc.isNotNull(), kind).otherwise(text_kind(raw, path.split(".", 1)[1]))
+
+
+# First character of a JSON value -> its type; digits and '-' begin a number.
+_FIRST_CHARS = {'"': "string", "n": "null", "t": "boolean", "f": "boolean", "{": "object", "[": "array"}
+
+
+def text_kind(raw: Column, key: str) -> Column:
+    """JSON type of the first value of ``key`` by the document's text (for
+    documents that the variant parser refuses); NULL when the key is absent."""
+    first = F.regexp_extract(raw, '"' + key + r'"\s*:\s*(\S)', 1)
+    table = F.create_map(*[F.lit(x) for kv in _FIRST_CHARS.items() for x in kv])
+    return F.when(first != "", F.coalesce(F.try_element_at(table, first), F.lit("number")))

@@ -48,15 +48,19 @@ def _epoch_hour(ts: Column) -> Column:
     return F.floor(us / F.lit(_HOUR_US)).cast("bigint")
 
 
-# A timestamp must at least start with a calendar date; Spark would otherwise
-# accept bare years ('2025') or times ('12:30') that the warehouse rejects.
-_TS_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# A calendar date, alone or followed by hours and minutes at least; Spark would
+# otherwise accept bare years ('2025'), times ('12:30') and bare hours
+# ('2025-01-01T10') that the warehouse rejects.
+_TS_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:$|[T ]\d{1,2}:\d{1,2})"
+# The end of a day, which the warehouse reads as the next midnight.
+_DAY_END = r"^\s*(\d{4}-\d{1,2}-\d{1,2})[T ]24:00(?::00(?:\.0*)?)?(?:$|[Z+ -])"
 
 
 def try_timestamp(s: ColOrName) -> Column:
-    """Lenient string -> TIMESTAMP_NTZ; NULL when unparseable (ISO 'T' and 'Z' accepted)."""
+    """String -> TIMESTAMP_NTZ; NULL when unparseable (ISO 'T' and 'Z' accepted)."""
     s = _c(s)
-    return F.when(s.rlike(_TS_SHAPE), s.try_cast("timestamp_ntz"))
+    next_midnight = (F.regexp_extract(s, _DAY_END, 1).try_cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
+    return F.when(s.rlike(_DAY_END), next_midnight).when(s.rlike(_TS_SHAPE), s.try_cast("timestamp_ntz"))
 
 
 def try_int_rounded(s: ColOrName) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelforge.functions.semantics import email_domain
+from funnelforge.operators.joins import left_join_spread_nulls
 
 
 def _identifies(stg_events: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def account_spine(memberships: DataFrame, companies: DataFrame, customers: DataF
     """
     primary = primary_domains(memberships)
     crm = dedup_companies(companies).filter(F.col("domain").isNotNull())
-    with_crm = primary.join(crm, primary["email_domain"] == crm["domain"], "left").drop("domain")
+    with_crm = left_join_spread_nulls(primary, F.col("email_domain"), F.col("account_id"), crm, "domain")
     billing = (customers.filter(F.col("account_id").isNotNull())
                .select("account_id", "stripe_customer_id"))
     spine = with_crm.join(billing, "account_id", "left")

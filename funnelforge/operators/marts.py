@@ -22,28 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelforge.functions.semantics import round_half_away, safe_div
+from funnelforge.operators.joins import left_join_spread_nulls
 
 FCT_EVENT_COLUMNS = ["event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
                      "user_id", "account_id", "is_stitched", "anonymous_id"]
 
 
-def _left_join_spread_nulls(left: DataFrame, key: Column, salt: Column, right: DataFrame,
-                            right_key: str) -> DataFrame:
-    """Left equi-join on ``key`` in which NULL keys do not pile up in one task.
-
-    A NULL key can never match, but a plain join still hashes all NULL-key
-    rows to one reducer.  Joining on ``(coalesce(key, salt), key IS NULL)``
-    sends them wherever their (unique) salt hashes, while the second key
-    column - constant FALSE on the right - guarantees they still match
-    nothing.  One pass over the input, no union of filtered copies.
-    """
-    l = (left.withColumn("_jk", F.coalesce(key, salt.cast("string")))
-         .withColumn("_jn", key.isNull()))
-    r = (right.withColumnRenamed(right_key, "_jk").filter(F.col("_jk").isNotNull())
-         .withColumn("_jn", F.lit(False)))
-    return l.join(r, ["_jk", "_jn"], "left").drop("_jk", "_jn")
-
-
 def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame) -> DataFrame:
     """D-F: every non-identify event with identity resolved retroactively.
 
@@ -54,9 +38,9 @@ def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame)
         "event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
         "user_id", "account_id", "anonymous_id")
     m = edges.select("anonymous_id", F.col("user_id").alias("m_user_id"))
-    j1 = _left_join_spread_nulls(ev, F.col("anonymous_id"), F.col("event_id"), m, "anonymous_id")
+    j1 = left_join_spread_nulls(ev, F.col("anonymous_id"), F.col("event_id"), m, "anonymous_id")
     ua = memberships.select("user_id", F.col("account_id").alias("ua_account_id"))
-    j2 = _left_join_spread_nulls(j1, F.coalesce("user_id", "m_user_id"), F.col("event_id"), ua, "user_id")
+    j2 = left_join_spread_nulls(j1, F.coalesce("user_id", "m_user_id"), F.col("event_id"), ua, "user_id")
     return j2.select(
         "event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
         F.coalesce("user_id", "m_user_id").alias("user_id"),
@@ -140,13 +124,13 @@ def fct_ndr(ledger: DataFrame) -> DataFrame:
     # the published join, so it is never retained
     retained = (F.when(F.col("account_id").isNotNull() & (F.col("_next_month") == target), F.col("_next_mrr"))
                 .otherwise(F.lit(0.0)))
-    base = nxt.select(target.alias("invoice_month"), F.col("mrr").alias("base_mrr"),
-                      retained.alias("retained_mrr"), F.lit(True).alias("_is_base"))
-    # marker rows: which months have revenue at all (same windowed input, so the
-    # shuffle below is shared and the ledger is computed once)
-    present = nxt.select("invoice_month", F.lit(None).cast("double").alias("base_mrr"),
-                         F.lit(None).cast("double").alias("retained_mrr"), F.lit(False).alias("_is_base"))
-    agg = base.unionByName(present).groupBy("invoice_month").agg(
+    # each ledger row gives a base row of month t + 1 and a marker that month t
+    # has revenue at all: one pass, the ledger is computed once
+    base = F.struct(target.alias("invoice_month"), F.col("mrr").alias("base_mrr"),
+                    retained.alias("retained_mrr"), F.lit(True).alias("_is_base"))
+    marker = F.struct(F.col("invoice_month").alias("invoice_month"), F.lit(None).cast("double").alias("base_mrr"),
+                      F.lit(None).cast("double").alias("retained_mrr"), F.lit(False).alias("_is_base"))
+    agg = nxt.select(F.inline(F.array(base, marker))).groupBy("invoice_month").agg(
         F.count_if(F.col("_is_base")).alias("base_accounts"),
         F.sum("base_mrr").alias("_base"),
         F.sum("retained_mrr").alias("_ret"),

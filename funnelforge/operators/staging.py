@@ -68,13 +68,14 @@ def dedup_events(valid: DataFrame) -> DataFrame:
     """N-1: one row per event_id – the earliest received copy wins.
 
     Ties (byte-identical re-deliveries, or both received_ts NULL) are broken by
-    the raw document text, so the result is deterministic.  Catalyst turns
-    ``row_number() = 1`` into a per-partition group limit before the shuffle.
+    the digest of the document, so the result is deterministic and the document
+    itself is neither shuffled nor sorted.  Catalyst turns ``row_number() = 1``
+    into a per-partition group limit before the shuffle.
     """
-    w = Window.partitionBy("event_id").orderBy(F.col("received_ts").asc_nulls_last(),
-                                               F.col("raw_json").asc_nulls_last())
-    return (valid.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    w = Window.partitionBy("event_id").orderBy(F.col("received_ts").asc_nulls_last(), F.col("_digest").asc_nulls_last())
+    return (valid.withColumn("_digest", F.md5("raw_json")).drop("raw_json")
+            .withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn", "_digest"))
 
 
 def finish_events(deduped: DataFrame) -> DataFrame:
@@ -89,10 +90,15 @@ def stg_events(events_raw: DataFrame, high_water: Column | None = None) -> DataF
     ``high_water`` (optional) is a scalar Column: only rows received after it
     are kept (the incremental run, see operators.incremental).
     """
-    p = parse_events(events_raw).filter(is_valid_event())
+    return stg_from_parsed(parse_events(events_raw), high_water)
+
+
+def stg_from_parsed(parsed: DataFrame, high_water: Column | None = None) -> DataFrame:
+    """D-A from documents that are parsed already (``parse_events``)."""
+    valid = parsed.filter(is_valid_event())
     if high_water is not None:
-        p = p.filter(F.col("received_ts") > high_water)
-    return finish_events(dedup_events(p))
+        valid = valid.filter(F.col("received_ts") > high_water)
+    return finish_events(dedup_events(valid))
 
 
 DEAD_LETTER_COLUMNS = ["event_id", "raw_json", "failure_reason", "_loaded_at"]
@@ -107,7 +113,11 @@ def dead_letter(events_raw: DataFrame, strict: bool = False) -> DataFrame:
     ``strict=True`` quarantines exactly ``NOT R-1`` instead, adding the reasons
     ``missing_event_id`` and ``missing_event_name``.
     """
-    p = parse_events(events_raw)
+    return dead_letter_from_parsed(parse_events(events_raw), strict)
+
+
+def dead_letter_from_parsed(p: DataFrame, strict: bool = False) -> DataFrame:
+    """D-B from documents that are parsed already (``parse_events``)."""
     ts_bad = F.col("event_ts").isNull()
     kind = F.col("event_name_json_type")
     no_id = F.col("anonymous_id").isNull() & F.col("user_id").isNull()

@@ -74,57 +74,50 @@ _model("di_fct_ndr", "fct_ndr", "fct_ndr")
 _model("dj_revenue_attribution", "fct_revenue_attribution", "fct_revenue_attribution")
 
 
+# ------------------------------------------------------------ golden (G)
+_LATEST = "QUALIFY row_number() OVER (ORDER BY invoice_month DESC) = 1"
+_CHANNELS = "FROM fct_revenue_attribution SELECT channel"
+_ONE_CHANNEL = "FROM fct_revenue_attribution SELECT {} WHERE channel = '{}'"
+_MONTHS = "(FROM fct_mrr_monthly SELECT invoice_month, round(sum(mrr), 2) AS total_mrr GROUP BY ALL)"
+_GOLDEN_SQL = {
+    "g1_mrr_last_month": f"SELECT max_by(total_mrr, invoice_month) AS total_mrr FROM {_MONTHS}",
+    "g2_ndr_latest": f"FROM fct_ndr SELECT ndr {_LATEST}",
+    "g3_top_channel_revenue": f"{_CHANNELS} QUALIFY row_number() OVER (ORDER BY -total_revenue_usd, channel) = 1",
+    "g4_best_conversion_channel": f"{_CHANNELS} QUALIFY row_number() OVER (ORDER BY -signup_to_paid_rate, channel) = 1",
+    "g5_churned_last_month": f"FROM fct_ndr SELECT churned_accounts {_LATEST}",
+    "g6_paying_accounts": "SELECT len(list_distinct(list(account_id))) AS paying_accounts FROM fct_mrr_monthly",
+    "g7_google_signups": _ONE_CHANNEL.format("accounts_signed_up", "google"),
+    "g8_expansion_accounts": "SELECT count_if(movement = 'expansion') AS n FROM fct_mrr_monthly",
+    "g9_crm_match_rate": "SELECT round(count_if(is_crm_matched) / count(*), 3) AS crm_match_rate FROM dim_accounts",
+    "g10_events_stitched": "SELECT count_if(is_stitched) AS stitched FROM fct_events",
+    "g11_docs_created_total": "SELECT count_if(event_name = 'doc_created') AS docs FROM fct_events",
+    "g12_mrr_by_month": f"FROM {_MONTHS}",
+    "g13_unattributed_accounts": _ONE_CHANNEL.format("accounts_signed_up", "(unattributed)"),
+    "g14_revenue_per_paying_producthunt": _ONE_CHANNEL.format("revenue_per_paying_account", "producthunt"),
+    "g15_mobile_events_share": "SELECT round(count_if(device_type IN ('mobile_web', 'ios_app', 'android_app')) "
+                               "/ count(*), 3) AS mobile_share FROM fct_events",
+}
+
+
 @register("dk_late_events", "SELECT * FROM stg_events WHERE arrival_delay_hours > 24")
 def dk_late_events(spark, sf_dir):
     return staging.late_events(_wh(spark, sf_dir).stg_events)
 
 
 @register("dl_match_rates", """
-SELECT round(avg(CASE WHEN is_crm_matched THEN 1 ELSE 0 END), 3) AS crm_match_rate,
-       round(avg(CASE WHEN is_billing_matched THEN 1 ELSE 0 END), 3) AS billing_match_rate
-FROM dim_accounts""")
+SELECT round(count_if(is_crm_matched) / count(*), 3) AS crm_match_rate,
+       round(count_if(is_billing_matched) / count(*), 3) AS billing_match_rate FROM dim_accounts""")
 def dl_match_rates(spark, sf_dir):
     from funnelforge.operators.marts import match_rates
     return match_rates(_wh(spark, sf_dir).dim_accounts)
 
 
-@register("dm_device_mix", """
-SELECT round(avg(CASE WHEN device_type IN ('mobile_web', 'ios_app', 'android_app') THEN 1 ELSE 0 END), 3)
-       AS mobile_share FROM fct_events""")
+@register("dm_device_mix", _GOLDEN_SQL["g15_mobile_events_share"])
 def dm_device_mix(spark, sf_dir):
     from funnelforge.operators.marts import device_mix
     return device_mix(_wh(spark, sf_dir).fct_events)
 
 
-# ------------------------------------------------------------ golden (G)
-_GOLDEN_SQL = {
-    "g1_mrr_last_month": "SELECT round(sum(mrr), 2) AS total_mrr FROM fct_mrr_monthly "
-                         "WHERE invoice_month = (SELECT max(invoice_month) FROM fct_mrr_monthly)",
-    "g2_ndr_latest": "SELECT ndr FROM fct_ndr WHERE invoice_month = (SELECT max(invoice_month) FROM fct_ndr)",
-    "g3_top_channel_revenue": "SELECT channel FROM fct_revenue_attribution "
-                              "ORDER BY total_revenue_usd DESC NULLS LAST, channel LIMIT 1",
-    "g4_best_conversion_channel": "SELECT channel FROM fct_revenue_attribution "
-                                  "ORDER BY signup_to_paid_rate DESC NULLS LAST, channel LIMIT 1",
-    "g5_churned_last_month": "SELECT churned_accounts FROM fct_ndr "
-                             "WHERE invoice_month = (SELECT max(invoice_month) FROM fct_ndr)",
-    "g6_paying_accounts": "SELECT count(DISTINCT account_id) AS paying_accounts FROM fct_mrr_monthly",
-    "g7_google_signups": "SELECT accounts_signed_up FROM fct_revenue_attribution WHERE channel = 'google'",
-    "g8_expansion_accounts": "SELECT count(*) AS n FROM fct_mrr_monthly WHERE movement = 'expansion'",
-    "g9_crm_match_rate": "SELECT round(avg(CASE WHEN is_crm_matched THEN 1 ELSE 0 END), 3) AS crm_match_rate "
-                         "FROM dim_accounts",
-    "g10_events_stitched": "SELECT count(*) AS stitched FROM fct_events WHERE is_stitched",
-    "g11_docs_created_total": "SELECT count(*) AS docs FROM fct_events WHERE event_name = 'doc_created'",
-    "g12_mrr_by_month": "SELECT invoice_month, round(sum(mrr), 2) AS total_mrr FROM fct_mrr_monthly "
-                        "GROUP BY 1 ORDER BY 1",
-    "g13_unattributed_accounts": "SELECT accounts_signed_up FROM fct_revenue_attribution "
-                                 "WHERE channel = '(unattributed)'",
-    "g14_revenue_per_paying_producthunt": "SELECT revenue_per_paying_account FROM fct_revenue_attribution "
-                                          "WHERE channel = 'producthunt'",
-    "g15_mobile_events_share": "SELECT round(avg(CASE WHEN device_type IN ('mobile_web', 'ios_app', "
-                               "'android_app') THEN 1 ELSE 0 END), 3) AS mobile_share FROM fct_events",
-}
-
-
 def _golden(name: str):
     def fn(spark, sf_dir):
         return metrics.golden(_wh(spark, sf_dir), [name])[name]

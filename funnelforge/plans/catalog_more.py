@@ -285,9 +285,7 @@ def st4_stream_dedup(spark, sf_dir):
 
 
 # ------------------------------------------- stand-alone joins / aggs / windows
-@register("a1_account_domain_users", """
-SELECT account_id, split_part(email, '@', 2) AS email_domain, count(*) AS n_users
-FROM user_to_account GROUP BY 1, 2""")
+@register("a1_account_domain_users", "SELECT account_id, dom AS email_domain, voters AS n_users FROM domain_votes")
 def a1_account_domain_users(spark, sf_dir):
     """A-1: users per (account, email domain)."""
     from funnelforge.functions.semantics import email_domain
@@ -296,40 +294,30 @@ def a1_account_domain_users(spark, sf_dir):
             .groupBy("account_id", "email_domain").agg(F.count(F.lit(1)).alias("n_users")))
 
 
-@register("n5_primary_domains", """
-SELECT account_id, email_domain FROM (
-  SELECT account_id, split_part(email, '@', 2) AS email_domain,
-         row_number() OVER (PARTITION BY account_id ORDER BY count(*) DESC,
-                            split_part(email, '@', 2) ASC NULLS LAST) AS rn
-  FROM user_to_account GROUP BY 1, 2) x WHERE rn = 1""")
+@register("n5_primary_domains", "SELECT account_id, email_domain FROM account_spine GROUP BY ALL")
 def n5_primary_domains(spark, sf_dir):
     """N-5: each account's dominant email domain."""
     return identity.primary_domains(_wh(spark, sf_dir).user_to_account)
 
 
 @register("n6_crm_survivors", """
-SELECT domain, crm_company_id, company_name, lifecycle_stage FROM (
-  SELECT *, row_number() OVER (PARTITION BY domain ORDER BY crm_created_at ASC NULLS LAST,
-                               crm_company_id ASC NULLS LAST) AS rn FROM stg_companies) x
-WHERE rn = 1""")
+SELECT DISTINCT ON (domain) domain, crm_company_id, company_name, lifecycle_stage FROM stg_companies
+ORDER BY domain, crm_created_at NULLS LAST, crm_company_id""")
 def n6_crm_survivors(spark, sf_dir):
     """N-6: CRM survivorship (oldest record per domain)."""
     return identity.dedup_companies(_wh(spark, sf_dir, materialize=False).stg_companies)
 
 
 @register("n8_first_touch", """
-SELECT account_id, utm_source AS first_touch_channel, event_ts AS first_touch_at FROM (
-  SELECT account_id, utm_source, event_ts,
-         row_number() OVER (PARTITION BY account_id ORDER BY event_ts, utm_source, event_id) AS rn
-  FROM fct_events WHERE account_id IS NOT NULL AND utm_source IS NOT NULL) x WHERE rn = 1""")
+SELECT account_id, touch.via AS first_touch_channel, touch.at AS first_touch_at FROM first_touches""")
 def n8_first_touch(spark, sf_dir):
     """N-8: first touch per account."""
     return marts.first_touch(_wh(spark, sf_dir).fct_events)
 
 
 @register("a5_account_revenue", """
-SELECT account_id, sum(mrr) AS total_revenue, count(DISTINCT invoice_month) AS months_paying
-FROM fct_mrr_monthly GROUP BY 1""")
+SELECT account_id, list_sum(list(mrr)) AS total_revenue, len(list_distinct(list(invoice_month))) AS months_paying
+FROM fct_mrr_monthly GROUP BY ALL""")
 def a5_account_revenue(spark, sf_dir):
     """A-5: lifetime revenue and distinct paying months per account."""
     return marts.account_revenue(_wh(spark, sf_dir, materialize=False).fct_mrr_monthly)

@@ -13,17 +13,6 @@ from pyspark.sql import functions as F
 from funnelforge.functions.semantics import round_half_away
 from funnelforge.operators.marts import MOBILE_DEVICES
 
-# The metric glossary exposed to analysts.
-METRICS = {
-    "mrr": "sum(mrr) from fct_mrr_monthly for a given invoice_month",
-    "ndr": "fct_ndr.ndr (retained_mrr / base_mrr of the previous month's payers)",
-    "churned_accounts": "fct_ndr.churned_accounts for the month",
-    "signup_to_paid_rate": "fct_revenue_attribution.signup_to_paid_rate",
-    "paying_account": "an account with at least one row in fct_mrr_monthly",
-    "last_month": "max(invoice_month)",
-}
-
-
 def _latest_row(per_month: DataFrame, col: str = "invoice_month") -> DataFrame:
     """Rows of the latest month of a table that has one row per month.
 
@@ -89,17 +78,8 @@ def mobile_events_share(fct: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("device_type").isin(MOBILE_DEVICES), 1).otherwise(0)), 3).alias("mobile_share"))
 
 
-DEFAULT_ROW_CAP = 1000
-
-
-def cap_rows(df: DataFrame, n: int = DEFAULT_ROW_CAP) -> DataFrame:
-    """T-4: cap an interactive answer at ``n`` rows (the feature is the cap);
-    Spark stops reading once ``n`` rows are produced."""
-    return df.limit(n)
-
-
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """T-5: a few rows of a model for a human to look at."""
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """T-5: ``n`` rows of a model for a human to look at."""
     return df.limit(n)
 
 

@@ -20,7 +20,6 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -61,9 +60,9 @@ def apply_core_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, creating a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; we read it and
-    never override it.  Only when nothing is configured (local runs, tests) a
-    fresh directory under the system temp folder is registered.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; we read it
+    and never override it.  Only a local master may go without: all its tasks
+    see the driver's temp folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -71,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="funnelforge-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

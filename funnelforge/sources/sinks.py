@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelforge.functions.jsonx import with_doc
+from funnelforge.functions.jsonx import json_text, with_doc
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """W-1 / W-5: idempotent replace of a Parquet table."""
-    w = df.write.mode("overwrite")
+    """W-1 / W-5: idempotent replace of a whole Parquet table, also when it is
+    partitioned and the session overwrites partitions dynamically."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    """W-2 / W-3: append rows to a Parquet table."""
-    df.write.mode("append").parquet(path)
-
-
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """W-4: publish a model as a (lazy) temporary view."""
     df.createOrReplaceTempView(name)
@@ -29,10 +25,10 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 def write_fct_events(fct: DataFrame, path: str) -> None:
     """W-5 for the event fact: partitioned by event date, so date filters prune
-    whole directories and each task writes few files."""
-    (fct.withColumn("event_date", F.to_date("event_ts"))
-     .repartition("event_date")
-     .write.mode("overwrite").partitionBy("event_date").parquet(path))
+    whole directories.  Rows are rebalanced by date: small days share a task and
+    a large day is split over several (at the advisory partition size)."""
+    full_refresh(fct.withColumn("event_date", F.to_date("event_ts")).hint("rebalance", "event_date"),
+                 path, ["event_date"])
 
 
 def keyed_records(events_raw: DataFrame) -> DataFrame:
@@ -43,8 +39,8 @@ def keyed_records(events_raw: DataFrame) -> DataFrame:
     value = the original document bytes.
     """
     d = with_doc(events_raw.select("raw_json"))
-    uid = F.try_variant_get("_doc", "$.user_id", "string")
-    aid = F.try_variant_get("_doc", "$.anonymous_id", "string")
+    uid = json_text(F.col("_doc"), "$.user_id", F.col("raw_json"))
+    aid = json_text(F.col("_doc"), "$.anonymous_id", F.col("raw_json"))
     key = F.coalesce(F.nullif(uid, F.lit("")), F.nullif(aid, F.lit("")), F.lit(""))
     return d.select(key.alias("key"), F.col("raw_json").alias("value"))
 

@@ -49,6 +49,6 @@ def test_scan_prunes_columns(spark):
 
 
 def test_every_query_has_an_oracle():
-    import __spark_entry__ as entry
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    from funnelforge.plans import catalog
+    missing = set(catalog.queries()) - set(catalog.oracle_sql())
     assert not missing, missing
