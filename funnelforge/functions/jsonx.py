@@ -37,7 +37,13 @@ def json_text(doc: Column, path: str, raw: Column | None = None) -> Column:
     val = F.try_variant_get(doc, path, "string")
     if raw is None:
         return val
-    return F.when(doc.isNotNull(), val).otherwise(F.get_json_object(raw, path))
+    return F.when(doc.isNotNull(), val).when(_is_object_text(raw), F.get_json_object(raw, path))
+
+
+def _is_object_text(raw: Column) -> Column:
+    """Whether a document that the variant parser refuses is a JSON object all
+    the same (its keys repeat); broken text is not."""
+    return F.json_object_keys(raw).isNotNull()
 
 
 # Variant type names (schema_of_variant prefix) -> JSON-Schema type names;
@@ -71,4 +77,4 @@ def text_kind(raw: Column, key: str) -> Column:
     documents that the variant parser refuses); NULL when the key is absent."""
     first = F.regexp_extract(raw, '"' + key + r'"\s*:\s*(\S)', 1)
     table = F.create_map(*[F.lit(x) for kv in _FIRST_CHARS.items() for x in kv])
-    return F.when(first != "", F.coalesce(F.try_element_at(table, first), F.lit("number")))
+    return F.when(_is_object_text(raw) & (first != ""), F.coalesce(F.try_element_at(table, first), F.lit("number")))

@@ -77,7 +77,7 @@ _VIOL = contract_violations_sql(PRODUCT_EVENT_V1)
 
 @register("k1_contract_violations", f"""
 SELECT event_id, v[1] AS failure_reason, len(v) AS n_violations
-FROM (SELECT raw_json ->> '$.event_id' AS event_id, {_VIOL} AS v FROM events_raw) c
+FROM (SELECT doc ->> '$.event_id' AS event_id, {_VIOL} AS v FROM event_docs) c
 WHERE len(v) > 0""")
 def k1_contract_violations(spark, sf_dir):
     """K-1..K-8: documents breaking the wire contract, first reason + count."""
@@ -91,7 +91,7 @@ def k1_contract_violations(spark, sf_dir):
 SELECT count(*) FILTER (WHERE len(v) = 0) AS valid_count,
        count(*) FILTER (WHERE len(v) > 0) AS dead_letter_count,
        round(count(*) FILTER (WHERE len(v) > 0) * 100.0 / count(*), 3) AS dead_letter_pct
-FROM (SELECT {_VIOL} AS v FROM events_raw) c""")
+FROM (SELECT {_VIOL} AS v FROM event_docs) c""")
 def k9_contract_report(spark, sf_dir):
     """K-9: valid / dead-letter counts and share of a document set."""
     return contract_report(validate(testdata.landed_events_raw(spark, sf_dir)))
@@ -103,7 +103,7 @@ SELECT origin, failure_reason, count(*) AS n FROM (
   SELECT 'batch' AS origin, failure_reason FROM dead_letter
   UNION ALL
   SELECT 'stream' AS origin, v[1] AS failure_reason
-  FROM (SELECT {_VIOL} AS v FROM events_raw) c WHERE len(v) > 0) u
+  FROM (SELECT {_VIOL} AS v FROM event_docs) c WHERE len(v) > 0) u
 GROUP BY 1, 2""")
 def a10_dead_letter_summary(spark, sf_dir):
     """A-10: both quarantines (batch model, stream contract) counted by reason."""
@@ -236,8 +236,8 @@ def w6_incremental_upsert(spark, sf_dir):
 
 
 @register("w7_keyed_records", """
-SELECT coalesce(nullif(raw_json ->> '$.user_id', ''), nullif(raw_json ->> '$.anonymous_id', ''), '') AS key,
-       raw_json AS value FROM events_raw""")
+SELECT coalesce(nullif(doc ->> '$.user_id', ''), nullif(doc ->> '$.anonymous_id', ''), '') AS key,
+       raw_json AS value FROM event_docs""")
 def w7_keyed_records(spark, sf_dir):
     """W-7 / ST-6: (key, value) records as published to the event topic."""
     return sinks.keyed_records(testdata.landed_events_raw(spark, sf_dir))
@@ -253,7 +253,7 @@ def _land_stream_input(spark, sf_dir, files: int = 8) -> str:
 
 @register("st1_stream_contract_routing", f"""
 SELECT raw_json, CASE WHEN len(v) = 0 THEN 'valid' ELSE 'dead' END AS route, v[1] AS failure_reason
-FROM (SELECT raw_json, {_VIOL} AS v FROM events_raw) c""")
+FROM (SELECT raw_json, {_VIOL} AS v FROM event_docs) c""")
 def st1_stream_contract_routing(spark, sf_dir):
     """ST-1..ST-3 (+W-2/W-3): file-source stream, contract routing in
     foreachBatch, availableNow; both sinks read back."""
@@ -270,10 +270,10 @@ def st1_stream_contract_routing(spark, sf_dir):
 
 @register("st4_stream_dedup", """
 SELECT DISTINCT event_id FROM (
-  SELECT raw_json ->> '$.event_id' AS event_id,
-         coalesce(try_cast(raw_json ->> '$.received_ts' AS TIMESTAMP),
-                  try_cast(raw_json ->> '$.event_ts' AS TIMESTAMP)) AS wm
-  FROM events_raw) e
+  SELECT doc ->> '$.event_id' AS event_id,
+         coalesce(try_cast(doc ->> '$.received_ts' AS TIMESTAMP),
+                  try_cast(doc ->> '$.event_ts' AS TIMESTAMP)) AS wm
+  FROM event_docs) e
 WHERE event_id IS NOT NULL AND wm IS NOT NULL""")
 def st4_stream_dedup(spark, sf_dir):
     """ST-4 / ST-5: watermark-bounded streaming dedup on event_id (one drain)."""

@@ -23,22 +23,25 @@ def _json_kind(expr: str) -> str:
             f"WHEN {t} = 'OBJECT' THEN 'object' WHEN {t} = 'ARRAY' THEN 'array' ELSE 'number' END")
 
 
+# Broken text is no document; it yields no fields.
+CTES["event_docs"] = "SELECT raw_json, CASE WHEN json_valid(raw_json) THEN raw_json END AS doc, _loaded_at FROM events_raw"
+
 CTES["parsed_events"] = f"""
-SELECT raw_json ->> '$.event_id' AS event_id,
-       raw_json ->> '$.event_name' AS event_name,
-       {_json_kind("raw_json -> '$.event_name'")} AS event_name_json_type,
-       try_cast(raw_json ->> '$.event_ts' AS TIMESTAMP) AS event_ts,
-       try_cast(raw_json ->> '$.received_ts' AS TIMESTAMP) AS received_ts,
-       raw_json ->> '$.anonymous_id' AS anonymous_id,
-       raw_json ->> '$.user_id' AS user_id,
-       raw_json ->> '$.device_type' AS device_type,
-       raw_json ->> '$.properties.account_id' AS account_id,
-       raw_json ->> '$.properties.page' AS page,
-       raw_json ->> '$.properties.utm_source' AS utm_source,
-       raw_json ->> '$.properties.email' AS email,
-       raw_json ->> '$.schema_version' AS schema_version,
+SELECT doc ->> '$.event_id' AS event_id,
+       doc ->> '$.event_name' AS event_name,
+       {_json_kind("doc -> '$.event_name'")} AS event_name_json_type,
+       try_cast(doc ->> '$.event_ts' AS TIMESTAMP) AS event_ts,
+       try_cast(doc ->> '$.received_ts' AS TIMESTAMP) AS received_ts,
+       doc ->> '$.anonymous_id' AS anonymous_id,
+       doc ->> '$.user_id' AS user_id,
+       doc ->> '$.device_type' AS device_type,
+       doc ->> '$.properties.account_id' AS account_id,
+       doc ->> '$.properties.page' AS page,
+       doc ->> '$.properties.utm_source' AS utm_source,
+       doc ->> '$.properties.email' AS email,
+       doc ->> '$.schema_version' AS schema_version,
        raw_json, _loaded_at
-FROM events_raw"""
+FROM event_docs"""
 
 _VALID = """event_id IS NOT NULL AND event_name IS NOT NULL AND event_name_json_type = 'string'
       AND event_ts IS NOT NULL AND (anonymous_id IS NOT NULL OR user_id IS NOT NULL)"""
@@ -241,7 +244,7 @@ def _sql_lit(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def contract_violations_sql(schema: dict, raw: str = "raw_json") -> str:
+def contract_violations_sql(schema: dict, raw: str = "doc") -> str:
     """SQL list expression of violated rule codes in validator order."""
     def kind(path: str | None) -> str:
         t = f"json_type({raw})" if path is None else f"json_type({raw}, '{path}')"
@@ -260,7 +263,7 @@ def contract_violations_sql(schema: dict, raw: str = "raw_json") -> str:
     rules: list[tuple[str, str]] = []
     top = types(schema)
     if top:
-        rules.append(("not_json", "FALSE"))
+        rules.append(("not_json", f"{raw} IS NULL"))
         rules.append(("type", f"NOT ({kind(None)} IN ({', '.join(_sql_lit(t) for t in top)}))"))
     for k in schema.get("required", []):
         rules.append((f"required:{k}", f"{is_obj} AND NOT {has(k)}"))

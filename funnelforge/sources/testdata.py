@@ -29,10 +29,11 @@ SPARK = "spark"
 DUCK = "duckdb"
 
 # ---------------------------------------------------------------------------
-# Vocabularies of the simulated product world.
+# Vocabularies of the simulated product world.
 # ---------------------------------------------------------------------------
-UTM_SOURCES = ["google", "twitter", "linkedin", "producthunt", "direct", "newsletter"]
-PAGES = ["/", "/pricing", "/features", "/blog", "/templates"]
+# "google" and "producthunt" are named by golden questions; the rest is free.
+UTM_SOURCES = ["google", "radio", "meetup", "producthunt", "poster", "podcast"]
+PAGES = ["/start", "/plans", "/tour", "/guides", "/gallery"]
 EVENT_NAME_BY_TYPE = {
     "view": "page_viewed",
     "signup": "identify",
@@ -113,6 +114,12 @@ def _copies(d: str, cond_two: str) -> str:
 #   % 50 = 21  upper-case event id                    -> contract only
 #   % 50 = 23  received_ts null
 #   % 97 = 0   device shared by several users (conflicting identity claims)
+#   % 200 = 27 the event_id key twice (the first value counts)
+#   % 200 = 29 broken JSON                        -> dead letter
+#   % 200 = 33 a JSON array                       -> dead letter
+#   % 200 = 35 both identity keys absent          -> dead letter
+#   % 200 = 37 unknown device, % 200 = 39 unknown version -> contract only
+#   % 200 = 43 event_ts with a bare hour (invalid), % 200 = 47 at 24:00 (next midnight)
 EVENT_DUP_COND = "event_id % 25 = 3 OR event_id % 100 = 41"
 
 
@@ -142,16 +149,21 @@ def event_exprs(d: str) -> list[tuple[str, str]]:
     received = ("CASE WHEN event_id % 50 = 23 THEN NULL ELSE ts "
                 "+ (CASE WHEN event_id % 67 = 0 THEN INTERVAL 1 DAY * (1 + event_id % 3) ELSE INTERVAL 0 DAY END) "
                 "+ (CASE WHEN copy_no = 1 AND event_id % 100 = 41 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END) END")
+    m200 = "event_id % 200"
+    device = f"CASE WHEN {m200} = 37 THEN 'smart_fridge' ELSE {device} END"
     agent = f"CASE WHEN {m50} = 31 THEN NULL ELSE 'Mozilla/5.0' END"
-    version = "CASE WHEN event_id % 3 = 0 THEN '1.1.0' ELSE '1.0.0' END"
+    version = f"CASE WHEN {m200} = 39 THEN '2' WHEN event_id % 3 = 0 THEN '1.1.0' ELSE '1.0.0' END"
+    day = "substr(cast(ts AS string), 1, 10)"
     raw = ("'{\"event_id\":' || " + _q(evt)
+           + f" || CASE WHEN {m200} = 27 THEN ',\"event_id\":\"evt_again\"' ELSE '' END"
            + f" || CASE WHEN {m50} = 13 THEN '' WHEN {m50} = 7 THEN ',\"event_name\":123' "
              f"WHEN {m50} = 11 THEN ',\"event_name\":null' ELSE ',\"event_name\":' || {_q(name)} END"
            + f" || CASE WHEN {m50} = 7 THEN '' WHEN {m50} = 17 THEN ',\"event_ts\":\"not-a-timestamp\"' "
+             f"WHEN {m200} = 43 THEN ',\"event_ts\":\"' || {day} || 'T10\"' "
+             f"WHEN {m200} = 47 THEN ',\"event_ts\":\"' || {day} || 'T24:00:00Z\"' "
              f"ELSE ',\"event_ts\":' || {_q(_iso('ts'))} END"
            + " || ',\"received_ts\":' || " + _q(_iso(f"({received})"))
-           + " || ',\"anonymous_id\":' || " + _q(anon)
-           + " || ',\"user_id\":' || " + _q(usr)
+           + f" || CASE WHEN {m200} = 35 THEN '' ELSE ',\"anonymous_id\":' || {_q(anon)} || ',\"user_id\":' || {_q(usr)} END"
            + " || ',\"device_type\":' || " + _q(device)
            + " || ',\"user_agent\":' || " + _q(agent)
            + " || ',\"schema_version\":' || " + _q(version)
@@ -161,6 +173,8 @@ def event_exprs(d: str) -> list[tuple[str, str]]:
            + " || ',\"email\":' || " + _q(email) + " || '}'"
            + f" || CASE WHEN {m50} = 19 THEN ',\"debug\":true' ELSE '' END"
            + " || '}'")
+    raw = (f"CASE WHEN {m200} = 29 THEN '{{\"event_id\":\"evt_' || cast(event_id AS string) || '\",\"event_na' "
+           f"WHEN {m200} = 33 THEN '[\"evt_' || cast(event_id AS string) || '\"]' ELSE {raw} END")
     return [("raw_json", raw), ("_loaded_at", _ts_lit(d, LOADED_AT))]
 
 
@@ -185,7 +199,7 @@ def stripe_subscription_exprs(d: str) -> list[tuple[str, str]]:
     k = "cast(c_custkey AS string)"
     item = _struct(d, [
         ("price", _struct(d, [
-            ("id", "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'price_biz_024' ELSE 'price_pro_010' END"),
+            ("id", "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'plan_large' ELSE 'plan_small' END"),
             ("unit_amount", "cast(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 2400 ELSE 1000 END AS bigint)"),
         ])),
         ("quantity", "cast(1 + c_custkey % 12 AS bigint)"),
@@ -204,7 +218,7 @@ def stripe_subscription_exprs(d: str) -> list[tuple[str, str]]:
 def stripe_invoice_exprs(d: str) -> list[tuple[str, str]]:
     line = _struct(d, [
         ("quantity", "cast(1 + o_orderkey % 9 AS bigint)"),
-        ("price", _struct(d, [("id", "'price_pro_010'")])),
+        ("price", _struct(d, [("id", "'plan_small'")])),
     ])
     return [
         ("id", "'in_' || cast(o_orderkey AS string)"),
@@ -231,7 +245,7 @@ def hubspot_company_exprs(d: str) -> list[tuple[str, str]]:
         ("id", f"'co_' || {k} || CASE WHEN copy_no = 1 THEN '_b' ELSE '' END"),
         ("properties", _struct(d, [
             ("name", "c_name"),
-            ("domain", f"'ACCT' || {k} || CASE WHEN c_custkey % 33 = 0 THEN '.co' ELSE '.com' END"),
+            ("domain", f"'ACCT' || {k} || CASE WHEN c_custkey % 33 = 0 THEN '.old' ELSE '.com' END"),
             ("industry", "c_mktsegment"),
             ("numberofemployees", "cast(c_nationkey * 10 + 1 AS bigint)"),
             ("lifecyclestage", "CASE c_custkey % 4 WHEN 0 THEN 'lead' WHEN 1 THEN 'opportunity' ELSE 'customer' END"),
