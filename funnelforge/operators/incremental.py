@@ -1,22 +1,29 @@
 """Incremental maintenance of ``stg_events`` (W-6, R-3).
 
-A run takes a new batch of raw documents, keeps the valid ones received after
-the high-water mark of the current table (``max(received_ts) - 3 days``), and
-upserts them by ``event_id``: rows of the table whose id is re-delivered are
-replaced by the batch's version.  The published table is versioned: each run
-writes a complete new version next to the old one and only then becomes the
-current version, so a failed run leaves the previous version intact.
+The table is partitioned by the day an event was received.  A run parses its
+batch once, keeps the valid rows received after the high-water mark of the table
+(``max(received_ts) - 3 days``) and upserts them by ``event_id``: rows whose id
+is re-delivered are replaced by the batch's version.  Only days that hold a new
+row or a replaced one are read in full and rewritten; of all other days just the
+id column is read.  Valid rows that the mark excludes are not lost: they go to
+the table's quarantine with a reason.
+
+The new days are staged in the scratch folder first, so a failed run leaves the
+table as it was, and a repeated run gives the same table.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelforge.operators import staging
+from funnelforge.session import scratch_path
 
 LOOKBACK = "INTERVAL 3 DAYS"
 FLOOR = "TIMESTAMP_NTZ'1900-01-01 00:00:00'"
+DAY = "received_day"
 
 
 def high_water_mark(target: DataFrame, lookback: str = LOOKBACK) -> Column:
@@ -29,14 +36,13 @@ def high_water_mark(target: DataFrame, lookback: str = LOOKBACK) -> Column:
                       .alias("hwm")).scalar()
 
 
-def new_rows(batch_raw: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Valid, deduplicated batch rows newer than the target's high-water mark.
-
-    With no target (first run / full refresh) every valid row is new,
-    including rows without ``received_ts``.
-    """
-    hwm = None if target is None else high_water_mark(target)
-    return staging.stg_events(batch_raw, high_water=hwm)
+def excluded_rows(parsed: DataFrame, high_water: Column) -> DataFrame:
+    """Valid documents that an incremental run leaves out, with the reason."""
+    reason = (F.when(F.col("received_ts").isNull(), "missing_received_ts")
+              .when(F.col("received_ts") <= high_water, "late_beyond_lookback"))
+    return (parsed.filter(staging.is_valid_event()).withColumn("failure_reason", reason)
+            .filter(F.col("failure_reason").isNotNull())
+            .select("event_id", "raw_json", "failure_reason", F.lit("incremental").alias("origin"), "_loaded_at"))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "event_id") -> DataFrame:
@@ -45,64 +51,66 @@ def upsert(target: DataFrame, batch: DataFrame, key: str = "event_id") -> DataFr
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
-def apply_batch(target: DataFrame | None, batch_raw: DataFrame) -> DataFrame:
-    """One incremental run as a lazy DataFrame (the next table version)."""
-    fresh = new_rows(batch_raw, target)
-    return fresh if target is None else upsert(target, fresh)
-
+def _with_day(stg: DataFrame) -> DataFrame:
+    # rows without a receive time share one day of their own
+    return stg.withColumn(DAY, F.coalesce(F.to_date("received_ts"), F.lit("1900-01-01").cast("date")))
 
-class VersionedTable:
-    """A Parquet table kept as numbered complete versions under ``root``.
 
-    ``root/v=000001``, ``root/v=000002``, ...; the current version is the
-    highest one that has a ``_SUCCESS`` marker (written last by Spark's
-    commit protocol).  Works on any Hadoop-compatible file system.
-    """
+class EventTable:
+    """``stg_events`` kept as a Parquet table partitioned by receive day."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.path = f"{root.rstrip('/')}/data"
+        self.quarantine_path = f"{root.rstrip('/')}/quarantine"
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
+    def _read(self, path: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None  # nothing written yet
+            raise
 
     def current(self) -> DataFrame | None:
-        vs = self.versions()
-        return self.spark.read.parquet(self.path(vs[-1])) if vs else None
-
-    def commit(self, df: DataFrame) -> int:
-        vs = self.versions()
-        nxt = (vs[-1] + 1) if vs else 1
-        df.write.mode("overwrite").parquet(self.path(nxt))
-        return nxt
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` complete versions (at least one is
-        always kept); returns the removed version numbers."""
-        keep = max(1, keep)
-        old = self.versions()[:-keep]
-        fs, jvm = self._fs()
-        for v in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
-        return old
-
-    def apply(self, batch_raw: DataFrame) -> int:
-        """Run one incremental batch and publish it as the next version."""
-        return self.commit(apply_batch(self.current(), batch_raw))
+        rows = self._read(self.path)
+        return None if rows is None else rows.drop(DAY)
+
+    def quarantine(self) -> DataFrame | None:
+        rows = self._read(self.quarantine_path)
+        return None if rows is None else rows.drop("batch")
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def apply(self, batch_raw: DataFrame, batch: str) -> None:
+        """Merge one batch; ``batch`` names it in the quarantine, so a repeated
+        run replaces its own entries."""
+        parsed = self._stage(staging.parse_events(batch_raw), "parsed-batch")
+        table = self._read(self.path)
+        mark = None if table is None else high_water_mark(table)
+        fresh = self._stage(_with_day(staging.stg_from_parsed(parsed, mark)), "fresh-events")
+        if table is None:
+            rows, days = fresh, None
+        else:
+            (excluded_rows(parsed, mark).withColumn("batch", F.lit(batch))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch").parquet(self.quarantine_path))
+            replaced = table.select("event_id", DAY).join(fresh.select("event_id"), "event_id", "left_semi")
+            days = [r[0] for r in fresh.select(DAY).union(replaced.select(DAY)).distinct().collect()]  # a row per day
+            touched = table.where(F.col(DAY).isin(days)) if days else table.limit(0)
+            rows = self._stage(upsert(touched, fresh), "rewritten-days")
+        (rows.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(DAY).parquet(self.path))
+        if days:
+            left = {r[0] for r in rows.select(DAY).distinct().collect()}
+            self._drop_days(set(days) - left)
+
+    def _drop_days(self, days: set) -> None:
+        """Remove days of which every row moved to another day."""
+        jvm = self.spark.sparkContext._jvm
+        for day in sorted(days):
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{DAY}={day.isoformat()}")
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

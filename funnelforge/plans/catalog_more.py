@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from funnelforge.functions.contract import EVENT_NAMES, PRODUCT_EVENT_V1, contract_report, validate
-from funnelforge.functions.jsonx import with_doc
+from funnelforge.functions.contract import EVENT_NAMES, PRODUCT_EVENT_V1, contract_report, contract_samples, validate
+from funnelforge.functions.jsonx import json_text, with_doc
 from funnelforge.operators import identity, incremental, marts, quality, staging
 from funnelforge.plans.catalog import _wh, register
-from funnelforge.plans.oracle import contract_violations_sql, stg_events_sql
+from funnelforge.plans.oracle import _VALID, contract_violations_sql, stg_events_sql
 from funnelforge.session import scratch_path
 from funnelforge.sources import bronze, sinks, testdata
 from funnelforge.streaming import ingest
@@ -207,32 +207,61 @@ def w5_fct_events_table(spark, sf_dir):
     return spark.read.parquet(path).drop("event_date")
 
 
+@register("w5_rebuild", "SELECT * FROM fct_events WHERE event_ts::DATE <> (SELECT min(event_ts)::DATE FROM fct_events)")
+def w5_rebuild(spark, sf_dir):
+    """W-5: a full refresh replaces the table: a day that is gone from the source
+    is gone from the table, also in a session that overwrites dynamically."""
+    path = scratch_path(spark, "fct_events_rebuilt")
+    fct = _wh(spark, sf_dir).fct_events
+    sinks.write_fct_events(fct, path)
+    first = spark.read.parquet(path).agg(F.min("event_date")).first()[0]
+    sinks.write_fct_events(fct.where(F.to_date("event_ts") != F.lit(first)), path)
+    return spark.read.parquet(path).drop("event_date")
+
+
 _W6_CUT = "(SELECT max(received_ts) - INTERVAL 7 DAY FROM parsed_events)"
 _W6_HWM = "AND received_ts > (SELECT coalesce(max(received_ts), TIMESTAMP '1900-01-01') - INTERVAL 3 DAY FROM t1)"
 
 
-@register("w6_incremental_upsert", f"""
-SELECT * FROM (
-WITH batch1 AS (SELECT * FROM parsed_events WHERE received_ts IS NULL OR received_ts < {_W6_CUT}),
+_W6_BATCHES = f"""batch1 AS (SELECT * FROM parsed_events WHERE received_ts IS NULL OR received_ts < {_W6_CUT}),
      batch2 AS (SELECT * FROM parsed_events WHERE received_ts >= {_W6_CUT} - INTERVAL 4 DAY),
      t1 AS ({stg_events_sql('batch1')}),
-     b2 AS ({stg_events_sql('batch2', _W6_HWM)})
-SELECT * FROM t1 WHERE event_id NOT IN (SELECT event_id FROM b2)
-UNION ALL SELECT * FROM b2) w6""")
-def w6_incremental_upsert(spark, sf_dir):
-    """W-6 + R-3: two incremental runs; the second re-delivers four days of the
-    first and only rows above the high-water mark are merged."""
+     b2 AS ({stg_events_sql('batch2', _W6_HWM)})"""
+
+
+def _two_batches(spark, sf_dir) -> incremental.EventTable:
     raw = testdata.landed_events_raw(spark, sf_dir)
     d = with_doc(raw)
-    rts = staging.try_timestamp(F.try_variant_get("_doc", "$.received_ts", "string"))
+    rts = staging.try_timestamp(json_text(F.col("_doc"), "$.received_ts", F.col("raw_json")))
     cut = d.agg((F.max(rts) - F.expr("INTERVAL 7 DAYS")).alias("c")).scalar()
     d = d.withColumn("_r", rts)
     b1 = d.filter(F.col("_r").isNull() | (F.col("_r") < cut)).select("raw_json", "_loaded_at")
     b2 = d.filter(F.col("_r") >= cut - F.expr("INTERVAL 4 DAYS")).select("raw_json", "_loaded_at")
-    table = incremental.VersionedTable(spark, scratch_path(spark, "stg_events_versions"))
-    table.apply(b1)
-    table.apply(b2)
-    return table.current()
+    table = incremental.EventTable(spark, scratch_path(spark, "stg_events_table"))
+    table.apply(b1, "1")
+    table.apply(b2, "2")
+    return table
+
+
+@register("w6_incremental_upsert", f"""
+SELECT * FROM (
+WITH {_W6_BATCHES}
+SELECT * FROM t1 WHERE event_id NOT IN (SELECT event_id FROM b2)
+UNION ALL SELECT * FROM b2) w6""")
+def w6_incremental_upsert(spark, sf_dir):
+    """W-6 + R-3: two incremental runs; the second re-delivers four days of the
+    first and only rows above the high-water mark are merged."""
+    return _two_batches(spark, sf_dir).current()
+
+
+@register("w6_quarantine", f"""
+SELECT * FROM (
+WITH {_W6_BATCHES}
+SELECT event_id, 'late_beyond_lookback' AS failure_reason, 'incremental' AS origin
+FROM batch2 WHERE {_VALID} AND received_ts <= (SELECT max(received_ts) - INTERVAL 3 DAY FROM t1)) q""")
+def w6_quarantine(spark, sf_dir):
+    """R-3: valid rows that the high-water mark excludes, with the reason."""
+    return _two_batches(spark, sf_dir).quarantine().select("event_id", "failure_reason", "origin")
 
 
 @register("w7_keyed_records", """
@@ -244,28 +273,68 @@ def w7_keyed_records(spark, sf_dir):
 
 
 # -------------------------------------------------------------- streaming (ST)
-def _land_stream_input(spark, sf_dir, files: int = 8) -> str:
+def _land_stream_input(spark, sf_dir) -> str:
     path = scratch_path(spark, "stream-in")
-    raw = testdata.raw_table(spark, sf_dir, "events_raw").select("raw_json")
-    raw.repartition(files).write.mode("overwrite").text(path)
+    testdata.raw_table(spark, sf_dir, "events_raw").select("raw_json").write.mode("overwrite").text(path)
     return path
 
 
+def _routed(spark, sf_dir) -> str:
+    src, out = _land_stream_input(spark, sf_dir), scratch_path(spark, "stream-out")
+    ingest.start_routing(ingest.file_source(spark, src), f"{out}/events", f"{out}/_checkpoint").awaitTermination()
+    return f"{out}/events"
+
+
 @register("st1_stream_contract_routing", f"""
 SELECT raw_json, CASE WHEN len(v) = 0 THEN 'valid' ELSE 'dead' END AS route, v[1] AS failure_reason
 FROM (SELECT raw_json, {_VIOL} AS v FROM event_docs) c""")
 def st1_stream_contract_routing(spark, sf_dir):
     """ST-1..ST-3 (+W-2/W-3): file-source stream, contract routing in
     foreachBatch, availableNow; both sinks read back."""
-    src = _land_stream_input(spark, sf_dir)
-    out = scratch_path(spark, "stream-out")
-    q = ingest.start_routing(ingest.file_source(spark, src, max_files_per_trigger=2),
-                             f"{out}/raw", f"{out}/dead", f"{out}/_checkpoint")
-    q.awaitTermination()
-    valid = spark.read.parquet(f"{out}/raw").select("raw_json", F.lit("valid").alias("route"),
-                                                    F.lit(None).cast("string").alias("failure_reason"))
-    dead = spark.read.parquet(f"{out}/dead").select("raw_json", F.lit("dead").alias("route"), "failure_reason")
-    return valid.unionByName(dead)
+    return spark.read.parquet(_routed(spark, sf_dir)).select("raw_json", "route", "failure_reason")
+
+
+@register("st2_replay", f"""
+SELECT route, count(*) AS n, count(DISTINCT raw_json) AS n_documents
+FROM (SELECT raw_json, CASE WHEN len(v) = 0 THEN 'valid' ELSE 'dead' END AS route
+      FROM (SELECT raw_json, {_VIOL} AS v FROM event_docs) c) r GROUP BY ALL""")
+def st2_replay(spark, sf_dir):
+    """ST-2: two batches, the first of which is delivered again after a failure:
+    every document is there as often as it was sent."""
+    out = scratch_path(spark, "stream-replay")
+    docs = testdata.landed_events_raw(spark, sf_dir).select("raw_json")
+    half = F.pmod(F.xxhash64("raw_json"), F.lit(2))
+    for batch_id in (0, 1, 0):
+        ingest.route_batch(docs.where(half == batch_id), batch_id, out)
+    return spark.read.parquet(out).groupBy("route").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("raw_json").alias("n_documents"))
+
+
+@register("da_from_stream", f"""
+SELECT * FROM (WITH accepted AS (SELECT p.* FROM parsed_events p JOIN event_docs d ON p.raw_json = d.raw_json
+                                 WHERE len({_VIOL.replace("(doc", "(d.doc").replace(" doc ", " d.doc ")}) = 0)
+{stg_events_sql('accepted')}) s""")
+def da_from_stream(spark, sf_dir):
+    """ST-1 -> D-A: what the stream accepted, staged by the same model."""
+    return staging.stg_events(ingest.streamed_events(spark, _routed(spark, sf_dir)))
+
+
+@register("st1_dead_letters", f"""
+SELECT doc ->> '$.event_id' AS event_id, raw_json, v[1] AS failure_reason, 'stream' AS origin
+FROM (SELECT doc, raw_json, {_VIOL} AS v FROM event_docs) c WHERE len(v) > 0""")
+def st1_dead_letters(spark, sf_dir):
+    """ST-1 / W-3: refused documents in the shared dead-letter shape."""
+    return ingest.stream_dead_letters(spark, _routed(spark, sf_dir)).drop("_loaded_at")
+
+
+@register("st4_passed_over", """
+SELECT event_id, raw_json, CASE WHEN event_id IS NULL THEN 'missing_event_id' ELSE 'missing_event_time' END AS failure_reason
+FROM parsed_events WHERE event_id IS NULL OR coalesce(received_ts, event_ts) IS NULL""")
+def st4_passed_over(spark, sf_dir):
+    """ST-4: documents that the streaming dedup passes over, with the reason."""
+    src, out = _land_stream_input(spark, sf_dir), scratch_path(spark, "stream-passed-over")
+    ingest.run_undedupable(ingest.file_source(spark, src), f"{out}/data", f"{out}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("event_id", "raw_json", "failure_reason")
 
 
 @register("st4_stream_dedup", """
@@ -332,3 +401,55 @@ def j7_invoice_accounts(spark, sf_dir):
     inv = w.stg_invoices.filter(F.col("invoice_status") == "paid")
     return inv.join(w.stg_customers.select("stripe_customer_id", "account_id"), "stripe_customer_id") \
         .select("stripe_invoice_id", "invoice_month", "amount_usd", "account_id")
+
+
+# ------------------------------------------------- options and records as queries
+@register("db_dead_letter_strict", f"""
+SELECT event_id, raw_json, CASE WHEN event_ts IS NULL THEN 'missing_or_invalid_event_ts'
+       WHEN event_name_json_type IS NULL THEN 'missing_event_name'
+       WHEN event_name_json_type <> 'string' THEN 'event_name_not_string'
+       WHEN anonymous_id IS NULL AND user_id IS NULL THEN 'no_identity'
+       ELSE 'missing_event_id' END AS failure_reason
+FROM parsed_events WHERE ({_VALID}) IS NOT TRUE""")
+def db_dead_letter_strict(spark, sf_dir):
+    """D-B strict: exactly the documents that staging refuses."""
+    w = _wh(spark, sf_dir, materialize=False, strict_dead_letter=True)
+    return w.dead_letter.select("event_id", "raw_json", "failure_reason")
+
+
+@register("dc_anon_to_user_compat", "SELECT * REPLACE (FALSE AS had_conflicting_claims) FROM anon_to_user")
+def dc_anon_to_user_compat(spark, sf_dir):
+    """D-C with the published constant conflict flag."""
+    return _wh(spark, sf_dir, compat_conflicts=True).anon_to_user
+
+
+@register("k9_contract_samples", f"""
+SELECT doc ->> '$.event_id' AS event_id, v[1] AS failure_reason
+FROM (SELECT doc, raw_json, {_VIOL} AS v FROM event_docs) c WHERE len(v) > 0 ORDER BY raw_json LIMIT 3""")
+def k9_contract_samples(spark, sf_dir):
+    """K-9: three sample violations, the first by document text."""
+    return contract_samples(validate(testdata.landed_events_raw(spark, sf_dir)), 3)
+
+
+def _export_query(name: str, table: str, sql_columns: str, columns: list):
+    @register(name, f"SELECT {sql_columns} FROM {table}")
+    def scan(spark, sf_dir):
+        path = scratch_path(spark, f"landing-{table}")
+        bronze.write_ndjson(testdata.raw_table(spark, sf_dir, table).drop("_loaded_at"), path)
+        out = bronze.read_export(spark, table, path).select(*columns)
+        return out.withColumn("n_items", F.size("items.data").cast("bigint")).drop("items") if "items" in columns else out
+    return scan
+
+
+_export_query("s2_crm_contacts_scan", "hubspot_contacts",
+              "id, properties.email AS email, properties.associatedcompanyid AS associatedcompanyid",
+              ["id", "properties.email", "properties.associatedcompanyid"])
+_export_query("s2_crm_deals_scan", "hubspot_deals",
+              "id, properties.dealname AS dealname, properties.closedate AS closedate",
+              ["id", "properties.dealname", "properties.closedate"])
+_export_query("s3_billing_customers_scan", "stripe_customers",
+              "id, email, created, metadata.account_id AS account_id",
+              ["id", "email", "created", "metadata.account_id"])
+_export_query("s3_billing_subscriptions_scan", "stripe_subscriptions",
+              "id, customer, status, current_period_start, len(items.data) AS n_items",
+              ["id", "customer", "status", "current_period_start", "items"])

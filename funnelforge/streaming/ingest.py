@@ -1,15 +1,19 @@
-"""Streaming ingestion: consume -> validate against the contract -> two sinks.
+"""Streaming ingestion: consume -> validate against the contract -> two routes.
 
-* ST-1  every micro-batch is validated with the compiled contract and split
-        into raw (valid) and dead-letter rows; micro-batch size is bounded by
-        ``maxOffsetsPerTrigger`` (Kafka) / ``maxFilesPerTrigger`` (files).
+* ST-1  every micro-batch is validated with the compiled contract and written
+        once, partitioned by route (valid / dead); micro-batches are as large as
+        what has arrived unless a deployment sets a limit.
 * ST-2  at-least-once + idempotent: offsets are committed by the checkpoint
         only after ``foreachBatch`` returns, and each batch overwrites its own
         ``batch_id=N`` directory, so a replayed batch rewrites, never doubles.
 * ST-3  ``availableNow``: drain what is there, then stop.
 * ST-4  live dedup on event_id with a 3-day watermark
         (``dropDuplicatesWithinWatermark``); batch staging stays the truth.
-* ST-5  lateness bound = the same 3 days as the batch high-water mark.
+* ST-5  lateness bound = the same 3 days as the batch high-water mark.  The
+        state is kept in RocksDB, so it is not bounded by executor memory.
+
+What was routed feeds the models: ``streamed_events`` is unioned with the landed
+documents, ``stream_dead_letters`` with the batch dead letter.
 """
 
 from __future__ import annotations
@@ -18,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelforge.functions.contract import validate
-from funnelforge.functions.jsonx import with_doc
+from funnelforge.functions.jsonx import json_text, with_doc
 from funnelforge.functions.semantics import try_timestamp
 from funnelforge.sources.bronze import load_time
 
 WATERMARK_DELAY = "3 days"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,62 +39,91 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = "product-events",
-                 max_offsets_per_trigger: int = 200, starting_offsets: str = "earliest") -> DataFrame:
-    """S-5: the event topic from the earliest offset (needs the Kafka connector)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-            .load()
-            .select(F.col("value").cast("string").alias("raw_json")))
-
-
-def route_batch(batch: DataFrame, batch_id: int, valid_path: str, dead_path: str) -> None:
-    """ST-1 / W-2 / W-3: validate one micro-batch and write both outputs.
-
-    The validated batch is persisted so the two writes share one evaluation;
-    each output goes to its own ``batch_id`` directory with overwrite, which
-    makes a replay of the same batch idempotent.
+                 max_offsets_per_trigger: int | None = None, starting_offsets: str = "earliest") -> DataFrame:
+    """S-5: the event topic from the earliest offset (needs the Kafka connector).
+    ``max_offsets_per_trigger`` is a deployment option; without it a trigger
+    takes all that has arrived."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return r.load().select(F.col("value").cast("string").alias("raw_json"))
+
+
+def route_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
+    """ST-1 / W-2 / W-3: validate one micro-batch and write it, by route.
+
+    One write: the batch is validated once and lands in ``batch_id=N/route=...``
+    with overwrite, which makes a replay of the same batch idempotent.
     """
-    checked = validate(batch.select("raw_json")).withColumn("_loaded_at", load_time()).persist()
-    try:
-        (checked.filter(F.size("violations") == 0).select("raw_json", "_loaded_at")
-         .write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}"))
-        (checked.filter(F.size("violations") > 0).select("raw_json", "failure_reason", "_loaded_at")
-         .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}"))
-    finally:
-        checked.unpersist()
+    checked = validate(batch.select("raw_json"))
+    route = F.when(F.size("violations") == 0, "valid").otherwise("dead")
+    (checked.select(F.get_json_object("raw_json", "$.event_id").alias("event_id"), "raw_json", "failure_reason",
+                    F.lit("stream").alias("origin"), load_time().alias("_loaded_at"), route.alias("route"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route")
+     .parquet(f"{out_path}/batch_id={batch_id}"))
 
 
-def start_routing(stream: DataFrame, valid_path: str, dead_path: str, checkpoint: str,
+def start_routing(stream: DataFrame, out_path: str, checkpoint: str,
                   available_now: bool = True, processing_time: str | None = None):
     """ST-1..ST-3: start the contract-routing stream; returns the StreamingQuery."""
     w = (stream.writeStream
-         .foreachBatch(lambda df, bid: route_batch(df, bid, valid_path, dead_path))
+         .foreachBatch(lambda df, bid: route_batch(df, bid, out_path))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
 
 
-def dedup_stream(stream: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """ST-4 / ST-5: unique event ids within a 3-day watermark on
-    ``coalesce(received_ts, event_ts)``.  State is bounded by the watermark."""
+def streamed_events(spark: SparkSession, out_path: str) -> DataFrame:
+    """Accepted documents of the stream, shaped like the landed ones."""
+    return spark.read.parquet(out_path).where("route = 'valid'").select("raw_json", "_loaded_at")
+
+
+def stream_dead_letters(spark: SparkSession, out_path: str) -> DataFrame:
+    """Refused documents of the stream: event_id, raw_json, failure_reason, origin, _loaded_at."""
+    return (spark.read.parquet(out_path).where("route = 'dead'")
+            .select("event_id", "raw_json", "failure_reason", "origin", "_loaded_at"))
+
+
+def _keyed(stream: DataFrame) -> DataFrame:
     d = with_doc(stream.select("raw_json"))
+    doc, raw = F.col("_doc"), F.col("raw_json")
     ev = d.select(
-        F.try_variant_get("_doc", "$.event_id", "string").alias("event_id"),
-        try_timestamp(F.try_variant_get("_doc", "$.event_ts", "string")).alias("event_ts"),
-        try_timestamp(F.try_variant_get("_doc", "$.received_ts", "string")).alias("received_ts"),
+        json_text(doc, "$.event_id", raw).alias("event_id"),
+        try_timestamp(json_text(doc, "$.event_ts", raw)).alias("event_ts"),
+        try_timestamp(json_text(doc, "$.received_ts", raw)).alias("received_ts"),
         "raw_json")
-    ev = ev.filter(F.col("event_id").isNotNull()).withColumn(
-        "_wm", F.coalesce("received_ts", "event_ts").cast("timestamp"))
-    ev = ev.filter(F.col("_wm").isNotNull())
+    return ev.withColumn("_wm", F.coalesce("received_ts", "event_ts").cast("timestamp"))
+
+
+def dedup_stream(stream: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """ST-4 / ST-5: unique event ids within a 3-day watermark on
+    ``coalesce(received_ts, event_ts)``.  State is bounded by the watermark.
+    Documents without id or time can't be kept apart: see ``undedupable``."""
+    ev = _keyed(stream).filter(F.col("event_id").isNotNull() & F.col("_wm").isNotNull())
     return ev.withWatermark("_wm", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def undedupable(stream: DataFrame) -> DataFrame:
+    """The documents that ``dedup_stream`` passes over, with the reason."""
+    reason = F.when(F.col("event_id").isNull(), "missing_event_id").when(F.col("_wm").isNull(), "missing_event_time")
+    return (_keyed(stream).withColumn("failure_reason", reason).filter(F.col("failure_reason").isNotNull())
+            .select("event_id", "raw_json", "failure_reason", F.lit("stream_dedup").alias("origin"),
+                    load_time().alias("_loaded_at")))
+
+
 def run_dedup(stream: DataFrame, out_path: str, checkpoint: str):
     """Write the deduplicated stream (append) with ``availableNow``; returns the query."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (dedup_stream(stream).select("event_id", "event_ts", "received_ts", "raw_json")
             .writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())
+
+
+def run_undedupable(stream: DataFrame, out_path: str, checkpoint: str):
+    """Write what ``run_dedup`` passes over; returns the query."""
+    return (undedupable(stream).writeStream.format("parquet").option("path", out_path)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
