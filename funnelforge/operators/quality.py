@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelforge.functions.contract import EVENT_NAMES
+from funnelforge.session import scratch_path
 
 
 def unique_violations(df: DataFrame, col: str) -> DataFrame:
@@ -152,32 +153,39 @@ def _normalized(df: DataFrame, places: int) -> DataFrame:
 
 
 def _fingerprints(df: DataFrame) -> list:
-    """Order-insensitive per-column digest: sum of 64-bit hashes (as DECIMAL)."""
-    if not df.columns:
-        return []
-    row = df.agg(*[F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias(c) for c in df.columns]).first()
-    return [row[c] for c in df.columns]
+    """Row count, then an order-insensitive digest per column: the sum of 64-bit
+    hashes (as DECIMAL)."""
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias(c) for c in df.columns]).first()
+    return list(row)
+
+
+def difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Rows that one side has more often: one grouping of both sides (no join),
+    with columns matched by position; ``n`` > 0 where ``expected`` has more."""
+    names = expected.columns
+    both = (expected.withColumn("_n", F.lit(1))
+            .unionByName(actual.toDF(*names).withColumn("_n", F.lit(-1))))
+    return both.groupBy(*names).agg(F.sum("_n").alias("n")).filter(F.col("n") != 0)
 
 
 def results_equivalent(expected: DataFrame, actual: DataFrame, places: int = 2) -> bool:
     """Q-6: same rows as multisets, ignoring column names, column order and
     extra columns of ``actual``; floats compared at ``places`` decimals.
 
-    Candidate column pairings are pruned by per-column hash digests (one
-    aggregate per side) and only surviving assignments are verified with
-    ``exceptAll`` in both directions – never a brute force over permutations
-    of data.
+    Both sides are written once.  Columns are paired by digests of their values
+    (one aggregate per side); a pairing is verified by one grouping of both
+    sides.  Columns of one side with equal digests hold the same values, so only
+    their arrangements among each other are tried.
     """
-    e, a = _normalized(expected, places), _normalized(actual, places)
-    ne, na = len(e.columns), len(a.columns)
+    ne, na = len(expected.columns), len(actual.columns)
     if ne > na:
         return False
-    if e.count() != a.count():
-        return False
+    e, a = (_stored(_normalized(df, places), name) for df, name in ((expected, "expected"), (actual, "actual")))
     fe, fa = _fingerprints(e), _fingerprints(a)
-    cands = [[j for j in range(na) if fa[j] == fe[i]] for i in range(ne)]
-    if any(not c for c in cands):
+    if fe[0] != fa[0]:
         return False
+    cands = [[j for j in range(na) if fa[1 + j] == fe[1 + i]] for i in range(ne)]
 
     def assignments(i: int, used: tuple[int, ...]):
         if i == ne:
@@ -187,11 +195,13 @@ def results_equivalent(expected: DataFrame, actual: DataFrame, places: int = 2)
             if j not in used:
                 yield from assignments(i + 1, used + (j,))
 
-    for mapping in assignments(0, ()):
-        proj = a.select(*[F.col(f"c{j}").alias(f"c{i}") for i, j in enumerate(mapping)])
-        if proj.exceptAll(e).isEmpty() and e.exceptAll(proj).isEmpty():
-            return True
-    return False
+    return any(difference(e, a.select(*[f"c{j}" for j in mapping])).isEmpty() for mapping in assignments(0, ()))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------------------

@@ -1,81 +1,148 @@
-"""The batch build: land -> silver -> gold, written as tables.
+"""The batch build: raw -> silver -> gold, checked model by model, then published.
 
-``run_warehouse`` is what a scheduled job calls.  Tables with several
-consumers are written once and re-read (lineage cut; a lost executor re-reads
-files instead of recomputing upstream shuffles):
+``run_warehouse`` is what a scheduled job calls.  Every run writes all models into
+a folder of its own.  After each model its declared checks run; if one fails, the
+models that depend on it are not built and nothing is published, so readers keep
+the tables of the last good run.  Publishing writes the list of table paths, as
+the last step; ``published`` reads it and registers each table by its name.
 
-* ``stg_events``  – read by both identity models, fct_events and the checks;
-                    maintained incrementally when ``incremental=True``.
-* marts           – written as tables; ``fct_events`` partitioned by event
-                    date.
+Documents are parsed once: staging and the dead letter read the parsed table.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from funnelforge.operators import incremental, quality
-from funnelforge.plans.warehouse import GOLD_TABLES, Warehouse
+from funnelforge.operators import incremental, quality, staging
+from funnelforge.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse, materialized
 from funnelforge.sources import bronze, sinks
 
+#: Models that each model reads; in build order.
+READS = {
+    "stg_events": [], "dead_letter": [], "stg_companies": [], "stg_contacts": [], "stg_deals": [],
+    "stg_customers": [], "stg_subscriptions": [], "stg_invoices": [],
+    "anon_to_user": ["stg_events"], "user_to_account": ["stg_events"],
+    "account_spine": ["user_to_account", "stg_companies", "stg_customers"],
+    "fct_events": ["stg_events", "anon_to_user", "user_to_account"],
+    "dim_accounts": ["account_spine", "fct_events"],
+    "fct_mrr_monthly": ["stg_invoices", "stg_customers"],
+    "fct_ndr": ["fct_mrr_monthly"],
+    "fct_revenue_attribution": ["dim_accounts", "fct_mrr_monthly"],
+}
+
 
 @dataclass
 class PipelineResult:
-    tables: dict[str, str] = field(default_factory=dict)   # table -> path
-    dq_failures: int = 0
-
-
-def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
-          incremental_events: bool = False, run_checks: bool = True) -> PipelineResult:
-    """Build silver + gold from raw DataFrames and write them under ``out_root``."""
-    root = out_root.rstrip("/")
-    res = PipelineResult()
-    w = Warehouse(raw)
+    tables: dict[str, str] = field(default_factory=dict)   # table -> path, as far as built
+    failed_checks: list[str] = field(default_factory=list)
+    skipped: list[str] = field(default_factory=list)       # models not built for a failure upstream
+    published: bool = False
+
+    @property
+    def dq_failures(self) -> int:
+        return len(self.failed_checks)
+
+
+def _events_raw(raw: dict[str, DataFrame], streamed: DataFrame | None) -> DataFrame:
+    """Landed documents and those the stream accepted, as one table."""
+    landed = raw["events_raw"].select("raw_json", "_loaded_at")
+    return landed if streamed is None else landed.unionByName(streamed.select("raw_json", "_loaded_at"))
+
+
+def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, incremental_events: bool = False,
+          run_checks: bool = True, strict_dead_letter: bool = False, streamed: DataFrame | None = None,
+          stream_dead_letters: DataFrame | None = None, checks: list | None = None,
+          batch: str | None = None) -> PipelineResult:
+    """Build, check and publish silver + gold under ``out_root``.
+
+    ``streamed`` / ``stream_dead_letters`` are what the stream routed (see
+    streaming.ingest); ``batch`` names an incremental run's delivery.
+    """
+    root, run = out_root.rstrip("/"), uuid.uuid4().hex[:12]
+    checks = quality.DECLARED_CHECKS if checks is None else checks
+    res, reports = PipelineResult(), []
+    w = Warehouse(raw, strict_dead_letter=strict_dead_letter)
+    events = _events_raw(raw, streamed)
+    parsed = materialized(staging.parse_events(events), "parsed_events")
+    letters = staging.dead_letter_from_parsed(parsed, strict_dead_letter).withColumn("origin", F.lit("batch"))
+    if stream_dead_letters is not None:
+        letters = letters.unionByName(stream_dead_letters)
+    w.override("parsed_events", parsed)
+    w.override("dead_letter", letters)
     if incremental_events:
-        table = incremental.VersionedTable(spark, f"{root}/silver/stg_events")
-        v = table.apply(raw["events_raw"])
-        res.tables["stg_events"] = table.path(v)
+        table = incremental.EventTable(spark, f"{root}/incremental/stg_events")
+        table.apply(events, batch or run)
         w.override("stg_events", table.current())
     else:
-        path = f"{root}/silver/stg_events"
-        sinks.full_refresh(w.stg_events, path)
-        res.tables["stg_events"] = path
-        w.override("stg_events", spark.read.parquet(path))
-    path = f"{root}/silver/stg_events_dead_letter"
-    sinks.full_refresh(w.dead_letter, path)
-    res.tables["stg_events_dead_letter"] = path
-
-    for name in GOLD_TABLES:
-        path = f"{root}/gold/{name}"
+        w.override("stg_events", staging.stg_from_parsed(parsed))
+
+    blocked: set[str] = set()
+    for name, reads in READS.items():
+        if blocked.intersection(reads):
+            blocked.add(name)
+            res.skipped.append(name)
+            continue
+        path = f"{root}/builds/{run}/{name}"
         if name == "fct_events":
             sinks.write_fct_events(w.fct_events, path)
-            df = spark.read.parquet(path).drop("event_date")
         else:
             sinks.full_refresh(getattr(w, name), path)
-            df = spark.read.parquet(path)
-        w.override(name, df)
+        w.override(name, _read_table(spark, name, path))
         res.tables[name] = path
-
-    if run_checks:
-        report = quality.dq_report(w)
-        path = f"{root}/quality/dq_report"
-        sinks.full_refresh(report, path)
+        own = [c for c in checks if c.model == name]
+        if run_checks and own:
+            rows = quality.dq_report(w, own).collect()  # a row per check
+            reports += rows
+            failed = [r.check_id for r in rows if r.status == "fail"]
+            res.failed_checks += failed
+            if failed:
+                blocked.add(name)
+    if reports:
+        path = f"{root}/builds/{run}/dq_report"
+        sinks.full_refresh(spark.createDataFrame(reports, quality.REPORT_SCHEMA), path)
         res.tables["dq_report"] = path
-        res.dq_failures = spark.read.parquet(path).filter("status = 'fail'").count()
+    if not blocked:
+        manifest = spark.createDataFrame(sorted(res.tables.items()), "table_name string, path string")
+        sinks.full_refresh(manifest.coalesce(1), f"{root}/published")
+        res.published = True
     return res
 
 
+def _read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df.drop("event_date") if name == "fct_events" else df
+
+
 def run_warehouse(spark: SparkSession, landing_root: str, out_root: str, **kw) -> PipelineResult:
     """Land the raw exports under ``landing_root`` (bronze spec) and build everything."""
     return build(spark, bronze.read_bronze(spark, landing_root), out_root, **kw)
 
 
+def published(spark: SparkSession, out_root: str, register_views: bool = True) -> dict[str, DataFrame]:
+    """The tables of the last good build by name, also as views for SQL users
+    (W-4); empty before the first."""
+    try:
+        rows = spark.read.parquet(f"{out_root.rstrip('/')}/published").collect()  # a row per table
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+    tables = {r.table_name: _read_table(spark, r.table_name, r.path) for r in rows}
+    if register_views:
+        for name, df in tables.items():
+            sinks.as_view(df, name)
+    return tables
+
+
 def gold(spark: SparkSession, result: PipelineResult) -> Warehouse:
-    """A Warehouse whose gold attributes read the written tables (for metrics)."""
+    """A Warehouse whose attributes read the written tables (for metrics)."""
     w = Warehouse({})
-    for name in GOLD_TABLES:
-        df = spark.read.parquet(result.tables[name])
-        w.override(name, df.drop("event_date") if name == "fct_events" else df)
+    for name in [*SILVER_TABLES, *GOLD_TABLES]:
+        if name in result.tables:
+            w.override(name, _read_table(spark, name, result.tables[name]))
     return w

@@ -177,27 +177,51 @@ def q5_dq_report(spark, sf_dir):
     return quality.dq_report(_wh(spark, sf_dir, materialize="all"))
 
 
-@register("q6_result_equivalence", """
-SELECT * FROM (VALUES ('renamed_permuted_superset', TRUE), ('shifted_values', FALSE),
-                      ('dropped_month', FALSE)) t(comparison, equivalent)""")
+_SAME = "NOT EXISTS ((FROM truth EXCEPT ALL FROM {0}) UNION ALL (FROM {0} EXCEPT ALL FROM truth))"
+
+
+@register("q6_result_equivalence", f"""
+SELECT * FROM (
+WITH months AS (FROM fct_mrr_monthly SELECT invoice_month AS m, sum(mrr) AS s, count(*) AS k GROUP BY ALL),
+     truth AS (FROM months SELECT m, round(s, 2) AS s),
+     renamed AS (FROM months SELECT m AS month, round(s, 2) AS revenue),
+     shifted AS (FROM months SELECT m, round(s + 0.5, 2)),
+     dropped AS (FROM truth WHERE m <> (SELECT min(m) FROM truth))
+SELECT 'renamed_permuted_superset' AS comparison, {_SAME.format("renamed")} AS equivalent
+UNION ALL SELECT 'shifted_values', {_SAME.format("shifted")}
+UNION ALL SELECT 'dropped_month', {_SAME.format("dropped")}) q""")
 def q6_result_equivalence(spark, sf_dir):
     """Q-6: result equivalence of golden query answers against reformulations."""
     from funnelforge.plans.metrics import mrr_by_month
-    w = _wh(spark, sf_dir, materialize=False)
-    truth = mrr_by_month(w.fct_mrr_monthly)
-    led = w.fct_mrr_monthly
+    from funnelforge.plans.warehouse import materialized
+    led = materialized(_wh(spark, sf_dir, materialize=False).fct_mrr_monthly, "ledger")
     per_month = led.groupBy("invoice_month").agg(F.sum("mrr").alias("s"), F.count(F.lit(1)).alias("k"))
-    superset = per_month.select(F.col("k").alias("accounts"), F.col("s").alias("revenue"),
-                                F.col("invoice_month").alias("month"))
-    shifted = per_month.select("invoice_month", (F.col("s") + F.lit(0.5)).alias("s"))
-    dropped = per_month.filter(F.col("invoice_month") != led.agg(F.min("invoice_month")).scalar()) \
-        .select("invoice_month", "s")
-    rows = [("renamed_permuted_superset", quality.results_equivalent(truth, superset)),
-            ("shifted_values", quality.results_equivalent(truth, shifted)),
-            ("dropped_month", quality.results_equivalent(truth, dropped))]
+    candidates = {
+        "renamed_permuted_superset": per_month.select(F.col("k").alias("accounts"), F.col("s").alias("revenue"),
+                                                      F.col("invoice_month").alias("month")),
+        "shifted_values": per_month.select("invoice_month", (F.col("s") + F.lit(0.5)).alias("s")),
+        "dropped_month": per_month.filter(F.col("invoice_month") != led.agg(F.min("invoice_month")).scalar())
+        .select("invoice_month", "s"),
+    }
+    truth = mrr_by_month(led)
+    rows = [(name, quality.results_equivalent(truth, df)) for name, df in candidates.items()]
     return spark.createDataFrame(rows, "comparison string, equivalent boolean")
 
 
+_RAW_CHECKS = [quality.Check("unique", "parsed_events", "raw_documents", ("event_id",)),
+               quality.Check("not_null", "parsed_events", "raw_documents", ("user_id",)),
+               quality.Check("accepted_values", "parsed_events", "raw_documents", ("event_name",)),
+               quality.Check("not_null", "parsed_events", "raw_documents", ("raw_json",))]
+
+
+@register("q5_failures", "SELECT * FROM (" + " UNION ALL ".join(_check_sql(c) for c in _RAW_CHECKS)
+          + ") r, (SELECT 'fail' AS status) s WHERE failing_rows > 0")
+def q5_failures(spark, sf_dir):
+    """Q-5 / triage: the failing checks among some declared on the raw documents."""
+    w = _wh(spark, sf_dir, materialize=False)
+    return quality.failures(quality.dq_report(w, _RAW_CHECKS))
+
+
 # ------------------------------------------------------------------ sinks (W)
 @register("w5_fct_events_table", "SELECT * FROM fct_events")
 def w5_fct_events_table(spark, sf_dir):

@@ -139,7 +139,8 @@ def event_exprs(d: str) -> list[tuple[str, str]]:
             f"WHEN event_id % 4 <> 0 AND event_id % 2 = 1 THEN 'acct_' || {_hex12(acct_key)} END")
     email = (f"CASE WHEN event_type = 'signup' THEN 'U' || cast(user_id AS string) || '@Acct' "
              f"|| cast({acct_key} AS string) || '.com' END")
-    utm = ("CASE WHEN event_type = 'view' THEN "
+    # every ninth account never shows a channel
+    utm = (f"CASE WHEN event_type = 'view' AND {acct_key} % 9 <> 4 THEN "
            + _case("event_id % 7", [(str(i), _lit(s)) for i, s in enumerate(UTM_SOURCES)]) + " END")
     page = ("CASE WHEN event_type = 'view' THEN "
             + _case("event_id % 5", [(str(i), _lit(s)) for i, s in enumerate(PAGES)]) + " END")

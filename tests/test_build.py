@@ -3,9 +3,11 @@ golden questions exactly like the lazy model graph."""
 
 import pytest
 
+from funnelforge.operators import quality
 from funnelforge.plans import build, metrics
-from funnelforge.plans.warehouse import GOLD_TABLES, Warehouse
-from funnelforge.sources import testdata
+from funnelforge.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
+from funnelforge.sources import sinks, testdata
+from funnelforge.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,3 +23,53 @@ def test_build_matches_lazy_graph(spark, tmp_path, incremental_events):
     for name in ["g1_mrr_last_month", "g3_top_channel_revenue", "g6_paying_accounts",
                  "g10_events_stitched", "g12_mrr_by_month", "g15_mobile_events_share"]:
         assert sorted(on_tables[name].collect()) == sorted(lazy[name].collect()), name
+
+
+def test_failed_check_keeps_the_published_tables(spark, tmp_path):
+    raw = testdata.raw_tables(spark, SF)
+    root = str(tmp_path / "wh")
+    assert build.published(spark, root) == {}
+    first = build.build(spark, raw, root)
+    assert first.published and not first.skipped
+    failing = [quality.Check("unique", "account_spine", "account_spine", ("is_crm_matched",))]
+    second = build.build(spark, raw, root, checks=failing)
+    assert not second.published and second.dq_failures == 1
+    assert second.skipped == ["dim_accounts", "fct_revenue_attribution"]
+    tables = build.published(spark, root)
+    assert set(tables) == set(SILVER_TABLES) | set(GOLD_TABLES) | {"dq_report"}
+    assert spark.sql("SELECT count(*) FROM fct_revenue_attribution").first()[0] >= 1
+
+
+def test_streamed_documents_reach_the_models(spark, tmp_path):
+    raw = testdata.raw_tables(spark, SF)
+    docs = raw["events_raw"].select("raw_json")
+    ingest.route_batch(docs, 0, str(tmp_path / "stream"))
+    nothing = dict(raw, events_raw=raw["events_raw"].limit(0))
+    res = build.build(spark, nothing, str(tmp_path / "wh"), run_checks=False,
+                      streamed=ingest.streamed_events(spark, str(tmp_path / "stream")),
+                      stream_dead_letters=ingest.stream_dead_letters(spark, str(tmp_path / "stream")))
+    w = build.gold(spark, res)
+    assert w.stg_events.count() > 0
+    origins = {r.origin for r in w.dead_letter.select("origin").distinct().collect()}
+    assert "stream" in origins
+
+
+def test_full_refresh_drops_old_days_and_splits_hot_ones(spark, tmp_path):
+    fct = spark.range(4000).selectExpr("concat('e', id) AS event_id",
+                                       "TIMESTAMP_NTZ'2025-01-01 00:00:00' + make_interval(0,0,0, cast(if(id < 5, 1, 0) AS int)) AS event_ts",
+                                       "repeat('x', 300) AS page")
+    path = str(tmp_path / "fct")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.write_fct_events(fct.repartition(4), path)
+        files = [r[0] for r in spark.read.parquet(path).where("event_date = DATE'2025-01-01'")
+                 .selectExpr("input_file_name()").distinct().collect()]
+        assert len(files) > 1  # one day, several tasks
+        sinks.write_fct_events(fct.where("event_id NOT IN ('e0', 'e1', 'e2', 'e3', 'e4')"), path)
+        assert [str(r[0]) for r in spark.read.parquet(path).select("event_date").distinct().collect()] == ["2025-01-01"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)

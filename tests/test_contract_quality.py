@@ -5,7 +5,7 @@ import datetime as dt
 from conftest import doc
 from pyspark.sql import functions as F
 
-from funnelforge.functions.contract import validate
+from funnelforge.functions.contract import contract_report, validate
 from funnelforge.operators import incremental, quality, staging
 
 GOOD = "evt_" + "0" * 32
@@ -63,24 +63,49 @@ def test_incremental_ignores_rows_older_than_lookback(raw_events, spark, tmp_pat
           doc(event_id="evt_" + "3" * 32, ts="2025-01-08T00:00:00Z", received="2025-01-08T00:00:00Z"),
           doc(event_id="evt_" + "1" * 32, ts="2025-01-10T00:00:00Z", received="2025-01-10T01:00:00Z",
               device="ios_app")]
-    t = incremental.VersionedTable(spark, str(tmp_path / "stg"))
-    assert t.apply(raw_events(b1)) == 1
-    assert t.apply(raw_events(b2)) == 2
+    t = incremental.EventTable(spark, str(tmp_path / "stg"))
+    t.apply(raw_events(b1), "1")
+    t.apply(raw_events(b2), "2")
     rows = {r.event_id: r for r in t.current().collect()}
     assert set(rows) == {"evt_" + "1" * 32, "evt_" + "3" * 32}
     # the re-delivered event is replaced by the latest batch's version
     assert rows["evt_" + "1" * 32].device_type == "ios_app"
+    # the late row is kept aside with its reason; a repeated run changes nothing
+    t.apply(raw_events(b2), "2")
+    assert [(r.event_id, r.failure_reason) for r in t.quarantine().collect()] == [("evt_" + "2" * 32, "late_beyond_lookback")]
+    assert {r.event_id for r in t.current().collect()} == set(rows)
 
 
 def test_incremental_equals_full_refresh_for_disjoint_batches(raw_events, spark, tmp_path):
     docs = [doc(event_id="evt_" + f"{i:032x}", ts=f"2025-01-{i:02d}T00:00:00Z") for i in range(1, 21)]
-    t = incremental.VersionedTable(spark, str(tmp_path / "stg"))
-    t.apply(raw_events(docs[:10]))
-    t.apply(raw_events(docs[10:]))
+    t = incremental.EventTable(spark, str(tmp_path / "stg"))
+    t.apply(raw_events(docs[:10]), "1")
+    t.apply(raw_events(docs[10:]), "2")
     full = staging.stg_events(raw_events(docs))
     assert t.current().exceptAll(full).isEmpty() and full.exceptAll(t.current()).isEmpty()
-    assert t.vacuum(keep=1) == [1] and t.versions() == [2]
-    assert t.current().count() == full.count()
+
+
+def test_incremental_moves_rows_between_days(raw_events, spark, tmp_path):
+    one = "evt_" + "1" * 32
+    t = incremental.EventTable(spark, str(tmp_path / "stg"))
+    t.apply(raw_events([doc(event_id=one, received="2025-01-09T00:00:00Z"),
+                        doc(event_id="evt_" + "2" * 32, received="2025-01-10T00:00:00Z")]), "1")
+    t.apply(raw_events([doc(event_id=one, received="2025-01-11T00:00:00Z", device="ios_app")]), "2")
+    got = {(r.event_id, str(r.received_ts), r.device_type) for r in t.current().collect()}
+    assert got == {(one, "2025-01-11 00:00:00", "ios_app"), ("evt_" + "2" * 32, "2025-01-10 00:00:00", "desktop_web")}
+    assert {r.received_day.isoformat() for r in spark.read.parquet(t.path).select("received_day").distinct().collect()} == \
+        {"2025-01-10", "2025-01-11"}
+
+
+def test_contract_report_of_nothing(raw_events, spark):
+    none = spark.createDataFrame([], "raw_json string")
+    assert tuple(contract_report(validate(none)).first()) == (0, 0, None)
+
+
+def test_repeated_keys_follow_the_first_value(raw_events):
+    text = doc()[:-1] + ',"event_name":"no_such_event","extra":{"a":1},"extra":2}'
+    assert [r.violations for r in validate(raw_events([text])).collect()] == [["additional_properties"]]
+    assert validate(raw_events([doc()[:-1] + ',"device_type":"ios_app"}'])).first().violations == []
 
 
 def test_dq_report_has_all_declared_checks(spark):
