@@ -25,6 +25,20 @@ def s1_events_raw_scan(spark, sf_dir):
     return bronze.read_events_raw(spark, path).select("raw_json")
 
 
+@register("s1_landed_events", "SELECT raw_json, 1 AS load_times FROM events_raw")
+def s1_landed_events(spark, sf_dir):
+    """S-1 / S-6: the bronze table of documents keeps the time they were landed:
+    two deliveries, read twice, one load time for each document."""
+    root = scratch_path(spark, "bronze-events")
+    docs = testdata.raw_table(spark, sf_dir, "events_raw").select("raw_json")
+    half = F.pmod(F.xxhash64("raw_json"), F.lit(2))
+    for day in (0, 1):
+        bronze.land_events(docs.where(half == day), root, f"2026-01-0{day + 1}")
+    first, again = bronze.landed_events(spark, root), bronze.landed_events(spark, root)
+    times = (first.unionByName(again).groupBy("raw_json").agg(F.count_distinct("_loaded_at").cast("int").alias("load_times")))
+    return first.join(times, "raw_json").select("raw_json", "load_times")
+
+
 @register("s2_crm_companies_scan", """
 SELECT id, properties.name AS name, properties.domain AS domain, properties.industry AS industry,
        properties.numberofemployees AS numberofemployees, properties.lifecyclestage AS lifecyclestage,
@@ -382,7 +396,7 @@ def st4_stream_dedup(spark, sf_dir):
 def a1_account_domain_users(spark, sf_dir):
     """A-1: users per (account, email domain)."""
     from funnelforge.functions.semantics import email_domain
-    m = _wh(spark, sf_dir).user_to_account
+    m = _wh(spark, sf_dir, materialize=False).user_to_account
     return (m.select("account_id", email_domain("email").alias("email_domain"))
             .groupBy("account_id", "email_domain").agg(F.count(F.lit(1)).alias("n_users")))
 
@@ -390,7 +404,7 @@ def a1_account_domain_users(spark, sf_dir):
 @register("n5_primary_domains", "SELECT account_id, email_domain FROM account_spine GROUP BY ALL")
 def n5_primary_domains(spark, sf_dir):
     """N-5: each account's dominant email domain."""
-    return identity.primary_domains(_wh(spark, sf_dir).user_to_account)
+    return identity.primary_domains(_wh(spark, sf_dir, materialize=False).user_to_account)
 
 
 @register("n6_crm_survivors", """

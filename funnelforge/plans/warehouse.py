@@ -35,7 +35,7 @@ class Warehouse:
         of recomputing the parse + dedup shuffle.  ``materialize="all"`` does
         the same for every silver and gold model (for jobs such as the quality
         report that read most models several times)."""
-        self.raw = dict(raw)
+        self.raw = raw
         self.strict_dead_letter = strict_dead_letter
         self.compat_conflicts = compat_conflicts
         if materialize == "all":

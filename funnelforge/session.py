@@ -77,6 +77,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediate tables.  Results that were
+    built on them can't be read afterwards."""
+    base = ensure_checkpoint_dir(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(base.rstrip("/"), "ff-scratch"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint directory.
 

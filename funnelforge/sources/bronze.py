@@ -85,6 +85,22 @@ def read_events_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
             .select(F.col("value").alias("raw_json"), load_time().alias("_loaded_at")))
 
 
+def land_events(docs: DataFrame, root: str, load_date: str) -> None:
+    """Persist one delivery of documents with its load time, as the partition
+    ``load_date`` of the bronze table (a repeated delivery replaces its own)."""
+    (docs.select("raw_json").withColumn("_loaded_at", load_time()).withColumn("load_date", F.lit(load_date).cast("date"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_date").parquet(root))
+
+
+def landed_events(spark: SparkSession, root: str, since: str | None = None) -> DataFrame:
+    """The bronze table of documents; with ``since`` only deliveries from that
+    date on (whole partitions are skipped)."""
+    rows = spark.read.parquet(root)
+    if since is not None:
+        rows = rows.where(F.col("load_date") >= F.lit(since).cast("date"))
+    return rows.select("raw_json", "_loaded_at")
+
+
 def read_export(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame:
     """S-2 / S-3: a CRM or billing export (JSON lines) with its fixed nested schema."""
     paths = [path] if isinstance(path, str) else list(path)

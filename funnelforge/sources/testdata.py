@@ -320,41 +320,35 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*out)
 
 
-_LANDED: dict[tuple[str, str], str] = {}
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def landed_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adapter's event documents landed as NDJSON text, then read as bronze.
 
     This is the production shape (documents arrive as files), and it keeps the
     adapter's JSON assembly out of the generated code of the parsing stages.
-    Landing happens once per application and dataset, into the shared
-    checkpoint folder; the documents are deterministic, so later jobs re-read
-    the same files.
+    Every call lands the current documents anew in the scratch folder.
     """
     from funnelforge.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _LANDED.get(key)
-    if path is not None and not _exists(spark, f"{path}/_SUCCESS"):
-        path = None
-    if path is None:
-        path = scratch_path(spark, "landed-events")
-        raw_table(spark, sf_dir, "events_raw").select("raw_json").write.mode("overwrite").text(path)
-        _LANDED[key] = path
+    path = scratch_path(spark, "landed-events")
+    raw_table(spark, sf_dir, "events_raw").select("raw_json").write.text(path)
     return spark.read.text(path).selectExpr("value AS raw_json", f"{_ts_lit(SPARK, LOADED_AT)} AS _loaded_at")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, land_events: bool = True) -> dict[str, DataFrame]:
-    out = {n: raw_table(spark, sf_dir, n) for n in RAW_TABLES if n != "events_raw"}
-    out["events_raw"] = (landed_events_raw(spark, sf_dir) if land_events
-                         else raw_table(spark, sf_dir, "events_raw"))
-    return out
+class RawTables(dict):
+    """The raw tables by name; documents are landed when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__({n: raw_table(spark, sf_dir, n) for n in RAW_TABLES if n != "events_raw"})
+        self._land = lambda: landed_events_raw(spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name != "events_raw":
+            raise KeyError(name)
+        self[name] = self._land()
+        return self[name]
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return RawTables(spark, sf_dir)
 
 
 # ---------------------------------------------------------------------------
