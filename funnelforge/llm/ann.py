@@ -19,7 +19,7 @@ full table's, so recall on all rows is higher.
 
 *Search.*  Equal vectors are searched once and expand to their smallest ids
 afterwards, which is exact.  Buckets are gathered in blocks of about
-``block_rows`` vectors; a bucket that is larger is split, and queries go to
+``block_bytes``; a bucket that is larger is split, and queries go to
 blocks in groups of at most ``group_queries``, so no task holds an unbounded
 group.  In a block each query scores the vectors of its buckets exactly; the best
 of all blocks are merged.
@@ -50,8 +50,9 @@ SAMPLE_VECTORS, SAMPLE_QUERIES = 8192, 256
 #: Vectors in a bucket that the number of projections aims at, and how a projection thins them out.
 BUCKET, THINNING = 64, 3.3
 MAX_PROBES = 2048
-BLOCK_ROWS, GROUP_QUERIES = 16_384, 8_192
-#: Queries scored at once in a block.
+#: Bytes of vectors in a block, queries that go to a block together, and bytes of scores held at once.
+BLOCK_BYTES, GROUP_QUERIES, SCORE_BYTES = 32 << 20, 8_192, 64 << 20
+#: Queries whose probes are planned at once.
 TOGETHER = 512
 SEED = 7
 
@@ -168,8 +169,9 @@ def _top_of_block(k: int):
         local, first = np.unique(bucket, return_index=True)
         ends = np.append(first[1:], len(bucket))
         out = []
-        for at in range(0, len(queries), TOGETHER):
-            part = queries.iloc[at:at + TOGETHER]
+        together = max(16, SCORE_BYTES // (8 * len(ids)))
+        for at in range(0, len(queries), together):
+            part = queries.iloc[at:at + together]
             q = np.stack(part.vector.to_numpy()).astype(np.float64)
             lists = part.buckets.to_numpy()
             owner = np.repeat(np.arange(len(part)), [len(b) for b in lists])
@@ -198,7 +200,7 @@ def _top_of_block(k: int):
 
 def search(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20,
            k: int = NEIGHBOURS, tables: int = TABLES, target: float = TARGET, sample_vectors: int = SAMPLE_VECTORS,
-           sample_queries: int = SAMPLE_QUERIES, block_rows: int = BLOCK_ROWS,
+           sample_queries: int = SAMPLE_QUERIES, block_bytes: int = BLOCK_BYTES,
            group_queries: int = GROUP_QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score for all queries (ids divisible by ``every``)."""
     usable = common.stored(_usable(vectors, id_col, vector_col).withColumn("dim", F.size("vector"))
@@ -213,7 +215,7 @@ def search(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "emb
     found = None
     for row in usable.groupBy("dim").agg(F.max("norm").alias("norm"), F.count("*").alias("n")).orderBy("dim").collect():
         part = _search_dimension(reps.where(F.col("dim") == row.dim).drop("dim"), queries, Index(row.dim, row.norm, row.n, tables),
-                                 k, target, sample_vectors, sample_queries, block_rows, group_queries)
+                                 k, target, sample_vectors, sample_queries, max(1, block_bytes // (8 * row.dim)), group_queries)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -243,38 +245,48 @@ def _search_dimension(reps: DataFrame, queries: DataFrame, index: Index, k: int,
                     [pa.array(np.full(len(x), t, np.int32)), pa.array(shared.value.buckets(x, t)), batch.column("rep"),
                      batch.column("vector")], ["t", "bucket", "rep", "vector"])
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, TOGETHER):
-                batch = whole.slice(at, TOGETHER)
-                q = _vectors(batch.column("vector"), dim)
-                for t in range(n_tables):
-                    visits = shared.value.visits(q, t)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(q), t, np.int32)), batch.column("rep"), batch.column("vector"),
-                         pa.array(list(visits), pa.list_(pa.int64()))], ["t", "query", "vector", "buckets"])
-
     indexed = common.stored(reps.select("rep", "vector").mapInArrow(insert, "t int, bucket bigint, rep bigint, vector array<double>"), "index")
     sizes = indexed.groupBy("t", "bucket").agg(F.count("*").alias("n"))
     n_rows = reps.count()
     n_blocks = max(1, math.ceil(n_rows / block_rows))
     wide = sizes.where(F.col("n") > block_rows).select("t", "bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
     # a bucket lies in one block; a bucket larger than a block has blocks of its own
-    rows = indexed.join(wide, ["t", "bucket"], "left").withColumn("block", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("bucket"), F.lit(n_blocks)))
-        .otherwise(n_blocks + F.pmod(F.xxhash64("bucket"), F.lit(1 << 30)) * 1024 + F.pmod(F.xxhash64("rep"), F.col("parts"))))
+    large = {(r.t, r.bucket): r.parts for r in wide.collect()}  # at most a row per block of the index
+    own_blocks = spark.sparkContext.broadcast(large)
     asked = reps.join(queries.select("rep").distinct(), "rep", "left_semi")
-    n_asked = asked.count()
-    groups = max(1, math.ceil(n_asked / group_queries))
-    visits = common.stored(asked.select("rep", "vector").mapInArrow(probe, "t int, query bigint, vector array<double>, buckets array<bigint>")
-                           .withColumn("part", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")), "visits")
-    each = visits.select("t", "query", "part", F.explode("buckets").alias("bucket"))
-    usual = each.join(wide, ["t", "bucket"], "left_anti").withColumn("block", F.pmod(F.xxhash64("bucket"), F.lit(n_blocks)))
-    large = (each.join(wide, ["t", "bucket"]).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumn("block", n_blocks + F.pmod(F.xxhash64("bucket"), F.lit(1 << 30)) * 1024 + F.col("p"))
-             .select(*usual.columns))
-    asks = (usual.unionByName(large).groupBy("t", "block", "part", "query").agg(F.collect_list("bucket").alias("buckets"))
-            .join(visits.select("t", "query", "vector"), ["t", "query"]))
-    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    groups = max(1, math.ceil(asked.count() / group_queries))
+
+    def block_of(bucket, part):
+        return n_blocks + bucket % (1 << 30) * 1024 + part  # both sides: numbers or columns
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = own_blocks.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                q = _vectors(batch.column("vector"), dim)
+                rows: list[tuple] = []
+                for t in range(n_tables):
+                    for i, visits in enumerate(shared.value.visits(q, t)):
+                        blocks: dict[int, list[int]] = {}
+                        for bucket, home in zip(visits.tolist(), (visits % n_blocks).tolist()):
+                            parts = split.get((t, bucket))
+                            for b in [home] if parts is None else [block_of(bucket, p) for p in range(parts)]:
+                                blocks.setdefault(b, []).append(bucket)
+                        rows += [(t, b, i, own) for b, own in blocks.items()]
+                t_, b_, i_, own = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(t_, pa.int32()), pa.array(b_, pa.int64()), batch.column("rep").take(pa.array(i_)),
+                     batch.column("vector").take(pa.array(i_)), pa.array(own, pa.list_(pa.int64()))],
+                    ["t", "block", "query", "vector", "buckets"])
+
+    asks = (asked.select("rep", "vector").mapInArrow(
+        probe, "t int, block bigint, query bigint, vector array<double>, buckets array<bigint>")
+        .withColumn("part", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")))
+    block = F.when(F.col("parts").isNull(), F.pmod("bucket", F.lit(n_blocks))).otherwise(
+        block_of(F.pmod("bucket", F.lit(1 << 30)), F.pmod(F.xxhash64("rep"), F.col("parts"))))
+    rows = (indexed.join(wide, ["t", "bucket"], "left").withColumn("block", block.cast("long"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
     keys = ["t", "block", "part"]
     return (rows.select(*keys, "bucket", "rep", "vector").groupBy(*keys)
             .cogroup(asks.select(*keys, "query", "vector", "buckets").groupBy(*keys))

@@ -29,7 +29,7 @@ def test_recall_and_order_on_clusters(frame):
     centres = rng.standard_normal((40, 16)) * 2
     x = (centres[rng.integers(0, 40, 1500)] + 0.5 * rng.standard_normal((1500, 16))).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    want, got = brute(rows), run(frame, rows, sample_vectors=700, block_rows=300, group_queries=40)
+    want, got = brute(rows), run(frame, rows, sample_vectors=700, block_bytes=300 * 128, group_queries=40)
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
     assert np.mean(hits) >= 0.9
@@ -45,7 +45,7 @@ def test_copies_and_unusable_vectors(frame):
     rows += [(1000 + i, rng.standard_normal(3).astype(np.float32).tolist()) for i in range(60)]
     rows += [(2000, None), (2020, [0.0, 0.0, 0.0]), (2040, [1.0, None, 2.0]), (2060, [1.0, float("nan"), 2.0]),
              (2080, [float("inf"), 1.0, 1.0]), (2100, []), (None, [9.0, 9.0, 9.0]), (2120, [1.0, 2.0]), (2121, [2.0, 1.0])]
-    want, got = brute(rows), run(frame, rows, target=1.0, block_rows=50)
+    want, got = brute(rows), run(frame, rows, target=1.0, block_bytes=50 * 24)
     got.setdefault(2120, [])
     assert got.keys() == want.keys()
     for q in want:
