@@ -1,9 +1,7 @@
 """Contract rules, quality checks, result equivalence, incremental runs."""
 
-import datetime as dt
 
 from conftest import doc
-from pyspark.sql import functions as F
 
 from funnelforge.functions.contract import contract_report, validate
 from funnelforge.operators import incremental, quality, staging
