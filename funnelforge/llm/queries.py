@@ -58,11 +58,48 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 10 words found in every document."""
-    return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("n_near_items")
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{pattern}')"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_jaccard_join": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_words(r"[^\x20\x09-\x0D]+")} AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: w[i:i + 4])) AS s
+  FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY ALL),
+links AS (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b USING (s) GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY ALL)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.y, d.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.x = d.doc_id""",
+    "op10_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM documents),
+items AS (SELECT item_id, {_words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, s, len(s) AS n FROM (
+  SELECT item_id, unnest(list_transform(range(1, greatest(2, len(w) - 8)), lambda i: w[i:i + 9])) AS s
+  FROM items WHERE len(w) > 0)),
+places AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2),
+                                                   lambda i: {{'p': i, 's': w[i:i + n - 1]}})) AS spot
+  FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (SELECT doc_id, item_id, spot.p AS p, n FROM places JOIN windows USING (n) WHERE spot.s = windows.s),
+spots AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY ALL),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY ALL)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN spots USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
 
 
 def queries() -> dict:
