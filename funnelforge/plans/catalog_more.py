@@ -391,6 +391,26 @@ def st4_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{out}/data").select("event_id")
 
 
+@register("st5_late_rows", """
+SELECT DISTINCT event_id FROM (
+  SELECT event_id, coalesce(received_ts, event_ts) AS wm, min(coalesce(received_ts, event_ts)) OVER () AS lo,
+         max(coalesce(received_ts, event_ts)) OVER () AS hi FROM parsed_events) e
+WHERE event_id IS NOT NULL AND (wm < lo + (hi - lo) * 0.3 OR wm >= lo + (hi - lo) * 0.6)""")
+def st5_late_rows(spark, sf_dir):
+    """ST-2 / ST-5: three deliveries, each drained by a restarted query; the last
+    brings rows from before the watermark, which are dropped."""
+    docs = testdata.landed_events_raw(spark, sf_dir)
+    timed = staging.parse_events(docs).select("raw_json", F.coalesce("received_ts", "event_ts").alias("wm"))
+    lo, hi = timed.agg(F.min("wm"), F.max("wm")).first()
+    early, recent = F.lit(lo + (hi - lo) * 0.3), F.lit(lo + (hi - lo) * 0.6)
+    wm = F.col("wm")
+    src, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
+    for delivery in (wm < early, wm >= recent, (wm >= early) & (wm < recent)):
+        timed.where(delivery).select("raw_json").write.mode("append").text(src)
+        ingest.run_dedup(ingest.file_source(spark, src), f"{out}/data", f"{out}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("event_id")
+
+
 # ------------------------------------------- stand-alone joins / aggs / windows
 @register("a1_account_domain_users", "SELECT account_id, dom AS email_domain, voters AS n_users FROM domain_votes")
 def a1_account_domain_users(spark, sf_dir):
