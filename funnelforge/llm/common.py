@@ -12,8 +12,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelforge.session import scratch_path
-
 _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 #: A-Z lower-cased; every ASCII byte that is no letter or digit becomes a space.
 ALNUM = bytes(
@@ -47,6 +45,8 @@ def fold(id_col: str, modulus: int) -> F.Column:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back (cuts lineage)."""
+    from funnelforge.session import scratch_path  # here, as tasks get this module without the package
+
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

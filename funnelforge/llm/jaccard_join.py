@@ -10,17 +10,19 @@ which similar classes share one.  Lists keep the position, so what follows a
 shingle bounds the overlap, and whole blocks of a list (the rows of one hub) are
 skipped by their bounds on size and remaining positions.
 
-*Answers from similar sets.*  In every list each class is first compared with
-the list's first class and with its neighbour by size only.  A class that links
-to a first class becomes a member of that hub and keeps its overlap with it.
-From then on hubs answer for their members: a pair of hubs in different
-components is compared once, and by the kept overlaps its result bounds that of
-every pair of members,
+*Answers from similar sets.*  A class is first compared with one class only: of
+those that lead its lists (listed most often), that which it meets most, in a
+group of near copies usually their original.  If they link it
+becomes a member of that hub and keeps its overlap with it.  From then on hubs
+answer for their members: a pair of hubs in different components is compared
+once, and by the kept overlaps its result bounds that of every pair of members,
 
     overlap(z, m) <= overlap(h, g) + (|z| - overlap(z, h)) + (|m| - overlap(m, g)),
 
-so only members that this bound leaves open are compared themselves.  A large
-group of near copies thus costs comparisons in proportion to its size.
+so only members that this bound leaves open are compared themselves.  Before
+that, in a few turns, every component compares some members with some of the
+component that it meets most, so that a large group of near copies joins at a
+cost in proportion to its size; all that still lies apart is compared in full.
 
 Comparisons compute exact overlaps from the texts.  A set with many partners is
 split over tasks by salting.  Components are the connected components of all
@@ -37,6 +39,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -48,13 +51,19 @@ WIDTH = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 NEED, OF = 75, 100
 #: Shingles counted at once in a task; repeats in a task that are reported.
-COUNTED, REPEATS = 4_000_000, 3
+COUNTED, REPEATS = 2_000_000, 3
 #: Shingles that are ordered by their counts, at most (8 MB); all others come first.
 ORDERED = 500_000
+#: A class is first compared with classes that it meets in lists as many as this share of its size.
+FIRST_MET = 0.05
+#: Turns in which every component asks a few of another only.
+TURNS, ASKED = 1, 4
 #: Members that one task compares with a copy of their hub, about.
 SALT_ROWS = 500
+#: Hub pairs with more member pairs than this compare their members in parts.
+FEW_PAIRS = 64
 #: Words a task keeps hashes of.
-HELD = 500_000
+HELD = 200_000
 _MIX = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
 
@@ -97,6 +106,24 @@ def set_key(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes(), seed=len(shingles)) - (1 << 63)
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """A bitmap of the set, of two to four bits a member."""
+    bits = 1 << max(6, (2 * max(1, len(shingles)) - 1).bit_length())
+    marks = np.zeros(bits, np.uint8)
+    marks[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """At least so many members are in one of two sets only, by their bitmaps."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) > len(x):  # equal low bits fall together
+        y = np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):
@@ -131,14 +158,15 @@ def _survey(width: int):
             found, n = found[n >= REPEATS], n[n >= REPEATS]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64()), pa.array(found.view(np.int64)),
-                 pa.array(n.astype(np.int64)), pa.array([False] * len(n), pa.bool_())],
-                ["doc_id", "text_hash", "key", "n", "is_doc"])
+                 pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.binary()), pa.array([False] * len(n), pa.bool_())],
+                ["doc_id", "text_hash", "key", "n", "sketch", "is_doc"])
 
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, sketches = [], [], []
             for text in common.byte_texts(batch.column(2)):
                 own = shingle(text)
                 keys.append(set_key(own))
+                sketches.append(signature(own))
                 sizes.append(len(own))
                 held.append(own)
                 n_held += len(own)
@@ -147,15 +175,16 @@ def _survey(width: int):
                     held, n_held = [], 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array([True] * len(keys), pa.bool_())], ["doc_id", "text_hash", "key", "n", "is_doc"])
+                 pa.array(sketches, pa.binary()), pa.array([True] * len(keys), pa.bool_())],
+                ["doc_id", "text_hash", "key", "n", "sketch", "is_doc"])
         yield repeats()
 
     return run
 
 
 def _prefixes(width: int, ordered):
-    """(token, key, n, pos) of every document's prefix; tokens cut to 32 bits,
-    which may only join lists."""
+    """(token, key, n, pos) of every document's prefix.  Of a token 40 bits are
+    kept: a list may hold a few rows of another, which costs comparisons only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
@@ -183,7 +212,7 @@ def _prefixes(width: int, ordered):
             place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             all_tokens = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((all_tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                [pa.array((all_tokens >> np.uint64(24)).view(np.int64)),
                  pa.array(np.repeat(np.array(keys, np.int64), lengths)),
                  pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(place.astype(np.int32))],
                 ["token", "key", "n", "pos"])
@@ -193,10 +222,10 @@ def _prefixes(width: int, ordered):
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (token, n, key, pos): rows of lists with two classes at
-    least, each with the list's first class and the class before it."""
-    tail: pa.Table | None = None  # rows of the last list so far, if it has one class
-    first = before = None  # of the last list, if rows of it have been passed on
-    last_token = None
+    least."""
+    tail: pa.Table | None = None  # the last list's only row so far
+    open_list = False  # rows of the last list have been passed on
+    last_key = last_token = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         if tail is not None:
@@ -204,39 +233,48 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, key, n, pos = (rows.column(c).to_numpy() for c in ("token", "key", "n", "pos"))
         if not len(token):
             continue
-        new = np.concatenate([[True], (token[1:] != token[:-1])])
+        new = np.concatenate([[True], token[1:] != token[:-1]])
         same = np.concatenate([[False], (token[1:] == token[:-1]) & (key[1:] == key[:-1])])
-        carried = first is not None and token[0] == last_token
+        carried = open_list and token[0] == last_token
         if carried:
-            new[0] = False
-            same[0] = key[0] == before
-        keep = ~same
-        token, key, n, pos, new = token[keep], key[keep], n[keep], pos[keep], new[keep]
+            new[0], same[0] = False, key[0] == last_key
+        token, key, n, pos, new = (c[~same] for c in (token, key, n, pos, new))
         if not len(token):
             tail = None
             continue
         carried = carried and token[0] == last_token  # its rows here may all be repeats
         start = np.flatnonzero(new) if new[0] else np.concatenate([[0], np.flatnonzero(new)])
         size = np.diff(np.append(start, len(token)))
-        firsts = np.repeat(key[start], size)
-        befores = np.concatenate([[0], key[:-1]])
-        befores[start] = key[start]
         grouped = np.repeat(size > 1, size)
         if carried:
-            firsts[:size[0]] = first
-            befores[0] = before
             grouped[:size[0]] = True
-        open_ = size[-1] == 1 and not (carried and len(start) == 1)
-        if open_:  # one class so far: it waits for the next rows
+        if size[-1] == 1 and not (carried and len(start) == 1):  # one class so far: it waits for the next rows
             grouped[-1] = False
             tail = pa.table({"token": token[-1:], "key": key[-1:], "n": n[-1:], "pos": pos[-1:]}, schema=batch.schema)
-            first = before = None
+            open_list = False
         else:
-            tail, first, before = None, firsts[-1], key[-1]
-        last_token = token[-1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[grouped]) for c in (token, key, n, pos, firsts, befores)],
-            ["token", "key", "n", "pos", "first", "before"])
+            tail, open_list = None, True
+        last_key, last_token = key[-1], token[-1]
+        grouped &= _has_partner(size, n.astype(np.int64), pos.astype(np.int64), carried)
+        yield pa.RecordBatch.from_arrays([pa.array(c[grouped]) for c in (token, key, n, pos)], ["token", "key", "n", "pos"])
+
+
+def _has_partner(size: np.ndarray, n: np.ndarray, pos: np.ndarray, carried: bool) -> np.ndarray:
+    """Which rows of the lists (of these sizes, rows sorted by n) may have a
+    similar class in their list: one of a fitting size for which enough follows
+    in the row's own set.  Lists that other batches share stay whole."""
+    group = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(n))
+    low = np.searchsorted(group * (1 << 40) + n, group * (1 << 40) + -(-NEED * n // OF))  # smallest fitting set
+    after = np.minimum(place + 1, len(n) - 1)
+    larger = (after > place) & (group[after] == group) & (OF * n >= NEED * n[after])
+    partner = np.where(low < place, low, after)
+    keep = ((low < place) | larger) & ((n - pos) * (NEED + OF) >= (n + n[partner]) * NEED)
+    keep &= np.repeat(np.bincount(group, keep, len(size)) > 1, size)
+    whole = np.zeros(len(size), bool)
+    whole[-1] = True
+    whole[0] |= carried
+    return keep | np.repeat(whole, size)
 
 
 def _compare(width: int):
@@ -262,11 +300,33 @@ def _compare(width: int):
     return run
 
 
-def compare(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Exact overlaps (a, b, n_a, n_b, shared) of distinct pairs (a, b)."""
-    pairs = common.stored(pairs, "pairs")
+def _most_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The overlap of each pair is at most what its bitmaps allow."""
+    for batch in batches:
+        apart = [least_difference(x.as_py(), y.as_py()) for x, y in zip(batch.column("sketch_a"), batch.column("sketch_b"))]
+        most = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy() - np.array(apart, np.int64)) // 2
+        yield batch.select(["a", "b", "n_a", "n_b"]).append_column("shared", pa.array(most, pa.int64()))
+
+
+def compare(pairs: DataFrame, docs: DataFrame, speakers: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(a, b, n_a, n_b, shared) of the distinct pairs (a, b): the exact overlap
+    of pairs that may be similar, else an upper bound that rules them out.
+
+    ``speakers`` names a document (doc_id, text_hash) for each class and holds
+    its size and bitmap, which gives the bound; texts are read again for the
+    classes of the other pairs only."""
+    sketched = [speakers.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+                for s in "ab"]
+    bounded = common.stored(pairs.join(sketched[0], "a").join(sketched[1], "b").mapInArrow(
+        _most_shared, "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "pairs")
+    pairs = bounded.where(_similar()).select("a", "b")
+    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    wanted = common.stored(speakers.join(keys, "key").select(
+        F.col("doc_id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"), "key"), "wanted")
+    side = F.broadcast(wanted) if wanted.count() <= common.SMALL_IDS else wanted
+    text = common.stored(docs.join(side, docs["doc_id"].eqNullSafe(side["wanted_id"])
+                                   & (docs["text_hash"] == side["wanted_hash"])).select("key", "text"), "class-texts")
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(SALT_ROWS)).cast("int").alias("salts"))
-    text = texts.select(F.col("key"), "text")
     hubs = (salts.join(text, salts["a"] == text["key"])
             .select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                     F.lit(None).cast("bigint").alias("b"), "text"))
@@ -274,7 +334,8 @@ def compare(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame
                 .join(text, F.col("b") == text["key"]).select("a", "salt", "b", "text"))
     rows = hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return common.stored(rows.select("a", "b", "text").mapInArrow(
-        _compare(width), "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "overlaps")
+        _compare(width), "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "overlaps").distinct() \
+        .unionByName(bounded.where(~_similar()))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,14 +356,51 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _hubs(overlaps: DataFrame, lists: DataFrame) -> DataFrame:
-    """(key, hub, n, shared): the hub that answers for a class, itself if none."""
-    links = overlaps.where(enough(F.col("shared"), F.col("n_a"), F.col("n_b")))
+def _hubs(known: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(key, hub, n, shared, comp): the hub that answers for a class, itself if none."""
+    links = known.where(_similar())
     inner = links.select(F.col("b").alias("inner")).distinct()
     outer = links.join(inner, links["a"] == inner["inner"], "left_anti")  # hubs are members of no hub
     own = outer.groupBy(F.col("b").alias("key")).agg(F.max(F.struct("shared", F.col("a").alias("hub"))).alias("best"))
-    return (lists.join(own, "key", "left")
-            .select("key", "n", F.coalesce("best.hub", "key").alias("hub"), F.coalesce("best.shared", "n").alias("shared")))
+    return (sizes.join(own, "key", "left").join(components(links.select("a", "b")), "key", "left")
+            .select("key", "n", F.coalesce("best.hub", "key").alias("hub"), F.coalesce("best.shared", "n").alias("shared"),
+                    F.coalesce("comp", "key").alias("comp")))
+
+
+def _similar() -> Column:
+    return enough(F.col("shared"), F.col("n_a"), F.col("n_b"))
+
+
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (key, comp) after joining the components of linked classes (a, b)."""
+    moved = components(_apart(links, comps).select(F.col("u").alias("a"), F.col("v").alias("b")))
+    return common.stored(comps.join(moved.select(F.col("key").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+                         .select("key", F.coalesce("to", "comp").alias("comp")), "comps")
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes in different components, with these as u and v."""
+    return (pairs.join(comps.select(F.col("key").alias("a"), F.col("comp").alias("u")), "a")
+            .join(comps.select(F.col("key").alias("b"), F.col("comp").alias("v")), "b").where("u <> v"))
+
+
+def _questions(lists: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
+    """A few pairs (a, b) for every component that shares many lists with another:
+    in each list some member of it with some member of the list's main component."""
+    pick = F.struct(F.xxhash64("key", "token", F.lit(turn)).alias("h"), "key", "n")
+    parts = (lists.join(comps, "key").groupBy("token", "comp").agg(F.count("*").alias("rows"), F.min(pick).alias("own")))
+    main = parts.groupBy("token").agg(F.max(F.struct("rows", "comp", "own")).alias("main"), F.count("*").alias("comps"))
+    asks = (parts.join(main.where("comps > 1"), "token").where("comp <> main.comp")
+            .select("token", F.col("comp").alias("u"), F.col("main.comp").alias("v"), F.col("own.key").alias("b"),
+                    F.col("main.own.key").alias("a"), F.col("own.n").alias("m"), F.col("main.own.n").alias("n"))
+            .withColumn("h", F.xxhash64("token", F.lit(turn))))
+    # the component that is met most, and of the pairs met there a few
+    met = asks.groupBy("u", "v").agg(F.count("*").alias("lists"), F.max("m").alias("size"))
+    best = (met.where(F.col("lists") >= F.col("size") * FIRST_MET).groupBy("u")
+            .agg(F.max(F.struct("lists", "v")).alias("best")).select("u", "best.v"))
+    few = F.row_number().over(Window.partitionBy("u").orderBy("h"))
+    return (asks.where(enough(F.least("m", "n"), F.col("m"), F.col("n"))).join(best, ["u", "v"])
+            .withColumn("place", few).where(F.col("place") <= ASKED).select("a", "b").distinct())
 
 
 def join(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -311,10 +409,9 @@ def join(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                             F.col(text_col).alias("text"))
     survey = common.stored(docs.mapInArrow(
-        _survey(width), "doc_id bigint, text_hash bigint, key bigint, n bigint, is_doc boolean"), "survey")
-    members = survey.where("is_doc").select("doc_id", "text_hash", "key", "n")
-    links = _links(spark, docs, members, survey.where("NOT is_doc").select(F.col("key").alias("token"), "n"), width)
-    labels = components(links)
+        _survey(width), "doc_id bigint, text_hash bigint, key bigint, n bigint, sketch binary, is_doc boolean"), "survey")
+    members = survey.where("is_doc").select("doc_id", "text_hash", "key", "n", "sketch")
+    labels = _labels(spark, docs, members, survey.where("NOT is_doc").select(F.col("key").alias("token"), "n"), width)
     labelled = members.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = labelled.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return (labelled.join(least, "comp", "left")
@@ -322,72 +419,154 @@ def join(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                     F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "key"))
 
 
-def _links(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: DataFrame, width: int) -> DataFrame:
-    """Links (a, b) between classes that give all components."""
+def _sized() -> Column:
+    """Whether sets of sizes least_a..most_a and least_b..most_b can be similar."""
+    return enough(F.col("most_a"), F.col("most_a"), F.col("least_b")) & enough(F.col("most_b"), F.col("most_b"), F.col("least_a"))
+
+
+def _reach() -> Column:
+    """Whether enough follows in both sets."""
+    return enough(F.least("rest_a", "rest_b"), F.col("least_a"), F.col("least_b"))
+
+
+def _sided(df: DataFrame, key: str, side: str) -> DataFrame:
+    """``df`` with all columns but ``key`` named for one side of a join."""
+    return df.select(*[F.col(c) if c == key else F.col(c).alias(f"{c}_{side}") for c in df.columns])
+
+
+def _open_members(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a part of one hub's members with a part of others' that neither
+    the hubs' overlap nor the bitmaps rule out."""
+    out_a, out_b = [], []
+    if len(left) and len(right):
+        keys, m, inside, out = (left[c].to_numpy() for c in ("key_a", "m_a", "in_a", "out_a"))
+        by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        lengths = left.sketch_a.map(len).to_numpy()
+        for n in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == n)
+            by_size[n] = own, np.stack([np.frombuffer(x, np.uint8) for x in left.sketch_a.to_numpy()[own]])
+        for z in right.itertuples(index=False):
+            shared = z.shared
+            most = np.minimum(np.minimum(z.in_b, shared + out) + z.out_b, np.minimum(inside, shared + z.out_b) + out)
+            alive = most * (NEED + OF) >= (m + z.m_b) * NEED
+            sketch = np.frombuffer(z.sketch_b, np.uint8)
+            for n, (own, rows) in by_size.items():
+                own_alive = alive[own]
+                if not own_alive.any():
+                    continue
+                own, rows = own[own_alive], rows[own_alive]
+                x = sketch
+                if len(x) > n:
+                    x = np.bitwise_or.reduce(x.reshape(-1, n), axis=0)
+                elif len(x) < n:
+                    rows = np.bitwise_or.reduce(rows.reshape(len(rows), -1, len(x)), axis=1)
+                apart = np.bitwise_count(rows ^ x).sum(axis=1, dtype=np.int64)
+                found = own[apart * (OF + NEED) <= (m[own] + z.m_b) * (OF - NEED)]
+                out_a += keys[found].tolist()
+                out_b += [z.key_b] * len(found)
+    return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+
+
+def _many(pairs: DataFrame, h: DataFrame, g: DataFrame, spread: DataFrame) -> DataFrame:
+    """Open member pairs of open hub pairs with many members: parts of at most
+    about SALT_ROWS members meet, each member is sent once to a part."""
+    parts = spread.select(F.col("hub").alias("a"), F.ceil(F.col("members") / SALT_ROWS).cast("int").alias("parts"))
+    asking = pairs.join(g, "b")
+    salts = asking.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")).join(parts, "a")
+    left = (h.join(salts, "a").withColumn("part", F.pmod(F.xxhash64("key_a"), F.col("parts")).cast("int"))
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
+    right = (asking.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("key_b"), F.col("salts")).cast("int"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    on = ["a", "part", "salt"]
+    return (left.select(*on, "key_a", "m_a", "in_a", "out_a", "sketch_a").groupBy(*on)
+            .cogroup(right.select(*on, "key_b", "m_b", "in_b", "out_b", "shared", "sketch_b").groupBy(*on))
+            .applyInPandas(_open_members, "a bigint, b bigint"))
+
+
+def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: DataFrame, width: int) -> DataFrame:
+    """(key, comp) of all classes that share a list with another."""
     top = (repeats.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(ORDERED)).toArrow()
     tokens = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     ordered = spark.sparkContext.broadcast((tokens[order], top.column("n").to_numpy()[order]))
-    rows = docs.select("text").mapInArrow(_prefixes(width, ordered), "token int, key bigint, n int, pos int")
+    rows = docs.select("text").mapInArrow(_prefixes(width, ordered), "token bigint, key bigint, n int, pos int")
     lists = common.stored(
         rows.repartition("token").sortWithinPartitions("token", "n", "key", "pos")
-        .mapInArrow(_shared_rows, "token int, key bigint, n int, pos int, first bigint, before bigint"), "lists")
-
+        .mapInArrow(_shared_rows, "token bigint, key bigint, n int, pos int"), "lists")
+    sizes = common.stored(lists.groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("rows")), "class-sizes")
     # one document speaks for its class
-    classes = members.where("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
-    listed = lists.groupBy("key").agg(F.max("n").alias("n"))
-    wanted = listed.join(classes, "key").select(F.col("row.doc_id").alias("wanted_id"), F.col("row.text_hash").alias("wanted_hash"),
-                                                "key", "n")
-    texts = common.stored(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["wanted_id"])
-                                    & (docs["text_hash"] == wanted["wanted_hash"])).select("key", "n", "text"), "class-texts")
-
-    # first answers: the list's first class and the neighbour by size
-    near = (lists.where("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b"))
-            .unionByName(lists.where("before <> key AND before <> first").select(F.col("before").alias("a"), F.col("key").alias("b"))))
-    sizes = common.stored(listed, "class-sizes")
-    near = near.distinct()
-    near = (near.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a")
-            .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
-            .where(enough(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
-    known = compare(near, texts, width)
-    similar = enough(F.col("shared"), F.col("n_a"), F.col("n_b"))
-    links = known.where(similar).select("a", "b")
-    labels = components(links)
-    hubs = common.stored(_hubs(known, sizes).join(labels, "key", "left")
-                         .select("key", "hub", "n", "shared", F.coalesce("comp", "key").alias("comp")), "hubs")
-
-    # hubs answer for their members: blocks of a list are the rows of one hub
-    blocks = (lists.select("token", "key", "n", "pos").join(hubs.select("key", "hub", "comp"), "key")
-              .groupBy("token", "hub", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"),
-                                                   F.max(F.col("n") - F.col("pos")).alias("rest")))
+    speakers = common.stored(
+        members.join(sizes.select("key"), "key").groupBy("key").agg(F.min(F.struct("doc_id", "text_hash", "n", "sketch")).alias("row"))
+        .select("key", "row.*"), "speakers")
+
+    # first answers: of the classes that lead its lists (those listed most often), that which a class meets most
+    led = lists.join(sizes.select("key", "rows"), "key")
+    leader = led.groupBy("token").agg(F.max(F.struct("rows", "key", "n")).alias("lead"))
+    met = (led.join(leader, "token").where((F.col("lead.key") != F.col("key"))
+                                           & enough(F.least("n", "lead.n"), F.col("n"), F.col("lead.n")))
+           .groupBy(F.col("lead.key").alias("a"), F.col("key").alias("b")).agg(F.count("*").alias("lists"), F.first("n").alias("n")))
+    near = (met.where(F.col("lists") >= F.col("n") * FIRST_MET).groupBy("b")
+            .agg(F.max(F.struct("lists", "a")).alias("most")).select("most.a", "b"))
+    hubs = common.stored(_hubs(compare(near, docs, speakers, width), sizes), "hubs")
+    comps = hubs.select("key", "comp")
+    for turn in range(TURNS):
+        answers = compare(_questions(lists, comps, turn), docs, speakers, width)
+        comps = _merged(comps, answers.where(_similar()).select("a", "b"))
+
+    # hubs answer for their members: pairs of hubs that lie apart and may have similar members
+    spread = hubs.groupBy("hub").agg(F.max(F.col("n") - F.col("shared")).alias("apart"), F.min("n").alias("least"),
+                                     F.max("n").alias("most"), F.count("*").alias("members"))
+    spread = common.stored(spread.join(comps.withColumnRenamed("key", "hub"), "hub"), "spread")
     one = Window.partitionBy("token")
-    mixed = blocks.withColumn("x", F.min("comp").over(one)).withColumn("y", F.max("comp").over(one)).where("x <> y").drop("x", "y")
-    mixed = common.stored(mixed, "blocks")
-    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("hub", "comp", "least", "most", "rest")]) for s in "ab")
-    bound = (enough(F.least("most_a", "least_b"), F.col("most_a"), F.col("least_b"))
-             | enough(F.least("least_a", "most_b"), F.col("least_a"), F.col("most_b"))
-             | ((F.col("most_a") >= F.col("least_b")) & (F.col("most_b") >= F.col("least_a"))))
-    reach = enough(F.least("rest_a", "rest_b"), F.col("least_a"), F.col("least_b"))
-    pairs = (left.join(right, "token").where((F.col("hub_a") < F.col("hub_b")) & (F.col("comp_a") != F.col("comp_b")) & bound & reach)
-             .select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b")).distinct())
-    across = compare(pairs, texts, width)
-    links = links.unionByName(across.where(similar).select("a", "b"))
+    placed = (lists.select("token", "key", "n", (F.col("n") - F.col("pos")).alias("rest"))
+              .join(hubs.select("key", "hub").join(comps, "key"), "key")
+              .withColumn("x", F.min("comp").over(one)).withColumn("y", F.max("comp").over(one)).where("x <> y"))
+    placed = common.stored(placed.groupBy("token", "comp", "hub").agg(
+        F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most")), "blocks")
+    by_comp = placed.groupBy("token", "comp").agg(*[f(c).alias(c) for f, c in (
+        (F.max, "rest"), (F.min, "least"), (F.max, "most"))])
+    left, right = (_sided(by_comp, "token", s) for s in "ab")
+    met = common.stored(left.join(right, "token").where((F.col("comp_a") < F.col("comp_b")) & _sized() & _reach())
+                        .select("token", "comp_a", "comp_b", F.least("least_a", "least_b").alias("size")), "met")
+    n_hubs = spread.groupBy("comp").agg(F.count("*").alias("hubs"))
+    apart = common.stored(
+        met.groupBy("comp_a", "comp_b").agg((F.count("*") >= F.max("size") * FIRST_MET).alias("often"))
+        .join(_sided(n_hubs, "", "a"), "comp_a").join(_sided(n_hubs, "", "b"), "comp_b")
+        .select("comp_a", "comp_b", (F.col("often") | ((F.col("hubs_a") == 1) & (F.col("hubs_b") == 1))).alias("close")), "apart")
+    # components that meet often or are one hub: all their hubs; others: the hubs that meet in a list
+    left, right = (_sided(spread.select("comp", "hub", "least", "most"), "", s) for s in "ab")
+    close = apart.where("close").join(left, "comp_a").join(right, "comp_b").where(_sized())
+    left, right = (_sided(placed, "token", s) for s in "ab")
+    far = (met.drop("size").join(apart.where("NOT close"), ["comp_a", "comp_b"])
+           .join(left, ["token", "comp_a"]).join(right, ["token", "comp_b"]).where(_sized() & _reach()))
+    meetings = (close.select("hub_a", "hub_b").unionByName(far.select("hub_a", "hub_b"))
+                .select(F.least("hub_a", "hub_b").alias("a"), F.greatest("hub_a", "hub_b").alias("b")).distinct())
+    asked = compare(meetings.select("a", "b"), docs, speakers, width)
+    comps = _merged(comps, asked.where(_similar()).select("a", "b"))
 
     # members that the hubs' overlap leaves open
-    h, g = (hubs.select(F.col("hub").alias(s), F.col("key").alias(f"key_{s}"), F.col("n").alias(f"m_{s}"),
-                        (F.col("n") - F.col("shared")).alias(f"apart_{s}")) for s in "ab")
-    spread = hubs.groupBy("hub").agg(F.max(F.col("n") - F.col("shared")).alias("apart"), F.min("n").alias("least"))
-    open_ = (across.where(~similar)
-             .join(spread.select(F.col("hub").alias("a"), F.col("apart").alias("x"), F.col("least").alias("s")), "a")
-             .join(spread.select(F.col("hub").alias("b"), F.col("apart").alias("y"), F.col("least").alias("t")), "b")
-             .where(((F.col("x") > 0) | (F.col("y") > 0)) & enough(F.col("shared") + F.col("x") + F.col("y"), F.col("s"), F.col("t")))
-             .select("a", "b", "shared"))
-    inner = (open_.join(h, "a").join(g, "b")
-             .where(~((F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b"))))
-             .where(enough(F.least(F.col("shared") + F.col("apart_a") + F.col("apart_b"), "m_a", "m_b"), F.col("m_a"), F.col("m_b")))
-             .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
-    within = compare(inner, texts, width)
-    return links.unionByName(within.where(similar).select("a", "b"))
+    bounds = [spread.select(F.col("hub").alias(s), F.col("apart").alias(f"apart_{s}"), F.col("least").alias(f"least_{s}"),
+                            F.col("members").alias(f"members_{s}")) for s in "ab"]
+    open_ = (_apart(asked.where(~_similar()), comps).join(bounds[0], "a").join(bounds[1], "b")
+             .where(enough(F.col("shared") + F.col("apart_a") + F.col("apart_b"), F.col("least_a"), F.col("least_b"))
+                    & ((F.col("apart_a") > 0) | (F.col("apart_b") > 0)))
+             .withColumn("swap", F.col("members_a") < F.col("members_b"))  # a has more members
+             .select(F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")).alias("a"),
+                     F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")).alias("b"), "shared",
+                     (F.col("members_a") * F.col("members_b") > FEW_PAIRS).alias("many")))
+    open_ = common.stored(open_, "open")
+    kept = hubs.join(speakers.select("key", "sketch"), "key")
+    h, g = (kept.select(F.col("hub").alias(s), F.col("key").alias(f"key_{s}"), F.col("n").alias(f"m_{s}"),
+                        F.col("shared").alias(f"in_{s}"), (F.col("n") - F.col("shared")).alias(f"out_{s}"),
+                        F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
+    few = (open_.where("NOT many").join(h.drop("sketch_a"), "a").join(g.drop("sketch_b"), "b")
+           .where(~((F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b")))
+                  & enough(F.least("in_b", F.col("shared") + F.col("out_a")) + F.col("out_b"), F.col("m_a"), F.col("m_b"))
+                  & enough(F.least("in_a", F.col("shared") + F.col("out_b")) + F.col("out_a"), F.col("m_a"), F.col("m_b")))
+           .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+    inner = few.unionByName(_many(open_.where("many"), h, g, spread)).distinct()
+    within = compare(inner, docs, speakers, width)
+    return _merged(comps, within.where(_similar()).select("a", "b"))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:

@@ -76,23 +76,37 @@ def test_empty_and_keep_one(frame):
 
 
 def test_lists_across_batches():
+    """Every pair that sizes and positions allow survives; no single rows do."""
     rnd = random.Random(5)
-    rows = sorted((rnd.randrange(30), rnd.randrange(3), rnd.randrange(4), rnd.randrange(2)) for _ in range(150))
-    table = pa.table({"token": pa.array([r[0] for r in rows], pa.int32()), "key": pa.array([r[2] for r in rows], pa.int64()),
+    size = {k: rnd.randrange(4, 60) for k in range(40)}
+    rows = sorted({(rnd.randrange(30), size[k], k): rnd.randrange(jj.prefix_length(size[k])) for k in list(size) * 8}.items())
+    rows = [(*k, p) for k, p in rows]
+    rows = sorted(rows + rnd.sample(rows, 20))  # repeats of a class in a list
+    table = pa.table({"token": pa.array([r[0] for r in rows], pa.int64()), "key": pa.array([r[2] for r in rows], pa.int64()),
                       "n": pa.array([r[1] for r in rows], pa.int32()), "pos": pa.array([r[3] for r in rows], pa.int32())})
-    want = []
-    for token in range(30):
-        own = []
-        for t, n, k, p in rows:
-            if t == token and not (own and own[-1][1] == k):
-                own.append((t, k, n, p))
-        if len(own) > 1:
-            want += [(*o, own[0][1], own[max(0, i - 1)][1]) for i, o in enumerate(own)]
-    for size in (1, 2, 7, 150):
-        batches = [pa.RecordBatch.from_pydict({c: table.column(c).combine_chunks()[i:i + size] for c in table.column_names})
-                   for i in range(0, len(rows), size)]
+    once = sorted(set(rows))
+    lists, must = {}, set()
+    for t, n, k, p in once:
+        for m, other, q in lists.setdefault(t, []):
+            if 175 * min(n, m) >= 75 * (n + m) and 175 * min(n - p, m - q) >= 75 * (n + m):
+                must |= {(t, k), (t, other)}
+        lists[t].append((n, k, p))
+    for batch in (1, 2, 7, 1000):
+        batches = [pa.RecordBatch.from_pydict({c: table.column(c).combine_chunks()[i:i + batch] for c in table.column_names})
+                   for i in range(0, len(rows), batch)]
         got = [r for b in jj._shared_rows(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
-        assert got == want
+        assert len(got) == len({r[:2] for r in got}) and {r[:4] for r in got} <= {(t, k, n, p) for t, n, k, p in once}
+        assert must <= {r[:2] for r in got}
+        assert all(len(lists[r[0]]) > 1 for r in got)
+
+
+def test_bitmaps_never_rule_out_similar_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64))
+        b = np.unique(np.concatenate([rng.permutation(a)[:rng.integers(0, len(a) + 1)],
+                                      rng.integers(0, 1 << 63, rng.integers(0, 200)).astype(np.uint64)]))
+        assert jj.least_difference(jj.signature(a), jj.signature(b)) <= len(a) + len(b) - 2 * jj.overlap(a, b)
 
 
 def test_prefix_and_overlap():
