@@ -53,3 +53,26 @@ def test_every_query_has_an_oracle():
     from funnelforge.plans import catalog
     missing = set(catalog.queries()) - set(catalog.oracle_sql())
     assert not missing, missing
+
+
+def _exchanged(df) -> list[str]:
+    """The columns of every exchange of a plan."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+
+
+def test_dedup_shuffles_no_document(raw_events):
+    columns = _exchanged(staging.stg_events(raw_events([doc()])))
+    assert columns and all("raw_json" not in c for c in columns)
+
+
+def test_retention_computes_the_ledger_once(spark):
+    p = _plan(Warehouse(testdata.raw_tables(spark, SF)).fct_ndr)
+    assert p.count("orders.parquet") == 1
+
+
+def test_contract_extracts_every_key_once(raw_events):
+    from funnelforge.functions.contract import contract_keys, PRODUCT_EVENT_V1, validate
+    p = _plan(validate(raw_events([doc()])).filter("size(violations) > 0"))
+    assert len(re.findall(r"parseJson", p)) == 1
+    assert p.count("map<string,variant>") <= 2 and len(contract_keys(PRODUCT_EVENT_V1)) > 5
