@@ -43,10 +43,16 @@ def fold(id_col: str, modulus: int) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
+#: Rows sent to a Python worker at once: whole texts are long, and the usual
+#: 10,000 of them are held several times over on their way.
+BATCH_ROWS = 4_000
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back (cuts lineage)."""
     from funnelforge.session import scratch_path  # here, as tasks get this module without the package
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

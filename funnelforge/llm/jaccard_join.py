@@ -51,7 +51,7 @@ WIDTH = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 NEED, OF = 75, 100
 #: Shingles counted at once in a task; repeats in a task that are reported.
-COUNTED, REPEATS = 2_000_000, 3
+COUNTED, REPEATS = 1_500_000, 3
 #: Shingles that are ordered by their counts, at most (8 MB); all others come first.
 ORDERED = 500_000
 #: A class is first compared with classes that it meets in lists as many as this share of its size.
@@ -63,7 +63,7 @@ SALT_ROWS = 500
 #: Hub pairs with more member pairs than this compare their members in parts.
 FEW_PAIRS = 64
 #: Words a task keeps hashes of.
-HELD = 200_000
+HELD = 150_000
 _MIX = 0x9E3779B97F4A7C15
 _WRAP = (1 << 64) - 1
 
