@@ -32,6 +32,7 @@ def space_words(text: bytes) -> list[bytes]:
 
 def byte_texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of a string column, a few rows at a time; null is empty."""
+    pa.default_memory_pool().release_unused()  # what earlier batches took
     whole = column.cast(pa.large_binary())
     for at in range(0, len(whole), 256):
         for x in whole.slice(at, 256).to_pylist():
