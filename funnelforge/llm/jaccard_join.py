@@ -549,7 +549,7 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
                             F.col("members").alias(f"members_{s}")) for s in "ab"]
     open_ = (_apart(asked.where(~_similar()), comps).join(bounds[0], "a").join(bounds[1], "b")
              .where(enough(F.col("shared") + F.col("apart_a") + F.col("apart_b"), F.col("least_a"), F.col("least_b"))
-                    & ((F.col("apart_a") > 0) | (F.col("apart_b") > 0)))
+                    & ((F.col("members_a") > 1) | (F.col("members_b") > 1)))
              .withColumn("swap", F.col("members_a") < F.col("members_b"))  # a has more members
              .select(F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")).alias("a"),
                      F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")).alias("b"), "shared",

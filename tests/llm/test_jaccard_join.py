@@ -65,6 +65,21 @@ def test_equals_all_pairs(frame, seed):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == brute(docs)
 
 
+def test_members_inside_their_hubs(frame):
+    """Originals h and g share a core and are not similar; every member lies
+    inside its original, and one, which lost most of h's footer, is similar to g."""
+    texts = []
+    for group in range(4):
+        core = [f"c{group}_{i}" for i in range(84)]
+        h, g = ([f"{side}{group}_{i}" for i in range(n)] for side, n in (("h", 24), ("g", 20)))
+        texts += [" ".join(core[cut:] + footer) for footer in (h, g) for cut in range(5)]  # truncated copies
+        texts.append(" ".join(core + h[:5]))
+    random.Random(1).shuffle(texts)
+    docs = list(enumerate(texts))
+    got = jj.join(frame(docs, "doc_id bigint, text string", parts=5))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == brute(docs)
+
+
 def test_empty_and_keep_one(frame):
     empty = frame([], "doc_id bigint, text string")
     assert jj.join(empty).collect() == [] and jj.keep_one(empty).collect() == []
