@@ -9,7 +9,9 @@ neighbours.  Inside ``article`` or ``main`` the rules lean towards text, outside
 towards boilerplate.
 
 Defined results: null, empty or text-free html gives an empty string; broken or
-unclosed markup is read as far as it goes; a page of which no block is decided
+unclosed markup is read as far as it goes: only raw text (scripts, styles, text
+areas, titles) runs to the page's end without its end tag, of any other skipped
+element without one, or closed in itself, just the tag is skipped; a page of which no block is decided
 keeps its undecided blocks; repeated pages count as given.
 """
 
@@ -31,7 +33,11 @@ de la le les et des en un une du dans que pour qui sur au par pas est plus avec
 el los las y del una por con para su lo como al o este sus pero más ha no es si
 """.split())
 #: Elements whose content is never text of the article (fixed values).
-SKIPPED = "script|style|noscript|template|title|iframe|object|svg|select|button|textarea|math|canvas|audio|video"
+SKIPPED = frozenset("noscript template iframe object svg select button math canvas audio video".split())
+#: Skipped elements without markup inside; ``<title/>`` and ``<style/>`` are those of drawings.
+RAW_TEXT = r"script|textarea|(?:style|title)(?![^>]*/>)"
+#: Elements that may close themselves.
+FOREIGN = frozenset("svg math".split())
 BAD_ELEMENTS = frozenset("nav header footer aside form dialog menu fieldset".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 BAD_NAMES = frozenset("""
@@ -49,7 +55,7 @@ BLOCKS = CONTAINERS | frozenset("""
 p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption pre address hr figcaption summary legend option optgroup
 """.split())
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TEXT})(?![\w:-])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?+)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?+)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>",
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?", re.I)
@@ -93,6 +99,21 @@ def _is_out(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+def _skipped_to(tags: list[re.Match]) -> dict[int, int]:
+    """Start of each skipped element that has an end tag, and where it ends."""
+    opened: dict[str, list[int]] = {}
+    ends = {}
+    for m in tags:
+        if (name := (m[3] or m[6] or "").lower()) not in SKIPPED:
+            continue
+        if (m[2] or m[5]) == "/":
+            if opened.get(name):
+                ends[opened[name].pop()] = m.end()
+        elif name not in FOREIGN or not (m[4] or m[7] or "").endswith("/"):
+            opened.setdefault(name, []).append(m.start())
+    return ends
+
+
 def cut_blocks(page: str) -> list[_Block]:
     """The text blocks of a page in order, with their surroundings."""
     stack: list[tuple[str, bool, bool]] = []  # element, inside something out, inside main
@@ -112,9 +133,13 @@ def cut_blocks(page: str) -> list[_Block]:
         if links:
             block.linked += len(piece.strip())
 
-    for m in _TAG.finditer(page):
+    tags = list(_TAG.finditer(page))
+    ends = _skipped_to(tags)
+    for m in tags:
+        if m.start() < at:
+            continue
         text(page[at:m.start()])
-        at = m.end()
+        at = ends.get(m.start(), m.end())
         if not (name := (m[3] or m[6] or "").lower()):
             continue
         closing = (m[2] or m[5]) == "/"

@@ -20,6 +20,16 @@ def test_page_without_article():
     assert he.main_text(page) == f"Head {LONG.strip()} Tiny one {LONG.strip()}"
 
 
+def test_skipped_elements_without_end():
+    article = f"<article><p>{LONG}</p></article>"
+    for opener in ("<svg class='i'/>", "<math/>", "<svg><title/><style/></svg>", '<object data="a">', '<iframe src="a"/>', "<button>",
+                   "<select>", "<svg>", "<noscript>", "<svg-icon>"):
+        for after in ("", "<svg><text>x</text></svg><iframe>x</iframe><button>x</button><select><option>x</select><object>x</object>"):
+            assert he.main_text(f"<body>{opener}{article}{after}</body>") == LONG.strip(), (opener, after)
+    inside = "<svg><svg><text>x</text></svg><text>x</text></svg><button>x<script>'</button>'</script>x</button><object><object/>x</object>x</object>"
+    assert he.main_text(f"<article><p>{inside}{LONG}</p></article>") == LONG.strip()
+
+
 def test_edges(frame):
     assert he.main_text(None) == he.main_text("") == he.main_text("<p></p>") == ""
     assert he.main_text("just text") == "just text"
