@@ -1,9 +1,12 @@
 """Licence statements: an exact set-similarity join of text blocks with templates.
 
 A block is a line; a line of more than ``2 * reach`` words is cut into windows
-of that length that start every ``reach`` words, so every passage of ``reach``
-words lies in one block.  A block matches a template if it holds at least
-``containment`` of the template's distinct words.
+of that length that start every ``reach`` words.  Statements may be wrapped, so
+the whole text is cut into such windows as well, and those that hold more than
+one line are blocks too: every passage of ``reach`` words lies in one block.  A
+block matches a template if it holds at least ``containment`` of the template's
+distinct words; a window reports only what it matches without the words of
+single lines' matches.
 
 One pass counts in how many documents each template word occurs.  Words are
 ordered by that, rarest first.  In the join a template is indexed by its prefix
@@ -24,8 +27,10 @@ phrases are found; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -107,7 +112,7 @@ class TemplateIndex:
 
 
 def blocks(text: bytes, reach: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(line, first word in the line, words) of every block."""
+    """(line, first word in the line, words) of every block inside a line."""
     for line, body in enumerate(text.split(b"\n")):
         words = common.alnum_words(body)
         if not words:
@@ -116,6 +121,23 @@ def blocks(text: bytes, reach: int) -> Iterator[tuple[int, int, list[bytes]]]:
             yield line, at, words[at:at + 2 * reach]
 
 
+def line_starts(text: bytes) -> dict[int, int]:
+    """Line -> its first word in the text, for the lines that have words."""
+    counts = [len(common.alnum_words(body)) for body in text.split(b"\n")]
+    return {line: first for line, (n, first) in enumerate(zip(counts, accumulate(counts, initial=0))) if n}
+
+
+def wrapped_blocks(words: list[bytes], starts: dict[int, int], reach: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
+    """(line, first word in the line, first word in the text, words) of every
+    block that holds words of several lines."""
+    lines, firsts = list(starts), list(starts.values())
+    for at in range(0, max(1, len(words) - reach), reach):
+        block = words[at:at + 2 * reach]
+        i = bisect_right(firsts, at) - 1
+        if i + 1 < len(firsts) and firsts[i + 1] < at + len(block):
+            yield lines[i], at - firsts[i], at, block
+
+
 def phrase_places(words: list[bytes], phrases: list[tuple[bytes, str]]) -> list[tuple[int, str]]:
     """(first word, label) of every place of a phrase."""
     joined = b" " + b" ".join(words) + b" "
@@ -163,11 +185,25 @@ def scan(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                 places = phrase_places(words, phrases)
                 matches, named = [], set()
                 if not join.leads.isdisjoint(words):
+                    starts = line_starts(text)
+                    in_line: dict[int, list[tuple[int, int]]] = {}  # of a template: the words of its blocks
                     for line, at, block in blocks(text, reach):
                         if found := join.join(block):
                             matches += [{"label": join.labels[t], "line": line, "word": at, "containment": c}
                                         for t, c in found]
                             named |= join.leading(block, found)
+                            for t, _ in found:
+                                in_line.setdefault(t, []).append((starts[line] + at, starts[line] + at + len(block)))
+                    for line, at, first, block in wrapped_blocks(words, starts, reach):
+                        if found := join.join(block):
+                            new = []
+                            for t, c in found:
+                                rest = [w for i, w in enumerate(block, first) if not any(a <= i < b for a, b in in_line.get(t, ()))]
+                                if len(rest) == len(block) or t in dict(join.join(rest)):
+                                    new.append((t, c))
+                            matches += [{"label": join.labels[t], "line": line, "word": at, "containment": c}
+                                        for t, c in new]
+                            named |= join.leading(block, found) & {join.labels[t] for t, _ in new}
                 base = {label for _, label in places}
                 rows.append((doc_id, len(words), len(places), min((w for w, _ in places), default=None),
                              max((w for w, _ in places), default=None), ",".join(sorted(base)),

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from funnelforge.llm import common
 from funnelforge.llm import license_scan as ls
@@ -64,3 +65,17 @@ def test_every_passage_lies_in_a_block():
     held = [(at, len(b)) for _, at, b in ls.blocks(text, 32)]
     assert all(any(a <= s and s + 32 <= a + n for a, n in held) for s in range(500 - 32 + 1))
     assert common.alnum_words(b"A-z\xc3\x89") == [b"a", b"z\xc3\x89"]
+
+
+def test_wrapped_statements(frame):
+    templates = [(label, text) for label, text in ls.TEMPLATES if len(text) > 80]
+    docs = [(i, "intro\n\n" + "\n".join(" * " + x for x in textwrap.wrap(text, 40)) + "\n" + "word " * 100 + "\nend")
+            for i, (_, text) in enumerate(templates)]
+    far = "word " * 90 + "\nLicensed\nunder CC BY-NC\n\n4.0.\n" + "word " * 90
+    docs += [(100, far), (101, "Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0."), (102, "all is well\nrights or not")]
+    got = {r.doc_id: r for r in ls.scan(frame(docs, "doc_id bigint, text string")).collect()}
+    assert all(label in got[i].labels.split(",") for i, (label, _) in enumerate(templates))
+    assert got[100].labels == "cc-by-nc" and got[101].labels == "cc-by,cc-by-nc" and got[102].labels == ""
+    assert {(m.line, m.word) for m in got[0].matches} == {(0, 0)}
+    assert {(m.line, m.word) for m in got[100].matches} == {(0, 32), (0, 64)}
+    assert sorted((m.label, m.line) for m in got[101].matches) == [(x, n) for x in ("cc-by", "cc-by-nc", "cc-by-sa") for n in (0, 1)]
