@@ -4,9 +4,11 @@ Rules decide what they fit; the longest wins.  For all other urls a tree of path
 templates is learned per host.  Distinct (host, path) pairs are counted first,
 with the verdicts that rules gave to them as labels.  Segments that are numbers,
 dates, hashes and the like become wildcards by their shape; then, level by
-level, a node with many rarely seen children has a variable segment there and
-its children become one ``*``.  Sibling branches whose labelled shares do not
-differ significantly are merged and share their labels.  A template is rejected
+level, a node whose many children have few paths each below them, or mostly the
+same ones, has a variable segment there and its children become one ``*``; how
+often a url is repeated does not matter.  Sibling branches whose labelled shares
+do not differ significantly are merged and share their labels; a branch without
+labels cannot join them, nothing shows which of them it is like.  A template is rejected
 if its purity, the blocked share of its labels smoothed towards the overall
 share, reaches ``reject``; without labels of its own it is allowed.
 
@@ -46,8 +48,10 @@ SHAPES = [
 EXTENSION = r"(\.[A-Za-z]{1,5})?"
 #: Segments from this depth on are one tail.
 DEEPEST = 16
-#: A node with at least so many children, each seen at most so often on average, has a variable segment.
+#: A node with at least so many children, each with at most so many distinct paths on average, has a variable segment ...
 MANY_CHILDREN, SEEN = 20, 3.0
+#: ... and also if what follows a child follows this share of its siblings on average.
+COMMON = 0.5
 #: Siblings within so many standard errors of their pool are merged.
 ALIKE = 1.96
 PRIOR_WEIGHT = 4.0
@@ -83,23 +87,27 @@ def _typed(segment: Column) -> Column:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """(host, path, template) for distinct (host, path) with their count ``n``."""
+    """(host, path, template) for distinct (host, path)."""
     split = F.split(F.regexp_replace("path", "^/", ""), "/")
     cut = F.when(F.size(split) > DEEPEST, F.concat(F.slice(split, 1, DEEPEST - 1), F.array(F.lit("<tail>")))).otherwise(split)
-    state = common.stored(paths.select("host", "path", "n", F.transform(cut, _typed).alias("segments"),
+    state = common.stored(paths.select("host", "path", F.transform(cut, _typed).alias("segments"),
                                        F.lit("").alias("template")), "url-paths")
     depth = state.agg(F.max(F.size("segments"))).first()[0] or 0
     for d in range(depth):
         segment = F.get("segments", F.lit(d))
         literal = F.coalesce(~F.startswith(segment, F.lit("<")), F.lit(False))
-        children = (state.where(literal).groupBy("host", "template", segment.alias("segment"))
-                    .agg(F.sum("n").alias("n")))
-        variable = (children.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("n"))
-                    .where((F.col("children") >= MANY_CHILDREN) & (F.col("n") <= SEEN * F.col("children")))
+        rest = F.xxhash64(F.slice("segments", d + 2, DEEPEST))
+        children = (state.where(literal).select("host", "template", segment.alias("segment"), rest.alias("rest"))
+                    .groupBy("host", "template").agg(F.count_distinct("segment").alias("children"),
+                                                     F.count_distinct("segment", "rest").alias("paths"),
+                                                     F.count_distinct("rest").alias("rests")))
+        variable = (children.where((F.col("children") >= MANY_CHILDREN)
+                                   & ((F.col("paths") <= SEEN * F.col("children"))
+                                      | (F.col("paths") >= COMMON * F.col("children") * F.col("rests"))))
                     .select("host", "template", F.lit(True).alias("variable")))
         step = F.when(segment.isNull(), "").when(literal & F.col("variable").isNotNull(), "/*").otherwise(F.concat(F.lit("/"), segment))
         state = (state.join(variable, ["host", "template"], "left")
-                 .select("host", "path", "n", "segments", F.concat("template", step).alias("template")))
+                 .select("host", "path", "segments", F.concat("template", step).alias("template")))
         if d % 4 == 3:
             state = common.stored(state, "url-paths")
     return state.select("host", "path", "template")
@@ -131,7 +139,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             .withColumn("rule", _first_rule(rules, lambda r: r[0] + r[1]))
             .withColumn("by_rule", _first_rule(rules, lambda r: r[2])))
     paths = common.stored(rows.groupBy("host", "path").agg(
-        F.count("*").alias("n"), F.count("by_rule").alias("labelled"),
+        F.count("by_rule").alias("labelled"),
         F.count(F.when(F.col("by_rule") == "block", 1)).alias("blocked")), "url-counts")
     tree = common.stored(templates(paths), "url-templates")
     totals = paths.agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")).first()

@@ -48,6 +48,24 @@ def test_template_learns_from_labelled_urls(frame):
     assert by["/page/one"] == by["/page/two"] == {(False, "allow")}
 
 
+def test_variable_segments_whatever_repeats(frame):
+    rnd = random.Random(4)
+    names = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(100)]
+    urls = [f"http://s.org/user/{n}/posts" for n in names] * 4
+    urls += [f"http://s.org/deep/{n}/{x}" for n in names for x in ("about", "posts", "likes", "lists", "links")]
+    urls += [f"http://s.org/many/{n}/post/{i}" for n in names for i in range(5)]
+    urls += [f"http://s.org/topic/{n}/{n}-{x}" for n in names[:25] for x in "abcde"]  # sections with texts of their own
+    rules = [("s.org", f"/{top}/{c}", "block") for c in "abcd" for top in ("user", "deep", "many", "topic")]
+    got = uf.judge(frame(list(enumerate(urls)), "page_id bigint, url string"), rules=rules).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.template, set()).add(r.verdict)
+    assert {t for t in by if not t.startswith("/topic/")} == {
+        "/user/*/posts", "/many/*/post/<num>", *(f"/deep/*/{x}" for x in ("about", "posts", "likes", "lists", "links"))}
+    assert all(v == {"block"} for t, v in by.items() if not t.startswith("/topic/"))
+    assert len({t.split("/")[2] for t in by if t.startswith("/topic/")}) == len(set(names[:25]))
+
+
 def test_no_python_in_the_plan(frame):
     plan = uf.judge(frame([(1, "http://a.b/c")], "page_id bigint, url string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
