@@ -14,7 +14,9 @@ the best partial products, so they are found projection by projection.
 *Fit.*  The number of projections follows the number of vectors.  The bucket
 width and the number of probes are fitted on a bounded sample
 (``sample_vectors`` vectors, ``sample_queries`` queries of it): as few probes as
-reach ``target`` recall there.  A sample's neighbours are farther away than the
+reach ``target`` recall there.  If the most probes (``MAX_PROBES``) don't reach it, the
+index gets fewer projections, so wider buckets; without any, all vectors are
+scored exactly.  A sample's neighbours are farther away than the
 full table's, so recall on all rows is higher.
 
 *Search.*  Equal vectors are searched once and expand to their smallest ids
@@ -144,6 +146,17 @@ class Index:
         return float((place < self.probes).mean())
 
 
+    def fit_to(self, sample: np.ndarray, n_queries: int, k: int, target: float) -> float:
+        """``fit`` with as many projections as reach ``target``, none in the end:
+        then one table of one bucket holds all vectors.  Returns the recall."""
+        while (recall := self.fit(sample, n_queries, k, target)) < target and self.k:
+            self.k -= 1
+            self.a, self.b, self.mix = self.a[:, :, :self.k], self.b[:, :self.k], self.mix[:, :self.k]
+        if not self.k:
+            self.tables = 1
+        return recall
+
+
 def _vectors(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -233,7 +246,7 @@ def _search_dimension(reps: DataFrame, queries: DataFrame, index: Index, k: int,
     """(query, rep, score): the best of every block for every distinct query vector."""
     spark = reps.sparkSession
     sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(n_sample).select("vector").toArrow()  # a bounded sample
-    index.fit(_vectors(sample.column("vector").combine_chunks(), index.dim), n_queries, k, target)
+    index.fit_to(_vectors(sample.column("vector").combine_chunks(), index.dim), n_queries, k, target)
     shared = spark.sparkContext.broadcast(index)
     dim, n_tables = index.dim, index.tables
 

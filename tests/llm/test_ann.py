@@ -58,6 +58,19 @@ def test_empty_and_few(frame):
     assert run(frame, [(0, [1.0, 0.0]), (7, [1.0, 1.0])]) == {0: [(7, 1.0)]}
 
 
+@pytest.mark.parametrize("most", [0, 2])
+def test_recall_where_probes_do_not_reach_it(frame, monkeypatch, most):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((600, 16)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    monkeypatch.setattr(ann, "MAX_PROBES", max(1, most))
+    if not most:  # not even buckets of one projection
+        monkeypatch.setattr(ann.Index, "fit", lambda self, *_: 1.0 if self.k == 0 else 0.0)
+    want, got = brute(rows), run(frame, rows, block_bytes=300 * 128)
+    hits = [len({i for i, _ in got.get(q, ())} & {i for i, _ in want[q]}) / 20 for q in want]
+    assert np.mean(hits) >= (0.9 if most else 1.0)
+
+
 def test_visits_come_in_order_of_success():
     index = ann.Index(6, 3.0, 10_000)
     index.width, index.spread = 1.5, 0.6
