@@ -1,7 +1,7 @@
 """Contract rules, quality checks, result equivalence, incremental runs."""
 
 
-from conftest import doc
+from event_docs import doc
 
 from funnelforge.functions.contract import contract_report, validate
 from funnelforge.operators import incremental, quality, staging

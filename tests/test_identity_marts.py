@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import doc
+from event_docs import doc
 from pyspark.sql import Row
 
 from funnelforge.operators import identity, marts, staging

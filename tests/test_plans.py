@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import doc
+from event_docs import doc
 
 from funnelforge.operators import staging
 from funnelforge.plans.warehouse import Warehouse

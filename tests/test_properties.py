@@ -1,6 +1,6 @@
 """Property tests (hypothesis): dedup, partition of the input, conservation."""
 
-from conftest import doc
+from event_docs import doc
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -1,6 +1,6 @@
 """Hand-written staging cases (dedup, lateness, quarantine reasons)."""
 
-from conftest import doc
+from event_docs import doc
 
 from funnelforge.operators import staging
 
