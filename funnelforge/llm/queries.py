@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, decontam, html_extract, jaccard_join, language_id, license_scan, packing, pii, toxicity, url_filter
+from . import ann, byte_bpe, decontam, html_extract, jaccard_join, language_id, license_scan, packing, pii, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +63,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("n_near_items")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination)}
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and what they decode to, as digests."""
+    found = byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_nearest_neighbours, op3_html_extract, op4_license_scan, op5_toxicity, op6_url_filter, op7_packing, op8_jaccard_join, op9_personal_data, op10_decontamination,
+                                   op11_byte_bpe)}
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
