@@ -37,7 +37,8 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,9 @@ SHORT = 64
 #: Steps of the query for longer words until it starts anew from where it is.
 STEPS = 16
 #: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 4_000_000
-#: Remembered words and stretches of a task; beyond that they are forgotten.
-REMEMBERED = 250_000
+GROUP_CHARS = 3_000_000
+#: Words and stretches that a task remembers; beyond that they are forgotten.
+REMEMBERED = 400_000
 ENCODED_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
 DECODED_SCHEMA = "doc_id bigint, decoded binary"
 
@@ -103,31 +104,48 @@ def _ranges(points: list[int]) -> str:
     return "".join(f"\\U{points[a]:08x}-\\U{points[b - 1]:08x}" for a, b in stretches)
 
 
-def _class_of_library(property_: str) -> str:
+_EVERY = [*range(0xD800), *range(0xE000, 0x110000)]
+
+
+def _class_of_library(property_: str) -> list[int]:
     """The code points that tiktoken's own patterns take for ``property_``."""
     import tiktoken
 
     probe = tiktoken.Encoding("probe", pat_str=property_, mergeable_ranks={bytes([b]): b for b in range(256)},
                               special_tokens={})
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    return _ranges([ord(c) for c in bytes(probe.encode_ordinary(every)).decode()])
+    return [ord(c) for c in bytes(probe.encode_ordinary("".join(map(chr, _EVERY)))).decode()]
+
 
+@dataclass(frozen=True)
+class Patterns:
+    """The vocabularies' pattern as the ``regex`` library reads it, the same with the
+    letters and digits of the tiktoken library, and the code points on which the two
+    libraries, or Python's own ``str.isalpha``, differ (inside of a set)."""
 
-def word_pattern(pattern: str | None = None) -> str:
-    """``pattern`` (the vocabularies' own by default) with letters and digits as
-    the tiktoken library knows them."""
+    plain: str
+    exact: str
+    differing: str
+
+
+def word_patterns(pattern: str | None = None) -> Patterns:
     import public_tokenizers
+    import regex
 
     pattern = pattern or public_tokenizers.PATTERN
     letters, digits = _class_of_library(r"\p{L}"), _class_of_library(r"\p{N}")
-    pattern = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{letters}{digits}]")
-    return pattern.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
+    every = "".join(map(chr, _EVERY))
+    differing = set(letters).symmetric_difference(map(ord, regex.findall(r"\p{L}", every)))
+    differing |= set(letters).symmetric_difference(c for c in _EVERY if chr(c).isalpha())
+    differing |= set(digits).symmetric_difference(map(ord, regex.findall(r"\p{N}", every)))
+    l, n = _ranges(letters), _ranges(digits)
+    exact = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{l}{n}]").replace(r"\p{L}", f"[{l}]").replace(r"\p{N}", f"[{n}]")
+    return Patterns(pattern, exact, _ranges(sorted(differing)))
 
 
 class Codec:
     """The vocabulary in a DuckDB database of one task."""
 
-    def __init__(self, pattern: str, ranks: str | None = None):
+    def __init__(self, patterns: Patterns | None = None, ranks: str | None = None):
         import duckdb
         import public_tokenizers
         import regex
@@ -135,7 +153,9 @@ class Codec:
         with open(ranks or public_tokenizers.path(RANKS), "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.cut = re.compile(STRETCH).split
-        self.find = regex.compile(pattern).findall
+        if patterns is not None:
+            self.plain, self.exact = regex.compile(patterns.plain).findall, regex.compile(patterns.exact).findall
+            self.differs = re.compile(f"[{patterns.differing}]").search if patterns.differing else lambda text: None
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t))
                   if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -144,8 +164,7 @@ class Codec:
         self._table("merges", {"pair": (left << 32) | right, "id": merged.astype(np.int32)})
         self._table("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int64()),
                                    "hex": [t.hex() for t in self.ranks]})
-        self.words: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of words, and of stretches of several words
 
     def _table(self, name: str, columns: dict) -> None:
         self.con.register("given", pa.table(columns))
@@ -158,26 +177,24 @@ class Codec:
         self.con.unregister(name)
         return [c.to_numpy() for c in out.columns]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: Iterable[str]) -> None:
         """Encode new words; tokens encode as themselves."""
-        rest = []
+        rest: dict[bool, list[str]] = {True: [], False: []}
+        datas: dict[bool, list[bytes]] = {True: [], False: []}
         for word in words:
             data = word.encode()
-            if (rank := self.ranks.get(data)) is not None:
-                self.words[word] = rank.to_bytes(4, "little")
+            if data in self.ranks:
+                self.known[word] = self.ranks[data].to_bytes(4, "little")
             else:
-                rest.append((word, data))
-        for chosen, encode in ((lambda d: len(d) <= SHORT, self._short), (lambda d: len(d) > SHORT, self._long)):
-            group = [(w, d) for w, d in rest if chosen(d)]
-            if not group:
-                continue
-            word, token = encode([d for _, d in group])
-            ids = token.astype("<u4")
-            ends = np.searchsorted(word, np.arange(len(group)), "right")
-            at = 0
-            for (w, _), end in zip(group, ends.tolist()):
-                self.words[w] = ids[at:end].tobytes()
-                at = end
+                short = len(data) <= SHORT
+                rest[short].append(word)
+                datas[short].append(data)
+        for short, encode in ((True, self._short), (False, self._long)):
+            if rest[short]:
+                word, token = encode(datas[short])
+                ids = token.astype("<u4").tobytes()
+                ends = (4 * np.searchsorted(word, np.arange(len(rest[short])), "right")).tolist()
+                self.known.update(zip(rest[short], map(ids.__getitem__, map(slice, [0, *ends], ends))))
 
     def _start(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         lengths = np.array([len(w) for w in words])
@@ -204,19 +221,23 @@ class Codec:
             found.append((np.full(len(token), k), token))
         return np.concatenate([w for w, _ in found]), np.concatenate([t for _, t in found])
 
-    def _stretch_ids(self, stretches: set[str]) -> None:
-        cut = {s: self.find(s) for s in stretches}
-        self._learn(list({w for words in cut.values() for w in words if w not in self.words}))
-        for s, words in cut.items():
-            self.stretches[s] = b"".join([self.words[w] for w in words])
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > REMEMBERED or len(self.stretches) > REMEMBERED:
-            self.words, self.stretches = {}, {}
+        if len(self.known) > REMEMBERED:
+            self.known = {}
         cut = [self.cut(t) for t in texts]
-        self._stretch_ids({s for c in cut for s in c if s not in self.stretches})
-        return [b"".join(map(self.stretches.__getitem__, c)) for c in cut]
+        new = set().union(*cut).difference(self.known)
+        if self.differs("".join(new)):
+            several = {s: self.exact(s) for s in new}
+        else:  # letters alone, after a space or not, are one word
+            several = {s: self.plain(s) for s in new if not (s.isalpha() or s[:1] == " " and s[1:].isalpha())}
+        words = new.difference(several).union(*several.values()).difference(self.known)
+        self._learn(words)
+        known = self.known
+        for s, parts in several.items():
+            if len(parts) != 1:
+                known[s] = b"".join([known[w] for w in parts])
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each text's ids stand for."""
@@ -249,10 +270,10 @@ def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _encoded(documents: DataFrame, id_col: str, text_col: str, ranks: str | None, decoded: bool) -> DataFrame:
-    pattern = word_pattern()
+    patterns = word_patterns()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(pattern, ranks)
+        codec = Codec(patterns, ranks)
         for batch in batches:
             for doc_ids, texts in _groups(batch, ""):
                 ids = codec.encode(texts)
@@ -280,7 +301,7 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
     """(doc_id, decoded) of ids as ``encode`` writes them (null: none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec("", ranks)
+        codec = Codec(None, ranks)
         for batch in batches:
             for doc_ids, ids in _groups(batch, b""):
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()),

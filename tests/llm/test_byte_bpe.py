@@ -26,7 +26,7 @@ def library(ranks):
 
 @pytest.fixture(scope="module")
 def codec():
-    return byte_bpe.Codec(byte_bpe.word_pattern())
+    return byte_bpe.Codec(byte_bpe.word_patterns())
 
 
 def ids_of(data):
@@ -66,7 +66,7 @@ def test_any_text_equals_library(codec, library, texts):
 def test_queries_agree_and_restart(library):
     """Both queries, the second restarted within words, give the same ids."""
     words = ["internationalization" * 4, "aaaaaaaaab" * 9, "Donaudampfschifffahrtsgesellschaft" * 40, "pneumonoultramicroscopic" * 100]
-    codec = byte_bpe.Codec("")
+    codec = byte_bpe.Codec()
     for word in words:
         for encode in (codec._short, codec._long):
             assert encode([word.encode()])[1].tolist() == library.encode_ordinary(word)
