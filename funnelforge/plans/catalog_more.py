@@ -3,13 +3,16 @@ and the stand-alone joins / aggregates / windows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelforge.functions.contract import EVENT_NAMES, PRODUCT_EVENT_V1, contract_report, contract_samples, validate
 from funnelforge.functions.jsonx import json_text, with_doc
 from funnelforge.operators import identity, incremental, marts, quality, staging
 from funnelforge.plans.catalog import _wh, register
-from funnelforge.plans.oracle import _VALID, contract_violations_sql, stg_events_sql
+from funnelforge.plans.oracle import _VALID, CTES, contract_violations_sql, stg_events_sql
 from funnelforge.session import scratch_path
 from funnelforge.sources import bronze, sinks, testdata
 from funnelforge.streaming import ingest
@@ -267,7 +270,8 @@ _W6_BATCHES = f"""batch1 AS (SELECT * FROM parsed_events WHERE received_ts IS NU
      b2 AS ({stg_events_sql('batch2', _W6_HWM)})"""
 
 
-def _two_batches(spark, sf_dir) -> incremental.EventTable:
+def _deliveries(spark, sf_dir) -> tuple:
+    """The documents as two deliveries; the second brings four days of the first again."""
     raw = testdata.landed_events_raw(spark, sf_dir)
     d = with_doc(raw)
     rts = staging.try_timestamp(json_text(F.col("_doc"), "$.received_ts", F.col("raw_json")))
@@ -275,7 +279,12 @@ def _two_batches(spark, sf_dir) -> incremental.EventTable:
     d = d.withColumn("_r", rts)
     b1 = d.filter(F.col("_r").isNull() | (F.col("_r") < cut)).select("raw_json", "_loaded_at")
     b2 = d.filter(F.col("_r") >= cut - F.expr("INTERVAL 4 DAYS")).select("raw_json", "_loaded_at")
-    table = incremental.EventTable(spark, scratch_path(spark, "stg_events_table"))
+    return b1, b2
+
+
+def _two_batches(spark, sf_dir, facts: bool = False) -> incremental.EventTable:
+    b1, b2 = _deliveries(spark, sf_dir)
+    table = incremental.EventTable(spark, scratch_path(spark, "stg_events_table"), facts)
     table.apply(b1, "1")
     table.apply(b2, "2")
     return table
@@ -292,6 +301,54 @@ def w6_incremental_upsert(spark, sf_dir):
     return _two_batches(spark, sf_dir).current()
 
 
+_W6_AFTER = "SELECT * FROM t1 WHERE event_id NOT IN (SELECT event_id FROM b2) UNION ALL SELECT * FROM b2"
+
+
+@register("w6_crash_between_steps", f"""
+SELECT * FROM (
+WITH {_W6_BATCHES},
+     steps AS (SELECT unnest(['staged', 'new days written', 'days rewritten', 'before commit']) AS died_after),
+     after_ AS ({_W6_AFTER})
+SELECT died_after, 1 AS version, t1.* FROM steps, t1
+UNION ALL SELECT 'none', 2, * FROM after_) w""")
+def w6_crash_between_steps(spark, sf_dir):
+    """W-6 / W-1: the second run dies after each of its steps; what readers find is
+    the first version whole.  In the end a run that is left alone gives the second."""
+    class Died(RuntimeError):
+        pass
+
+    b1, b2 = _deliveries(spark, sf_dir)
+    table = incremental.EventTable(spark, scratch_path(spark, "stg_events_crashes"))
+    table.apply(b1, "1")
+    found = []
+    for step in ("staged", "new days written", "days rewritten", "before commit", "none"):
+        def reached(at, step=step):
+            if at == step:
+                raise Died(at)
+
+        try:
+            table.apply(b2, "2", reached=reached)
+        except Died:
+            pass
+        now = table.store.latest().version
+        found.append(table.current().select(F.lit(step).alias("died_after"), F.lit(now).alias("version"), "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
+_STITCHED = ["identify_claims", "anon_to_user", "user_to_account", "fct_events"]
+
+
+@register("df_incremental", f"""
+SELECT * FROM (
+WITH {_W6_BATCHES}, stg_events AS ({_W6_AFTER}),
+     {", ".join(f"{name} AS ({CTES[name]})" for name in _STITCHED)}
+SELECT * FROM fct_events) f""")
+def df_incremental(spark, sf_dir):
+    """D-F under W-6: the fact follows two incremental runs; only events of the batch
+    and of devices and users whose claims changed are stitched again."""
+    return _two_batches(spark, sf_dir, facts=True).fct_events().select(*marts.FCT_EVENT_COLUMNS)
+
+
 @register("w6_quarantine", f"""
 SELECT * FROM (
 WITH {_W6_BATCHES}
