@@ -92,8 +92,8 @@ class Changes:
 
 
 class EventTable:
-    """``stg_events``, its quarantine and (with ``facts``) ``fct_events`` and the
-    identity tables, kept as snapshots under ``root``."""
+    """``stg_events``, its quarantine, dead letters and (with ``facts``)
+    ``fct_events`` and the identity tables, kept as snapshots under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, facts: bool = False):
         self.spark, self.facts = spark, facts
@@ -114,6 +114,9 @@ class EventTable:
     def quarantine(self, version: int | None = None) -> DataFrame | None:
         return self._published("quarantine", "batch", version)
 
+    def dead_letter(self, version: int | None = None) -> DataFrame | None:
+        return self._published("dead_letter", "batch", version)
+
     def identity(self, table: str, version: int | None = None) -> DataFrame | None:
         """``anon_to_user`` or ``user_to_account``."""
         return self._published(table, BUCKET, version)
@@ -129,14 +132,14 @@ class EventTable:
         return self.apply_parsed(self._stage(staging.parse_events(batch_raw), "parsed-batch"), batch, **options)
 
     def apply_parsed(self, parsed: DataFrame, batch: str, check: Callable[[Snapshot], list[str]] | None = None,
-                     reached: Callable[[str], None] = lambda step: None,
+                     reached: Callable[[str], None] = lambda step: None, letters: DataFrame | None = None,
                      values: dict[str, object] | None = None) -> Changes:
         """Merge one batch of parsed documents (a stored table: it is read twice).
 
         ``batch`` names it in the quarantine, so a repeated run replaces its own
         entries.  ``check`` returns the checks that the new version fails; if any,
-        nothing is published.  ``reached`` is told each step; ``values`` are noted
-        with the version."""
+        nothing is published.  ``letters`` are the batch's dead letters, published with
+        it; ``reached`` is told each step; ``values`` are noted with the version."""
         tx = self.store.begin()
         base = tx.base
         table = base.read("stg_events")
@@ -167,6 +170,8 @@ class EventTable:
             reached("days rewritten")
         done.rows += seen["rows"]
         tx.values |= values or {}
+        if letters is not None:
+            tx.write("dead_letter", letters.withColumn("batch", F.lit(batch)), "batch")
 
         if self.facts:
             done.fact_days = self._restitch(tx, base, fresh, replaced)

@@ -174,9 +174,10 @@ def results_equivalent(expected: DataFrame, actual: DataFrame, places: int = 2)
     extra columns of ``actual``; floats compared at ``places`` decimals.
 
     Both sides are written once.  Columns are paired by digests of their values
-    (one aggregate per side); a pairing is verified by one grouping of both
-    sides.  Columns of one side with equal digests hold the same values, so only
-    their arrangements among each other are tried.
+    (one aggregate per side).  Columns of one side with equal digests hold the same
+    values; where their values also lie in the same rows they are interchangeable, so
+    groups of identical columns are found first (one more aggregate) and only the
+    arrangements of columns that differ row by row are tried.
     """
     ne, na = len(expected.columns), len(actual.columns)
     if ne > na:
@@ -185,17 +186,36 @@ def results_equivalent(expected: DataFrame, actual: DataFrame, places: int = 2)
     fe, fa = _fingerprints(e), _fingerprints(a)
     if fe[0] != fa[0]:
         return False
-    cands = [[j for j in range(na) if fa[1 + j] == fe[1 + i]] for i in range(ne)]
+    ke, ka = _kinds(e, fe[1:]), _kinds(a, fa[1:])
+    kinds = {k: [j for j in range(na) if ka[j] == k] for k in set(ka)}
 
-    def assignments(i: int, used: tuple[int, ...]):
+    def assignments(i: int, given: dict[int, int], used: dict[int, int]):
+        """The kind of actual columns for each kind of expected ones; copies of a
+        column go to copies, while there are any."""
         if i == ne:
-            yield used
+            yield given
             return
-        for j in cands[i]:
-            if j not in used:
-                yield from assignments(i + 1, used + (j,))
-
-    return any(difference(e, a.select(*[f"c{j}" for j in mapping])).isEmpty() for mapping in assignments(0, ()))
+        if ke[i] in given:
+            yield from assignments(i + 1, given, used)
+            return
+        copies = ke.count(ke[i])
+        for k, columns in kinds.items():
+            if fa[1 + columns[0]] == fe[1 + i] and used.get(k, 0) + copies <= len(columns):
+                yield from assignments(i + 1, given | {ke[i]: k}, used | {k: used.get(k, 0) + copies})
+
+    for given in assignments(0, {}, {}):
+        if difference(e, a.select(*[F.col(f"c{kinds[given[k]][0]}").alias(f"c{i}") for i, k in enumerate(ke)])).isEmpty():
+            return True
+    return False
+
+
+def _kinds(df: DataFrame, digests: list) -> list[int]:
+    """Per column the first column that is equal to it in every row."""
+    pairs = [(i, j) for j in range(len(digests)) for i in range(j) if digests[i] == digests[j]]
+    if not pairs:
+        return list(range(len(digests)))
+    same = df.agg(*[F.min(F.col(f"c{i}") == F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    return [next((i for i in range(j) if (i, j) in pairs and same[f"p{i}_{j}"] is not False), j) for j in range(len(digests))]
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:

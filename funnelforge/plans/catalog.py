@@ -79,16 +79,16 @@ _model("dj_revenue_attribution", "fct_revenue_attribution", "fct_revenue_attribu
 
 # ------------------------------------------------------------ golden (G)
 _LATEST = "QUALIFY row_number() OVER (ORDER BY invoice_month DESC) = 1"
-_CHANNELS = "FROM fct_revenue_attribution SELECT channel"
+_CHANNELS = "SELECT channel FROM fct_revenue_attribution"
 _ONE_CHANNEL = "FROM fct_revenue_attribution SELECT {} WHERE channel = '{}'"
 _MONTHS = "(FROM fct_mrr_monthly SELECT invoice_month, round(sum(mrr), 2) AS total_mrr GROUP BY ALL)"
 _GOLDEN_SQL = {
     "g1_mrr_last_month": f"SELECT max_by(total_mrr, invoice_month) AS total_mrr FROM {_MONTHS}",
     "g2_ndr_latest": f"FROM fct_ndr SELECT ndr {_LATEST}",
-    "g3_top_channel_revenue": f"{_CHANNELS} QUALIFY row_number() OVER (ORDER BY -total_revenue_usd, channel) = 1",
-    "g4_best_conversion_channel": f"{_CHANNELS} QUALIFY row_number() OVER (ORDER BY -signup_to_paid_rate, channel) = 1",
+    "g3_top_channel_revenue": f"{_CHANNELS} ORDER BY total_revenue_usd DESC, channel LIMIT 1",
+    "g4_best_conversion_channel": f"{_CHANNELS} ORDER BY signup_to_paid_rate DESC, channel LIMIT 1",
     "g5_churned_last_month": f"FROM fct_ndr SELECT churned_accounts {_LATEST}",
-    "g6_paying_accounts": "SELECT len(list_distinct(list(account_id))) AS paying_accounts FROM fct_mrr_monthly",
+    "g6_paying_accounts": "SELECT count(DISTINCT account_id) AS paying_accounts FROM fct_mrr_monthly",
     "g7_google_signups": _ONE_CHANNEL.format("accounts_signed_up", "google"),
     "g8_expansion_accounts": "SELECT count_if(movement = 'expansion') AS n FROM fct_mrr_monthly",
     "g9_crm_match_rate": "SELECT round(count_if(is_crm_matched) / count(*), 3) AS crm_match_rate FROM dim_accounts",

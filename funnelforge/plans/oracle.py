@@ -172,16 +172,14 @@ SELECT account_id, company_name, email_domain, crm_company_id, stripe_customer_i
 FROM account_spine LEFT JOIN first_touches USING (account_id)"""
 
 CTES["paid_months"] = """
-SELECT month, account_id, coalesce(account_id, '') AS k, sum(usd) AS mrr
-FROM (SELECT i.invoice_month AS month, i.amount_usd AS usd,
-             unnest((SELECT list(c.account_id) FROM stg_customers c
-                     WHERE c.stripe_customer_id = i.stripe_customer_id)) AS account_id
-      FROM stg_invoices i WHERE i.invoice_status = 'paid') GROUP BY ALL"""
+SELECT i.invoice_month AS month, c.account_id, coalesce(c.account_id, '') AS k, sum(i.amount_usd) AS mrr
+FROM stg_invoices i JOIN stg_customers c ON c.stripe_customer_id = i.stripe_customer_id
+WHERE i.invoice_status = 'paid' GROUP BY i.invoice_month, c.account_id"""
 
 CTES["fct_mrr_monthly"] = """
 SELECT now.month AS invoice_month, now.account_id, now.mrr, coalesce(was.mrr, 0) AS prev_mrr,
        CASE WHEN was.k IS NULL OR now.month - was.month > INTERVAL 35 DAY THEN 'new'
-            ELSE ['contraction', 'retained', 'expansion'][2 + sign(now.mrr - was.mrr)::INTEGER] END AS movement
+            WHEN now.mrr > was.mrr THEN 'expansion' WHEN now.mrr < was.mrr THEN 'contraction' ELSE 'retained' END AS movement
 FROM paid_months now ASOF LEFT JOIN paid_months was ON now.k = was.k AND now.month > was.month"""
 
 CTES["cohort_sums"] = """

@@ -74,14 +74,16 @@ def load_time() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
-def read_events_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """S-1: NDJSON events, one unparsed document per row.
+def read_events_raw(spark: SparkSession, path: str | list[str], modified_after: str | None = None) -> DataFrame:
+    """S-1: NDJSON events, one unparsed document per row; with ``modified_after``
+    (UTC, like 2026-01-31T00:00:00) only files that came later are read.
 
     The text source splits large files, so a 100 TB landing directory is read
     by as many tasks as ``spark.sql.files.maxPartitionBytes`` dictates.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return (spark.read.text(paths)
+    reader = spark.read if modified_after is None else spark.read.option("modifiedAfter", modified_after).option("timeZone", "UTC")
+    return (reader.text(paths)
             .select(F.col("value").alias("raw_json"), load_time().alias("_loaded_at")))
 
 

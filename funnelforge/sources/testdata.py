@@ -320,16 +320,28 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*out)
 
 
+_LANDED: dict[tuple, str] = {}
+
+
 def landed_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adapter's event documents landed as NDJSON text, then read as bronze.
 
     This is the production shape (documents arrive as files), and it keeps the
-    adapter's JSON assembly out of the generated code of the parsing stages.
-    Every call lands the current documents anew in the scratch folder.
+    adapter's JSON assembly out of the generated code of the parsing stages.  An
+    application lands an input once: again only if the table has changed since, or the
+    landed files are gone.
     """
     from funnelforge.session import scratch_path
-    path = scratch_path(spark, "landed-events")
-    raw_table(spark, sf_dir, "events_raw").select("raw_json").write.text(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    fs = source.getFileSystem(conf)
+    files = sorted((f.getPath().toString(), f.getModificationTime(), f.getLen()) for f in fs.listStatus(source))
+    key = (spark.sparkContext.applicationId, *files)
+    path = _LANDED.get(key)
+    done = path and jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done or not done.getFileSystem(conf).exists(done):
+        path = _LANDED[key] = scratch_path(spark, "landed-events")
+        raw_table(spark, sf_dir, "events_raw").select("raw_json").write.text(path)
     return spark.read.text(path).selectExpr("value AS raw_json", f"{_ts_lit(SPARK, LOADED_AT)} AS _loaded_at")
 
 

@@ -6,7 +6,7 @@ import pytest
 from funnelforge.operators import quality
 from funnelforge.plans import build, metrics
 from funnelforge.plans.warehouse import GOLD_TABLES, SILVER_TABLES, Warehouse
-from funnelforge.sources import sinks, testdata
+from funnelforge.sources import bronze, sinks, testdata
 from funnelforge.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +73,47 @@ def test_full_refresh_drops_old_days_and_splits_hot_ones(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+
+
+def test_incremental_builds_publish_the_store_itself(spark, raw_events, tmp_path):
+    import json
+    import time
+
+    from event_docs import doc
+    landing, out = tmp_path / "landing", str(tmp_path / "wh")
+    for spec in bronze.BRONZE_SPECS[1:]:
+        (landing / spec.relpath).mkdir(parents=True)
+        (landing / spec.relpath / "none.json").write_text("")
+    (landing / "events").mkdir()
+
+    def land(name, docs):
+        (landing / "events" / name).write_text("".join(d + "\n" for d in docs))
+
+    one, two = "evt_" + "1" * 32, "evt_" + "2" * 32
+    land("a.json", [doc(event_id=one, user=None), doc(event_id=two, name=7), json.dumps({})])
+    first = build.run_warehouse(spark, str(landing), out, incremental_events=True)
+    assert first.published and set(first.tables["fct_events"]) == {"store", "version"}
+    assert [r.is_stitched for r in build.published(spark, out)["fct_events"].collect()] == [False]
+    time.sleep(0.1)
+    land("b.json", [doc(event_id=two, name="identify", user="usr_" + "1" * 12, account="acct_" + "2" * 12)])
+    second = build.run_warehouse(spark, str(landing), out, incremental_events=True)
+    tables = build.published(spark, out)
+    assert second.published and [(r.event_id, r.is_stitched) for r in tables["fct_events"].collect()] == [(one, True)]
+    assert tables["stg_events"].count() == 2 and tables["dead_letter"].count() == 2  # the documents of the first run are not read again
+    failing = [quality.Check("unique", "stg_events", "stg_events", ("event_name",))]
+    time.sleep(0.1)
+    land("c.json", [doc(event_id="evt_" + "3" * 32)])
+    third = build.run_warehouse(spark, str(landing), out, incremental_events=True, checks=failing)
+    assert not third.published and third.dq_failures == 1 and "fct_events" in third.skipped
+    assert build.published(spark, out)["stg_events"].count() == 2
+    assert build.run_warehouse(spark, str(landing), out, incremental_events=True).published
+    assert build.published(spark, out)["stg_events"].count() == 3
+    assert build.published(spark, out, version=1)["stg_events"].count() == 1
+
+
+def test_equal_columns_are_matched_without_trying_all(spark):
+    same = spark.range(50).selectExpr(*[f"id AS a{i}" for i in range(10)])
+    assert quality.results_equivalent(same, same.selectExpr(*[f"a{9 - i} AS b{i}" for i in range(10)]))
+    other = spark.range(50).selectExpr(*[f"id AS a{i}" for i in range(9)], "49 - id AS z")
+    assert not quality.results_equivalent(same, other) and not quality.results_equivalent(other, same)
+    assert quality.results_equivalent(other, other.select("z", *[f"a{i}" for i in range(9)]))
