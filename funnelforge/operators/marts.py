@@ -4,8 +4,9 @@ Shuffle plan (what runs at scale):
 
 * ``fct_events``   two equi-joins on identity keys.  Rows whose key is NULL can
                    never match; they are spread by event id instead of hashing
-                   into a single reducer.  AQE's skew-join split covers hot
-                   non-NULL keys.
+                   into a single reducer.  Hot non-NULL keys are measured by a
+                   sketch and salted on both sides (written tables), else left
+                   to AQE's skew-join split.
 * ``dim_accounts`` first touch = ``min(struct(ts, channel, id))`` per account,
                    an aggregate that is combined map-side (one hot account
                    cannot overload a task).
@@ -22,25 +23,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelforge.functions.semantics import round_half_away, safe_div
-from funnelforge.operators.joins import left_join_spread_nulls
+from funnelforge.operators.joins import hot_keys, left_join_spread_nulls
 
 FCT_EVENT_COLUMNS = ["event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
                      "user_id", "account_id", "is_stitched", "anonymous_id"]
 
 
-def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame) -> DataFrame:
+def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame, measure_hot_keys: bool = False) -> DataFrame:
     """D-F: every non-identify event with identity resolved retroactively.
 
     A pre-signup anonymous event inherits the user its device was later
     identified as (``is_stitched``) and that user's account.
+
+    ``measure_hot_keys`` first measures which devices and users hold many rows (two
+    passes over their id columns) and spreads those over several tasks; it pays where
+    ``stg_events`` is a written table.
     """
     ev = stg_events.filter(F.col("event_name") != "identify").select(
         "event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
         "user_id", "account_id", "anonymous_id")
     m = edges.select("anonymous_id", F.col("user_id").alias("m_user_id"))
-    j1 = left_join_spread_nulls(ev, F.col("anonymous_id"), F.col("event_id"), m, "anonymous_id")
+    devices = hot_keys(ev, F.col("anonymous_id")) if measure_hot_keys else None
+    j1 = left_join_spread_nulls(ev, F.col("anonymous_id"), F.col("event_id"), m, "anonymous_id", devices)
     ua = memberships.select("user_id", F.col("account_id").alias("ua_account_id"))
-    j2 = left_join_spread_nulls(j1, F.coalesce("user_id", "m_user_id"), F.col("event_id"), ua, "user_id")
+    users = None
+    if measure_hot_keys:
+        # users in the data, and those that the hot devices lead to
+        users = hot_keys(ev, F.col("user_id"))
+        led = {r.m_user_id: devices[r.anonymous_id] for r in m.where(F.col("anonymous_id").isin(list(devices))).collect()} if devices else {}
+        users |= {u: max(n, users.get(u, 0)) for u, n in led.items()}  # a row per hot device
+    j2 = left_join_spread_nulls(j1, F.coalesce("user_id", "m_user_id"), F.col("event_id"), ua, "user_id", users)
     return j2.select(
         "event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
         F.coalesce("user_id", "m_user_id").alias("user_id"),

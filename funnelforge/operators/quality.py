@@ -132,6 +132,17 @@ def dq_report(w, checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failing_rows") == 0, "pass").otherwise("fail"))
 
 
+def write_metrics(checks: list[Check]) -> dict[str, "F.Column"]:
+    """Aggregates that answer the NOT NULL checks while a model is written."""
+    return {check_id(c): F.count_if(F.col(c.columns[0]).isNull()) for c in checks if c.kind == "not_null"}
+
+
+def observed_report(checks: list[Check], seen: dict[str, object]) -> list[tuple]:
+    """Report rows of the checks that ``write_metrics`` has answered."""
+    return [(check_id(c), c.kind, c.table, ",".join(c.columns), seen[check_id(c)], "fail" if seen[check_id(c)] else "pass")
+            for c in checks if c.kind == "not_null"]
+
+
 def failures(report: DataFrame) -> DataFrame:
     """Q-5 / triage input: only the failed checks."""
     return report.filter(F.col("status") == "fail")

@@ -101,6 +101,9 @@ def stg_from_parsed(parsed: DataFrame, high_water: Column | None = None) -> Data
     return finish_events(dedup_events(valid))
 
 
+#: Why a document is quarantined: by the staging model, plain and strict.
+FAILURE_REASONS = ["missing_or_invalid_event_ts", "missing_event_name", "event_name_not_string", "no_identity",
+                   "missing_event_id", "unknown_violation"]
 DEAD_LETTER_COLUMNS = ["event_id", "raw_json", "failure_reason", "_loaded_at"]
 
 

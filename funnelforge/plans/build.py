@@ -77,7 +77,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, increme
     root, run = out_root.rstrip("/"), uuid.uuid4().hex[:12]
     checks = (quality.DECLARED_CHECKS if checks is None else checks) if run_checks else []
     res, reports = PipelineResult(), []
-    w = Warehouse(raw, strict_dead_letter=strict_dead_letter)
+    w = Warehouse(raw, strict_dead_letter=strict_dead_letter, measure_hot_keys=True)
     parsed = materialized(staging.parse_events(_events_raw(raw, streamed)), "parsed_events")
     letters = staging.dead_letter_from_parsed(parsed, strict_dead_letter).withColumn("origin", F.lit("batch"))
     if stream_dead_letters is not None:
@@ -85,12 +85,17 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, increme
     w.override("parsed_events", parsed)
     w.override("dead_letter", letters)
 
-    def checked(name: str) -> list[str]:
-        """Run a model's checks; the failed ones."""
+    counts: list[tuple[str, str, int]] = []
+
+    def checked(name: str, seen: dict | None = None) -> list[str]:
+        """Run a model's checks; the failed ones.  What was observed while the model
+        was written (``seen``) is not computed again."""
         own = [c for c in checks if c.model == name]
-        rows = quality.dq_report(w, own).collect() if own else []  # a row per check
+        rows = [] if seen is None else quality.observed_report(own, seen)
+        rest = [c for c in own if seen is None or c.kind != "not_null"]
+        rows += [tuple(r) for r in quality.dq_report(w, rest).collect()] if rest else []  # a row per check
         reports.extend(rows)
-        return [r.check_id for r in rows if r.status == "fail"]
+        return [r[0] for r in rows if r[-1] == "fail"]
 
     blocked: set[str] = set()
     kept: dict[str, str] = {}
@@ -121,19 +126,26 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_root: str, increme
             res.tables[name] = kept[name]
             continue
         path = f"{root}/builds/{run}/{name}"
-        if name == "fct_events":
-            sinks.write_fct_events(w.fct_events, path)
-        else:
-            sinks.full_refresh(getattr(w, name), path)
+        metrics = quality.write_metrics([c for c in checks if c.model == name])
+        if name == "dead_letter":
+            metrics |= {f"reason {r}": F.count_if(F.col("failure_reason") == r) for r in staging.FAILURE_REASONS}
+        write = sinks.write_fct_events if name == "fct_events" else sinks.full_refresh
+        seen = write(getattr(w, name), path, metrics=metrics)
+        counts.append((name, "rows", seen["rows"]))
+        counts += [(name, k, n) for k, n in seen.items() if k.startswith("reason ") and n]
         res.tables[name] = {"path": path}
         w.override(name, _read_table(spark, name, res.tables[name]))
-        if failed := checked(name):
+        if failed := checked(name, seen):
             res.failed_checks += failed
             blocked.add(name)
     if reports:
         path = f"{root}/builds/{run}/dq_report"
         sinks.full_refresh(spark.createDataFrame(reports, quality.REPORT_SCHEMA), path)
         res.tables["dq_report"] = {"path": path}
+    if counts:
+        path = f"{root}/builds/{run}/row_counts"
+        sinks.full_refresh(spark.createDataFrame(counts, "table_name string, what string, row_count long"), path)
+        res.tables["row_counts"] = {"path": path}
     if not blocked:
         tx = SnapshotStore(spark, f"{root}/published").begin()
         tx.values["tables"] = res.tables

@@ -367,6 +367,18 @@ def w7_keyed_records(spark, sf_dir):
     return sinks.keyed_records(testdata.landed_events_raw(spark, sf_dir))
 
 
+@register("st6_ordered_publish", """
+SELECT coalesce(nullif(doc ->> '$.user_id', ''), nullif(doc ->> '$.anonymous_id', ''), '') AS key,
+       count(*) AS n, 0 AS violations FROM event_docs GROUP BY ALL""")
+def st6_ordered_publish(spark, sf_dir):
+    """ST-6 / W-7: records written in each key's order and read back by position: no
+    gap, repeat or swap in any key."""
+    path = scratch_path(spark, "published-records")
+    sinks.ordered_records(testdata.landed_events_raw(spark, sf_dir)).withColumn(
+        "position", F.monotonically_increasing_id()).write.parquet(path)
+    return sinks.order_report(spark.read.parquet(path))
+
+
 # -------------------------------------------------------------- streaming (ST)
 def _land_stream_input(spark, sf_dir) -> str:
     path = scratch_path(spark, "stream-in")
@@ -530,6 +542,30 @@ def st5_routes(spark, sf_dir):
 
 
 # ------------------------------------------- stand-alone joins / aggs / windows
+_HOT_SQL = """
+SELECT * FROM (
+WITH raw_stg AS (SELECT * FROM stg_events),
+     stg_events AS (SELECT * REPLACE (CASE WHEN event_name <> 'identify' AND substr(event_id, 5, 1) IN ('0', '1', '2', '3', '4', '5')
+                                           THEN 'anon_000000000000' ELSE anonymous_id END AS anonymous_id) FROM raw_stg),
+     fct_events AS ({})
+SELECT * FROM fct_events) f"""
+
+
+def _one_device(spark, sf_dir):
+    """Staged events of which a device has more than a third, and the identity tables."""
+    w = _wh(spark, sf_dir)
+    third = (F.col("event_name") != "identify") & F.substring("event_id", 5, 1).isin(*"012345")
+    stg = w.stg_events.withColumn("anonymous_id", F.when(third, testdata.SHARED_DEVICE).otherwise(F.col("anonymous_id")))
+    return stg, w.anon_to_user, w.user_to_account
+
+
+@register("j1_hot_device", _HOT_SQL.format(CTES["fct_events"]))
+def j1_hot_device(spark, sf_dir):
+    """J-1 / J-2: a device (and the user it leads to) holds over a third of all rows;
+    hot keys are measured first and spread over several tasks."""
+    return marts.fct_events(*_one_device(spark, sf_dir), measure_hot_keys=True)
+
+
 @register("a1_account_domain_users", "SELECT account_id, dom AS email_domain, voters AS n_users FROM domain_votes")
 def a1_account_domain_users(spark, sf_dir):
     """A-1: users per (account, email domain)."""

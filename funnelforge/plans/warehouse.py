@@ -27,7 +27,7 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], strict_dead_letter: bool = False,
-                 compat_conflicts: bool = False, materialize: bool | str = False):
+                 compat_conflicts: bool = False, materialize: bool | str = False, measure_hot_keys: bool = False):
         """``materialize=True`` writes ``stg_events`` (four consumers: both
         identity models, fct_events and the quality checks) once to the shared
         checkpoint folder and reads it back, cutting its lineage: downstream
@@ -38,6 +38,7 @@ class Warehouse:
         self.raw = raw
         self.strict_dead_letter = strict_dead_letter
         self.compat_conflicts = compat_conflicts
+        self.measure_hot_keys = measure_hot_keys
         if materialize == "all":
             self._materialize = set(SILVER_TABLES) | set(GOLD_TABLES)
         elif materialize:
@@ -110,7 +111,8 @@ class Warehouse:
     # ---- gold
     @cached_property
     def fct_events(self) -> DataFrame:
-        return self._out("fct_events", marts.fct_events(self.stg_events, self.anon_to_user, self.user_to_account))
+        return self._out("fct_events", marts.fct_events(
+            self.stg_events, self.anon_to_user, self.user_to_account, measure_hot_keys=self.measure_hot_keys))
 
     @cached_property
     def dim_accounts(self) -> DataFrame:

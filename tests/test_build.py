@@ -36,7 +36,13 @@ def test_failed_check_keeps_the_published_tables(spark, tmp_path):
     assert not second.published and second.dq_failures == 1
     assert second.skipped == ["dim_accounts", "fct_revenue_attribution"]
     tables = build.published(spark, root)
-    assert set(tables) == set(SILVER_TABLES) | set(GOLD_TABLES) | {"dq_report"}
+    assert set(tables) == set(SILVER_TABLES) | set(GOLD_TABLES) | {"dq_report", "row_counts"}
+    counted = {r.table_name: r.row_count for r in tables["row_counts"].where("what = 'rows'").collect()}
+    assert counted == {n: df.count() for n, df in tables.items() if n in counted} and len(counted) == 16
+    reasons = {r.what.removeprefix("reason "): r.row_count for r in tables["row_counts"].where("what <> 'rows'").collect()}
+    assert reasons == {r.failure_reason: r["count"] for r in tables["dead_letter"].groupBy("failure_reason").count().collect()}
+    checks = {r.check_id: r.status for r in tables["dq_report"].collect()}
+    assert len(checks) == 21 and set(checks.values()) == {"pass"}
     assert spark.sql("SELECT count(*) FROM fct_revenue_attribution").first()[0] >= 1
 
 
