@@ -45,6 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Before a space that no white space follows a word always starts, and white space
 #: at the end of a stretch has white space or nothing behind it: the words of the
@@ -284,7 +286,7 @@ def _encoded(documents: DataFrame, id_col: str, text_col: str, ranks: str | None
                     columns["decoded"] = pa.array(codec.decode(ids), pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return _texts(documents, id_col, text_col).mapInArrow(run, ENCODED_SCHEMA + (", decoded binary" if decoded else ""))
+    return _texts(documents, id_col, text_col).mapInArrow(common.frugal(run), ENCODED_SCHEMA + (", decoded binary" if decoded else ""))
 
 
 def encode(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None) -> DataFrame:
@@ -307,4 +309,4 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()),
                                                   "decoded": pa.array(codec.decode(ids), pa.binary())})
 
-    return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, DECODED_SCHEMA)
+    return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(common.frugal(run), DECODED_SCHEMA)

@@ -318,7 +318,7 @@ def compare(pairs: DataFrame, docs: DataFrame, speakers: DataFrame, width: int =
     sketched = [speakers.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
                 for s in "ab"]
     bounded = common.stored(pairs.join(sketched[0], "a").join(sketched[1], "b").mapInArrow(
-        _most_shared, "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "pairs")
+        common.frugal(_most_shared), "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "pairs")
     pairs = bounded.where(_similar()).select("a", "b")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     wanted = common.stored(speakers.join(keys, "key").select(
@@ -334,7 +334,7 @@ def compare(pairs: DataFrame, docs: DataFrame, speakers: DataFrame, width: int =
                 .join(text, F.col("b") == text["key"]).select("a", "salt", "b", "text"))
     rows = hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return common.stored(rows.select("a", "b", "text").mapInArrow(
-        _compare(width), "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "overlaps").distinct() \
+        common.frugal(_compare(width)), "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "overlaps").distinct() \
         .unionByName(bounded.where(~_similar()))
 
 
@@ -404,19 +404,19 @@ def _questions(lists: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
 
 
 def join(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class key, component_id."""
+    """One row per document: doc_id, n_shingles, component_id, class key, text_hash."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                             F.col(text_col).alias("text"))
     survey = common.stored(docs.mapInArrow(
-        _survey(width), "doc_id bigint, text_hash bigint, key bigint, n bigint, sketch binary, is_doc boolean"), "survey")
+        common.frugal(_survey(width)), "doc_id bigint, text_hash bigint, key bigint, n bigint, sketch binary, is_doc boolean"), "survey")
     members = survey.where("is_doc").select("doc_id", "text_hash", "key", "n", "sketch")
     labels = _labels(spark, docs, members, survey.where("NOT is_doc").select(F.col("key").alias("token"), "n"), width)
     labelled = members.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = labelled.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return (labelled.join(least, "comp", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "key"))
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "key", "text_hash"))
 
 
 def _sized() -> Column:
@@ -467,6 +467,27 @@ def _open_members(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
 
+def _few(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Open member pairs of open hub pairs with at most FEW_PAIRS member pairs.  A hub's
+    members, FEW_PAIRS at most, come along as one array, and pairs that the bound rules
+    out are never made into rows."""
+    asked = pairs.select(F.col("a").alias("hub")).unionByName(pairs.select(F.col("b").alias("hub"))).distinct()
+    packs = (kept.join(asked, "hub").groupBy("hub").agg(F.collect_list(F.struct(
+        F.col("key"), F.col("n").alias("m"), F.col("shared").alias("inside"), (F.col("n") - F.col("shared")).alias("out"))).alias("members")))
+    packed = [packs.select(F.col("hub").alias(s), F.col("members").alias(f"members_{s}")) for s in "ab"]
+
+    def alive(x: Column, y: Column) -> Column:
+        """Members x of a and y of b that may be similar, and are not both hubs."""
+        shared = F.col("shared")
+        return (~((x["key"] == F.col("a")) & (y["key"] == F.col("b")))
+                & enough(F.least(y["inside"], shared + x["out"]) + y["out"], x["m"], y["m"])
+                & enough(F.least(x["inside"], shared + y["out"]) + x["out"], x["m"], y["m"]))
+
+    found = F.flatten(F.transform("members_a", lambda x: F.transform(
+        F.filter("members_b", lambda y: alive(x, y)), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b")))))
+    return pairs.join(packed[0], "a").join(packed[1], "b").select(F.inline(found))
+
+
 def _many(pairs: DataFrame, h: DataFrame, g: DataFrame, spread: DataFrame) -> DataFrame:
     """Open member pairs of open hub pairs with many members: parts of at most
     about SALT_ROWS members meet, each member is sent once to a part."""
@@ -489,10 +510,11 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
     tokens = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     ordered = spark.sparkContext.broadcast((tokens[order], top.column("n").to_numpy()[order]))
-    rows = docs.select("text").mapInArrow(_prefixes(width, ordered), "token bigint, key bigint, n int, pos int")
+    rows = docs.select("text").mapInArrow(common.frugal(_prefixes(width, ordered)), "token bigint, key bigint, n int, pos int")
     lists = common.stored(
         rows.repartition("token").sortWithinPartitions("token", "n", "key", "pos")
-        .mapInArrow(_shared_rows, "token bigint, key bigint, n int, pos int"), "lists")
+        .mapInArrow(common.frugal(_shared_rows), "token bigint, key bigint, n int, pos int"), "lists")
+    common.give_back(spark)  # the texts have been read; what follows is smaller
     sizes = common.stored(lists.groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("rows")), "class-sizes")
     # one document speaks for its class
     speakers = common.stored(
@@ -559,11 +581,7 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
     h, g = (kept.select(F.col("hub").alias(s), F.col("key").alias(f"key_{s}"), F.col("n").alias(f"m_{s}"),
                         F.col("shared").alias(f"in_{s}"), (F.col("n") - F.col("shared")).alias(f"out_{s}"),
                         F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    few = (open_.where("NOT many").join(h.drop("sketch_a"), "a").join(g.drop("sketch_b"), "b")
-           .where(~((F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b")))
-                  & enough(F.least("in_b", F.col("shared") + F.col("out_a")) + F.col("out_b"), F.col("m_a"), F.col("m_b"))
-                  & enough(F.least("in_a", F.col("shared") + F.col("out_b")) + F.col("out_a"), F.col("m_a"), F.col("m_b")))
-           .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+    few = _few(open_.where("NOT many"), kept)
     inner = few.unionByName(_many(open_.where("many"), h, g, spread)).distinct()
     within = compare(inner, docs, speakers, width)
     return _merged(comps, within.where(_similar()).select("a", "b"))
@@ -573,7 +591,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id; columns as they
     were.  Of rows with equal id and text one stays; rows without id stay."""
     joined = common.stored(join(documents), "components")
-    out = common.without(documents, joined.where("doc_id IS NOT NULL AND doc_id <> component_id"))
+    others = joined.where("doc_id IS NOT NULL AND doc_id <> component_id")
+    out = common.without(documents, others.select(common.row_key(text_hash=F.col("text_hash")).alias("row_key")))
     repeated = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return out

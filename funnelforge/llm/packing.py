@@ -97,7 +97,7 @@ def pieces(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(encode, PIECE_SCHEMA + (", ids array<bigint>" if with_ids else ""))
+    return docs.mapInArrow(common.frugal(encode), PIECE_SCHEMA + (", ids array<bigint>" if with_ids else ""))
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
@@ -213,7 +213,7 @@ def pack(cut_pieces: DataFrame, *, size: int = SIZE) -> DataFrame:
                                              [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema)
-    return numbered.mapInArrow(place, schema + ", sequence_id bigint, offset bigint")
+    return numbered.mapInArrow(common.frugal(place), schema + ", sequence_id bigint, offset bigint")
 
 
 def pack_documents(documents: DataFrame, **options) -> DataFrame:
