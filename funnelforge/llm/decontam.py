@@ -3,14 +3,17 @@
 The corpus is indexed by shards: each Arrow batch of documents becomes one row
 holding the sorted posting lists (word positions) of the terms that benchmark
 items use.  Words outside that vocabulary can never take part in a match, so
-their postings are left out.  The index is written once, the document counts
-of its terms are summed over all shards, and every shard then intersects
-offset-adjusted lists, starting from the rarest terms of each window.
-
-The benchmark is the stated query set.  It is split into blocks of at most
-``block_bytes`` of text; each block is searched against all shards, so any
-benchmark size works.  A word takes two bytes of text at least and a window
-under 300 bytes of memory, so 150 times the block bounds what is broadcast.
+their postings are left out.  The index is written once for the words of the whole
+benchmark, the document counts of its terms are summed over all shards, and every
+shard then intersects offset-adjusted lists, starting from the rarest terms of each
+window.
+
+The benchmark is the stated query set.  Long items are cut into pieces that share
+``window - 1`` words, so a window lies whole in one; equal pieces are one.  The pieces
+are split into blocks of about ``block_bytes`` of text; each block is searched against
+all shards of the one index, so any benchmark size works.  A word takes two bytes of
+text at least and a window under 300 bytes of memory, so twice 150 times the block
+bounds what is broadcast; the vocabulary is checked against ``VOCABULARY_BYTES``.
 
 Defined results: null or wordless text has no words and no hits; an item
 without words has no window; repeated documents or items each count as given;
@@ -33,12 +36,15 @@ WINDOW = 10
 SLOP = 2
 NEAR_TERMS = 8
 BLOCK_BYTES = 2 << 20
-SHARD_DOCS = 4000
+#: Words of a piece of an item.
+PIECE_WORDS = 5_000
+VOCABULARY_BYTES = 256 << 20
+SHARD_DOCS = 1000
 
 INDEX_SCHEMA = ("doc_ids array<bigint>, starts array<bigint>, terms array<int>, "
                 "offsets array<int>, positions array<int>")
 HIT_SCHEMA = ("doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-              "contaminated boolean, n_near_items bigint")
+              "contaminated boolean, n_near_items bigint, near_items array<string>")
 
 
 def windows_of(words: list, size: int) -> list[tuple]:
@@ -48,18 +54,21 @@ def windows_of(words: list, size: int) -> list[tuple]:
     return [tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
+def pieces_of(words: list[bytes], size: int) -> list[bytes]:
+    """A text's words in pieces that hold each window of ``size`` words whole."""
+    step = max(1, PIECE_WORDS - size + 1)
+    starts = range(0, max(1, len(words) - size + 1), step)
+    return [b" ".join(words[i:i + step + size - 1]) for i in starts] if words else []
+
+
 class QueryBlock:
-    """Vocabulary and windows of one block of benchmark items."""
+    """Windows of one block of benchmark pieces."""
 
-    def __init__(self, items: list[tuple[str, bytes]], size: int):
-        self.vocabulary: dict[bytes, int] = {}
+    def __init__(self, items: list[tuple[str, bytes]], size: int, vocabulary: dict[bytes, int]):
         self.items: list[str] = []
         by_window: dict[tuple, set[int]] = {}
         for item_id, text in items:
-            words = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in common.alnum_words(text)]
-            if not words:
-                continue
-            for w in windows_of(words, size):
+            for w in windows_of([vocabulary[x] for x in text.split()], size):
                 by_window.setdefault(w, set()).add(len(self.items))
             self.items.append(item_id)
         self.windows = [(w, sorted(by_window[w])) for w in sorted(by_window)]
@@ -159,50 +168,67 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, *, id_col: st
                        near_terms: int = NEAR_TERMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: words, words hit by benchmark windows, items found.
 
-    ``n_near_items`` counts items of which a window has at least ``near_terms``
+    ``near_items`` (and their number) are those of which a window has at least ``near_terms``
     words within ``slop`` words of their places (exact matches included).
     """
     spark = documents.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"),
-                             F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("body"))
-    total = items.agg(F.sum(F.length("body") + 64)).first()[0] or 0
-    n_blocks = max(1, -(-total // block_bytes))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(item, piece) for item, text in zip(batch.column(0).to_pylist(), common.byte_texts(batch.column(1)))
+                    for piece in pieces_of(common.alnum_words(text), window)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())],
+                                             ["item", "body"])
+
+    pieces = common.stored(items.mapInArrow(common.frugal(cut), "item string, body binary").distinct(), "benchmark-pieces")
+    words = common.stored(pieces.select(F.explode(F.split(F.decode("body", "UTF-8"), " ")).alias("word")).distinct(), "benchmark-words")
+    size = words.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0
+    if size > VOCABULARY_BYTES:
+        raise ValueError(f"benchmark vocabulary: {size} bytes exceed the bound of {VOCABULARY_BYTES}")
+    vocabulary = {r.word.encode(): i for i, r in enumerate(words.orderBy("word").collect())}
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = [_search_block(spark, docs, items.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == b),
-                           window, slop, near_terms, 150 * block_bytes) for b in range(n_blocks)]
+    index = _index(spark, docs, vocabulary)
+    per_term = index.where("size(terms) > 0").select(F.expr(
+        "explode(transform(terms, (t, i) -> struct(t AS term, offsets[i + 1] - offsets[i] AS n)))").alias("x"))
+    counts = {r.term: r.n for r in per_term.groupBy("x.term").agg(F.sum("x.n").alias("n")).collect()}  # a row per word
+    total = pieces.agg(F.sum(F.octet_length("body") + 64)).first()[0] or 0
+    n_blocks = max(1, -(-total // block_bytes))
+    parts = []
+    for b in range(n_blocks):
+        rows = [(r.item, bytes(r.body)) for r in pieces.where(F.pmod(F.xxhash64("item", "body"), F.lit(n_blocks)) == b).collect()]
+        block = QueryBlock(rows, window, vocabulary)  # about block_bytes of text
+        block.order(counts)
+        parts.append(_search(spark, index, block, slop, near_terms, 300 * block_bytes))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    if n_blocks > 1:  # a document's row number tells repeated ids apart
+    if n_blocks > 1:  # a document's place in the stored index tells repeated ids apart
         found = found.groupBy("shard", "place").agg(
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.flatten(F.collect_list("ranges")).alias("ranges"), F.flatten(F.collect_list("items")).alias("items"),
             F.flatten(F.collect_list("near_items")).alias("near_items"))
-    return found.mapInArrow(_summarise, HIT_SCHEMA)
+    return found.mapInArrow(common.frugal(_summarise), HIT_SCHEMA)
 
 
-def _search_block(spark, docs: DataFrame, items: DataFrame, window: int, slop: int, near_terms: int,
-                  limit: int) -> DataFrame:
-    rows = [(r.item, bytes(r.body)) for r in items.collect()]  # at most one block of text
-    block = QueryBlock(rows, window)
-    vocabulary = common.broadcast_checked(spark, block.vocabulary, sum(len(w) + 64 for w in block.vocabulary),
-                                          limit, "benchmark vocabulary")
+def _index(spark, docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """The positional index of the corpus, written once."""
+    sent = common.broadcast_checked(spark, vocabulary, sum(len(w) + 64 for w in vocabulary), VOCABULARY_BYTES, "benchmark vocabulary")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, SHARD_DOCS):
                 part = batch.slice(at, SHARD_DOCS)
-                shard = index_shard(part.column(0).to_pylist(), common.byte_texts(part.column(1)), vocabulary.value)
+                shard = index_shard(part.column(0).to_pylist(), common.byte_texts(part.column(1)), known)
                 yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.list_(
                     pa.int64() if k in ("doc_ids", "starts") else pa.int32())) for k, v in shard.items()})
 
-    index = common.stored(docs.mapInArrow(build, INDEX_SCHEMA).withColumn("shard", F.monotonically_increasing_id()),
-                          "positional-index")
-    per_term = index.where("size(terms) > 0").select(F.expr(
-        "explode(transform(terms, (t, i) -> struct(t AS term, offsets[i + 1] - offsets[i] AS n)))").alias("x"))
-    counts = {r.term: r.n for r in per_term.groupBy("x.term").agg(F.sum("x.n").alias("n")).collect()}
-    block.order(counts)
-    block.vocabulary = {}
+    return common.stored(docs.mapInArrow(common.frugal(build), INDEX_SCHEMA).withColumn("shard", F.monotonically_increasing_id()),
+                         "positional-index")
+
+
+def _search(spark, index: DataFrame, block: QueryBlock, slop: int, near_terms: int, limit: int) -> DataFrame:
     queries = common.broadcast_checked(spark, block, sum(16 * len(w) + 128 for w, _ in block.windows),
                                        limit, "benchmark windows")
 
@@ -223,7 +249,7 @@ def _search_block(spark, docs: DataFrame, items: DataFrame, window: int, slop: i
                     "items": pa.array([name(s) for s in exact], pa.list_(pa.string())),
                     "near_items": pa.array([name(a | b) for a, b in zip(exact, close)], pa.list_(pa.string()))})
 
-    return index.mapInArrow(search, "doc_id bigint, shard bigint, place bigint, n_words bigint, "
+    return index.mapInArrow(common.frugal(search), "doc_id bigint, shard bigint, place bigint, n_words bigint, "
                                     "ranges array<array<bigint>>, items array<string>, near_items array<string>")
 
 
@@ -236,9 +262,12 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "n_items": pa.array(map(len, items), pa.int64()),
             "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items],
             "contaminated": pa.array([h > 0 for h in hit], pa.bool_()),
-            "n_near_items": pa.array([len(set(x)) for x in batch.column("near_items").to_pylist()], pa.int64())})
+            "n_near_items": pa.array([len(set(x)) for x in batch.column("near_items").to_pylist()], pa.int64()),
+            "near_items": pa.array([sorted(set(x)) for x in batch.column("near_items").to_pylist()], pa.list_(pa.string()))})
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark window; columns as they were."""
-    return common.without(documents, find_contamination(documents, benchmark).where("contaminated"))
+    keyed = documents.select(common.row_key().alias("row_key"), "text")
+    found = find_contamination(keyed, benchmark, id_col="row_key").where("contaminated")
+    return common.without(documents, found.select(F.col("doc_id").alias("row_key")))

@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
-    return language_id.identify(_table(spark, sf_dir, "documents"))
+    return language_id.identify(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the similarity of their word 5-grams."""
-    return jaccard_join.join(_table(spark, sf_dir, "documents")).drop("key")
+    return jaccard_join.join(_table(spark, sf_dir, "documents")).drop("key", "text_hash")
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 10 words found in every document."""
     found = decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.drop("n_near_items")
+    return found.drop("n_near_items", "near_items")
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

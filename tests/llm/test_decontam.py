@@ -38,11 +38,11 @@ def test_equals_brute_force(frame):
              (44, "a1 " * 5000 + items[8][1]), (None, "zz zz")]
     got = decontam.find_contamination(
         frame([(a, b, "extra") for a, b in docs], "doc_id bigint, text string, item string"),
-        frame(items, "item_id bigint, text string")).drop("n_near_items").collect()
+        frame(items, "item_id bigint, text string")).drop("n_near_items", "near_items").collect()
     assert sorted(map(tuple, got), key=repr) == brute(docs, items)
     blocks = decontam.find_contamination(frame(docs, "doc_id bigint, text string"),
                                          frame(items, "item_id bigint, text string"), block_bytes=150)
-    assert sorted(map(tuple, blocks.drop("n_near_items").collect()), key=repr) == brute(docs, items)
+    assert sorted(map(tuple, blocks.drop("n_near_items", "near_items").collect()), key=repr) == brute(docs, items)
 
 
 def test_empty_tables_and_proximity(frame):
@@ -52,6 +52,16 @@ def test_empty_tables_and_proximity(frame):
     assert {r.n_hit for r in decontam.find_contamination(docs, none).collect()} == {0}
     item = frame([(5, "one two three four five six seven eight nine ten")], "item_id bigint, text string")
     assert decontam.find_contamination(frame([], "doc_id bigint, text string"), item).collect() == []
-    got = {r.doc_id: (r.n_hit, r.n_near_items) for r in decontam.find_contamination(docs, item).collect()}
-    assert got == {1: (10, 1), 2: (0, 1)}
+    got = {r.doc_id: (r.n_hit, r.n_near_items, r.near_items) for r in decontam.find_contamination(docs, item).collect()}
+    assert got == {1: (10, 1, ["5"]), 2: (0, 1, ["5"])}
     assert [r.doc_id for r in decontam.drop_contaminated(docs, item).collect()] == [2]
+
+
+def test_long_and_repeated_items_over_many_blocks(frame, monkeypatch):
+    monkeypatch.setattr(decontam, "PIECE_WORDS", 25)
+    rnd = random.Random(6)
+    body = [f"w{rnd.randrange(400)}" for _ in range(300)]
+    items = [(1, " ".join(body))] * 5 + [(1, "another text of one and the same item id here"), (2, " ".join(body[100:111]))]
+    docs = [(i, " ".join(body[i * 7:i * 7 + 5 + i])) for i in range(40)] + [(7, " ".join(body))] * 2
+    got = decontam.find_contamination(frame(docs, "doc_id bigint, text string"), frame(items, "item_id bigint, text string"), block_bytes=300)
+    assert sorted(map(tuple, got.drop("n_near_items", "near_items").collect()), key=repr) == brute(docs, items)
