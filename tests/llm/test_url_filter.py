@@ -48,6 +48,70 @@ def test_template_learns_from_labelled_urls(frame):
     assert by["/page/one"] == by["/page/two"] == {(False, "allow")}
 
 
+def test_unlabelled_branches_join_their_like(frame):
+    """Branches with the same shapes below them share labels; others don't."""
+    urls = [f"http://s.net/{lang}/{y}-0{m}/story-{m}.html" for lang in ("es", "fr", "de", "it") for y in (2020, 2021) for m in range(1, 8)]
+    urls += [f"http://s.net/shop/{i}" for i in range(30)] + ["http://s.net/about"]
+    got = uf.judge(frame(list(enumerate(urls)), "page_id bigint, url string")).collect()
+    verdicts = {r.path.split("/")[1]: (r.rule, r.verdict, r.purity is not None) for r in got}
+    assert verdicts == {"es": ("net/es/", "block", True), "fr": ("net/fr/", "block", True), "de": (None, "block", True),
+                        "it": (None, "block", True), "shop": (None, "allow", False), "about": (None, "allow", False)}
+    assert {r.branch for r in got} == {"/{}/<date>/{}", "/shop/<num>", "/about"}
+
+
+def test_tree_merge_and_purity_equal_a_plain_version(frame):
+    rnd = random.Random(9)
+    urls = sorted({f"http://h{rnd.randint(0, 2)}.net/{rnd.choice(['es', 'fr', 'de', 'x', 'y'])}/"
+                   + "/".join(rnd.choice(["a", "b", "7", "2020-01", "c.html", ""]) for _ in range(rnd.randint(0, 3))) for _ in range(400)})
+    got = {(r.host, r.path): (r.branch, r.purity) for r in uf.judge(frame(list(enumerate(urls)), "page_id bigint, url string")).collect()}
+    want = plain_tree([u.split("://")[1] for u in urls])
+    assert set(got) == set(want)
+    for key, (template, purity) in want.items():
+        assert got[key][0] == template and (purity is None) == (got[key][1] is None), key
+        assert purity is None or abs(purity - got[key][1]) < 1e-9
+
+
+def plain_tree(urls):
+    """(host, path) -> (template, purity), by loops over one level after another."""
+    from collections import Counter, defaultdict
+
+    rows = {}
+    for u in urls:
+        host, path = u[:u.index("/")], u[u.index("/"):]
+        segs = ["<num>" if s == "7" else "<date>" if s == "2020-01" else s for s in path[1:].split("/")]
+        label = 1 if path.startswith(("/es/", "/fr/")) else None
+        rows[host, path] = [segs, "", label]
+    for d in range(max(len(r[0]) for r in rows.values())):
+        below = defaultdict(Counter)
+        for (host, _), (segs, t, _) in rows.items():
+            if d < len(segs) and not segs[d].startswith("<"):
+                shape = "/".join(s if s.startswith("<") else "w" + (s[s.rindex("."):] if "." in s else "") for s in segs[d + 1:])
+                below[host, t, segs[d]][shape] += 1
+        alike = set()
+        for node in {k[:2] for k in below}:
+            kids = {k: c for k, c in below.items() if k[:2] == node}
+            assert len(kids) < uf.MANY_CHILDREN
+            pool = sum(kids.values(), Counter())
+            total, df = sum(pool.values()), len(pool) - 1
+            like = []
+            for k, c in kids.items():
+                n = sum(c.values())
+                chi = sum((c[s] - n * p / total) ** 2 / (n * p / total) for s, p in pool.items())
+                most = df * (1 - 2 / (9 * df) + uf.ALIKE * (2 / (9 * df)) ** 0.5) ** 3 if df else 1e-6
+                like += [k] if chi <= most else []
+            alike |= set(like) if len(like) > 1 else set()
+        for (host, _), r in rows.items():
+            if d < len(r[0]):
+                r[1] += "/{}" if (host, r[1], r[0][d]) in alike else "/" + r[0][d]
+    marks = [r[2] for r in rows.values() if r[2] is not None]
+    prior = sum(marks) / len(marks)
+    by = defaultdict(list)
+    for (host, _), (_, t, label) in rows.items():
+        by[host, t] += [] if label is None else [label]
+    return {k: (r[1], (sum(by[k[0], r[1]]) + uf.PRIOR_WEIGHT * prior) / (len(by[k[0], r[1]]) + uf.PRIOR_WEIGHT) if by[k[0], r[1]] else None)
+            for k, r in rows.items()}
+
+
 def test_variable_segments_whatever_repeats(frame):
     rnd = random.Random(4)
     names = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(100)]
