@@ -173,7 +173,7 @@ def scan(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     counted = (docs.select("text").mapInArrow(frequencies, "word binary, n bigint").groupBy("word")
                .agg(F.sum("n").alias("n")).collect()) if vocabulary else []  # a row per template word
-    index = spark.sparkContext.broadcast(TemplateIndex(templates, {bytes(r.word): r.n for r in counted}, containment))
+    index = common.Sent(spark, TemplateIndex(templates, {bytes(r.word): r.n for r in counted}, containment))
     phrases = [(f" {p} ".encode(), label) for p, label in PHRASES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,19 +186,21 @@ def scan(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                 matches, named = [], set()
                 if not join.leads.isdisjoint(words):
                     starts = line_starts(text)
-                    in_line: dict[int, list[tuple[int, int]]] = {}  # of a template: the words of its blocks
+                    in_line: dict[int, bytearray] = {}  # of a template: marks of the words of its blocks
                     for line, at, block in blocks(text, reach):
                         if found := join.join(block):
                             matches += [{"label": join.labels[t], "line": line, "word": at, "containment": c}
                                         for t, c in found]
                             named |= join.leading(block, found)
                             for t, _ in found:
-                                in_line.setdefault(t, []).append((starts[line] + at, starts[line] + at + len(block)))
+                                first = starts[line] + at
+                                in_line.setdefault(t, bytearray(len(words)))[first:first + len(block)] = b"\1" * len(block)
                     for line, at, first, block in wrapped_blocks(words, starts, reach):
                         if found := join.join(block):
                             new = []
                             for t, c in found:
-                                rest = [w for i, w in enumerate(block, first) if not any(a <= i < b for a, b in in_line.get(t, ()))]
+                                marks = in_line.get(t)
+                                rest = block if marks is None else [w for w, m in zip(block, marks[first:first + len(block)]) if not m]
                                 if len(rest) == len(block) or t in dict(join.join(rest)):
                                     new.append((t, c))
                             matches += [{"label": join.labels[t], "line": line, "word": at, "containment": c}
