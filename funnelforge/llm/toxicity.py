@@ -15,8 +15,8 @@ of score S in a text of n words is expected K n exp(-lambda S) times by chance.
 The evidence of a text is the summed excess of its significant segments; its
 score is the isotonic share of toxic training texts at that evidence.
 
-Identical texts teach once.  The terms kept are at most ``max_terms`` (the
-documented bound of the fitted classifier); counts cover all training rows.
+Identical texts teach once.  All significant terms are kept, whatever their number;
+it is checked against ``TERM_BYTES`` before they are gathered.
 
 Defined results: null, empty or wordless text has no passage and the lowest
 score; without toxic or without clean training rows every score is 0; labels
@@ -41,7 +41,9 @@ SHORTEST, LONGEST = 4, 8
 WHOLE = "\x03"
 PRIOR = 0.05
 MIN_WEIGHT, MIN_Z, MIN_SUPPORT = 1.0, 3.0, 3
-MAX_TERMS = 300_000
+#: Terms are held by every task: so many bytes at most, 80 a term.  Beyond that the
+#: fit ends with an error; it never goes on with a part of the terms.
+TERM_BYTES = 256 << 20
 DRIFT = 0.3
 CLIP = 8.0
 EXPECTED = 0.05
@@ -139,7 +141,15 @@ def _with_labels(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
     return docs.join(side, docs["doc_id"] == side["label_id"]).drop("label_id")
 
 
-def fit_lexicon(labelled: DataFrame, *, prior: float = PRIOR, max_terms: int = MAX_TERMS,
+def _all_terms(terms: DataFrame, before: int = 0) -> list:
+    """All rows of ``terms``, after checking their number against ``TERM_BYTES``."""
+    n = before + terms.count()
+    if 80 * n > TERM_BYTES:
+        raise ValueError(f"{n} terms exceed the bound of {TERM_BYTES // 80}")
+    return terms.collect()
+
+
+def fit_lexicon(labelled: DataFrame, *, prior: float = PRIOR,
                 drift: float = DRIFT) -> tuple[Lexicon, float] | None:
     """The term weights, and lambda, from rows (toxic 0/1, text)."""
     words = common.stored(labelled.select("toxic", "text")
@@ -156,18 +166,16 @@ def fit_lexicon(labelled: DataFrame, *, prior: float = PRIOR, max_terms: int = M
     own1, own0 = F.col("toxic") + alpha * (n1 / (n0 + n1)), F.col("clean") + alpha * (n0 / (n0 + n1))
     all1, all0 = n1 + prior * n1, n0 + prior * n0
     weight = F.log(own1 / F.greatest(F.lit(all1) - own1, F.lit(0.5))) - F.log(own0 / F.greatest(F.lit(all0) - own0, F.lit(0.5)))
-    weighed = common.stored(terms.select("term", (F.col("clean") + F.col("toxic")).alias("support"), weight.alias("weight"),
+    weighed = common.stored(terms.select("term", weight.alias("weight"),
                                          (weight / F.sqrt(1 / own1 + 1 / own0)).alias("z")), "term-weights")
-    strong = weighed.where((F.col("weight") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "term")
-    weights = {r.term: r.weight for r in strong.limit(max_terms).collect()}
+    strong = weighed.where((F.col("weight") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z)).select("term", "weight")
+    weights = {r.term: r.weight for r in _all_terms(strong)}
     lead = weighed.sparkSession.createDataFrame(
         [(t,) for t in sorted(weights) if not t.endswith(WHOLE)], "lead string")
     # longer terms under a strong beginning speak for themselves
-    inner = (weighed.select("term", "weight", "support", F.explode(_terms("term")).alias("lead"))
-             .join(lead, "lead", "left_semi").groupBy("term").agg(F.first("weight").alias("weight"),
-                                                                  F.first("support").alias("support"))
-             .orderBy(F.desc("support"), "term").limit(max_terms))
-    for r in inner.collect():
+    inner = (weighed.select("term", "weight", F.explode(_terms("term")).alias("lead"))
+             .join(lead, "lead", "left_semi").groupBy("term").agg(F.first("weight").alias("weight")))
+    for r in _all_terms(inner, len(weights)):
         weights.setdefault(r.term, r.weight)
     lexicon = Lexicon(weights, drift)
     return lexicon, _lambda(words, lexicon)
@@ -179,9 +187,10 @@ def _lambda(words: DataFrame, lexicon: Lexicon) -> float:
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        own = shared.value
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[round(10 * shared.value.word(word.encode()))] += n
+                counts[round(10 * own.word(word.encode()))] += n
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())],
                                          ["s", "n"])
 
@@ -207,7 +216,8 @@ def find_segments(docs: DataFrame, lexicon: Lexicon | None) -> DataFrame:
     shared = common.broadcast_checked(docs.sparkSession, lexicon, size, 256 << 20, "term weights")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _Scores(shared.value) if shared.value else None
+        own_lexicon = shared.value
+        scores = _Scores(own_lexicon) if own_lexicon else None
         for batch in batches:
             n_words, best, found = [], [], []
             for text in common.byte_texts(batch.column("text")):
