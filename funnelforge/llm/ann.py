@@ -247,15 +247,16 @@ def _search_dimension(reps: DataFrame, queries: DataFrame, index: Index, k: int,
     spark = reps.sparkSession
     sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(n_sample).select("vector").toArrow()  # a bounded sample
     index.fit_to(_vectors(sample.column("vector").combine_chunks(), index.dim), n_queries, k, target)
-    shared = spark.sparkContext.broadcast(index)
+    shared = common.Sent(spark, index)
     dim, n_tables = index.dim, index.tables
 
     def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
         for batch in batches:
             x = _vectors(batch.column("vector"), dim)
             for t in range(n_tables):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array(shared.value.buckets(x, t)), batch.column("rep"),
+                    [pa.array(np.full(len(x), t, np.int32)), pa.array(own.buckets(x, t)), batch.column("rep"),
                      batch.column("vector")], ["t", "bucket", "rep", "vector"])
 
     indexed = common.stored(reps.select("rep", "vector").mapInArrow(insert, "t int, bucket bigint, rep bigint, vector array<double>"), "index")
@@ -267,20 +268,19 @@ def _search_dimension(reps: DataFrame, queries: DataFrame, index: Index, k: int,
     large = {(r.t, r.bucket): r.parts for r in wide.collect()}  # at most a row per block of the index
     own_blocks = spark.sparkContext.broadcast(large)
     asked = reps.join(queries.select("rep").distinct(), "rep", "left_semi")
-    groups = max(1, math.ceil(asked.count() / group_queries))
 
     def block_of(bucket, part):
         return n_blocks + bucket % (1 << 30) * 1024 + part  # both sides: numbers or columns
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = own_blocks.value
+        split, index = own_blocks.value, shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, TOGETHER):
                 batch = whole.slice(at, TOGETHER)
                 q = _vectors(batch.column("vector"), dim)
                 rows: list[tuple] = []
                 for t in range(n_tables):
-                    for i, visits in enumerate(shared.value.visits(q, t)):
+                    for i, visits in enumerate(index.visits(q, t)):
                         blocks: dict[int, list[int]] = {}
                         for bucket, home in zip(visits.tolist(), (visits % n_blocks).tolist()):
                             parts = split.get((t, bucket))
@@ -293,13 +293,16 @@ def _search_dimension(reps: DataFrame, queries: DataFrame, index: Index, k: int,
                      batch.column("vector").take(pa.array(i_)), pa.array(own, pa.list_(pa.int64()))],
                     ["t", "block", "query", "vector", "buckets"])
 
-    asks = (asked.select("rep", "vector").mapInArrow(
-        probe, "t int, block bigint, query bigint, vector array<double>, buckets array<bigint>")
-        .withColumn("part", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")))
+    asks = common.stored(asked.select("rep", "vector").mapInArrow(
+        probe, "t int, block bigint, query bigint, vector array<double>, buckets array<bigint>"), "asks")
+    # a block meets the queries that ask for it: in parts where they are many
+    busy = asks.groupBy("t", "block").agg(F.ceil(F.count("*") / F.lit(group_queries)).cast("int").alias("parts_asked"))
+    asks = (asks.join(busy.where("parts_asked > 1"), ["t", "block"], "left")
+            .withColumn("part", F.coalesce(F.pmod(F.xxhash64("query"), F.col("parts_asked")).cast("int"), F.lit(0))))
     block = F.when(F.col("parts").isNull(), F.pmod("bucket", F.lit(n_blocks))).otherwise(
         block_of(F.pmod("bucket", F.lit(1 << 30)), F.pmod(F.xxhash64("rep"), F.col("parts"))))
     rows = (indexed.join(wide, ["t", "bucket"], "left").withColumn("block", block.cast("long"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
+            .join(busy, ["t", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts_asked") - 1))))
     keys = ["t", "block", "part"]
     return (rows.select(*keys, "bucket", "rep", "vector").groupBy(*keys)
             .cogroup(asks.select(*keys, "query", "vector", "buckets").groupBy(*keys))
