@@ -39,7 +39,7 @@ BLOCK_BYTES = 2 << 20
 #: Words of a piece of an item.
 PIECE_WORDS = 5_000
 VOCABULARY_BYTES = 256 << 20
-SHARD_DOCS = 1000
+SHARD_DOCS = 4000
 
 INDEX_SCHEMA = ("doc_ids array<bigint>, starts array<bigint>, terms array<int>, "
                 "offsets array<int>, positions array<int>")
@@ -217,12 +217,20 @@ def _index(spark, docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, SHARD_DOCS):
-                part = batch.slice(at, SHARD_DOCS)
-                shard = index_shard(part.column(0).to_pylist(), common.byte_texts(part.column(1)), known)
-                yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.list_(
-                    pa.int64() if k in ("doc_ids", "starts") else pa.int32())) for k, v in shard.items()})
+        ids, texts = [], []
+
+        def shard() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({k: pa.array([v], pa.list_(
+                pa.int64() if k in ("doc_ids", "starts") else pa.int32())) for k, v in index_shard(ids, texts, known).items()})
+
+        for batch in batches:  # a shard is searched for all windows, so it spans several batches
+            ids += batch.column(0).to_pylist()
+            texts += common.byte_texts(batch.column(1))
+            if len(ids) >= SHARD_DOCS:
+                yield shard()
+                ids, texts = [], []
+        if ids:
+            yield shard()
 
     return common.stored(docs.mapInArrow(common.frugal(build), INDEX_SCHEMA).withColumn("shard", F.monotonically_increasing_id()),
                          "positional-index")
