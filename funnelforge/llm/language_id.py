@@ -7,8 +7,9 @@ word is read as ``start c1 .. ck end`` and each symbol is predicted from up to
 Kneser-Ney model is estimated from the highest-order counts; lower orders use
 continuation counts.  All languages share one sorted array of n-gram hashes
 with a row of log-probabilities and back-off weights per language, found by
-binary search.  The order is the highest whose tables fit ``model_bytes``, so
-the broadcast is bounded at any corpus size.
+binary search.  The order is the same at any corpus size; the tables grow with
+the distinct n-grams, far slower than the texts, and models above the broadcast
+bound are an error, never coarser models.
 
 A text's cross-entropy in bits a symbol is taken over all its words; the
 language with the lowest wins (ties: first name).  A text is rejected if it
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from . import common
 
 ORDER = 5
-MODEL_BYTES = 256 << 20
+#: Models are sent to all tasks up to this size.
+SENT_BYTES = 512 << 20
 REJECT_Z = 10.0
 #: Symbols of evidence that count towards the score.
 EVIDENCE = 20
@@ -294,8 +296,10 @@ class _Words(dict):
         self.new = []
 
 
-def train(labelled: DataFrame, *, order: int = ORDER, model_bytes: int = MODEL_BYTES) -> Model | None:
-    """Fit the models on all rows (lang, text) of ``labelled``; None without rows."""
+def train(labelled: DataFrame, *, order: int = ORDER, model_bytes: int | None = None) -> Model | None:
+    """Fit the models on all rows (lang, text) of ``labelled``; None without rows.
+    The order is the one asked for, unless a caller sets ``model_bytes``: then it is
+    the highest up to ``order`` whose tables surely fit."""
     words = (labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
              .mapInArrow(common.frugal(_count_words), "lang string, word string, n bigint")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -306,16 +310,16 @@ def train(labelled: DataFrame, *, order: int = ORDER, model_bytes: int = MODEL_B
         if not size.n:
             return None
         # a gram stands for at most one new gram of each lower order
-        if order == 1 or size.n * order * (8 + 8 * size.langs) <= model_bytes:
+        if model_bytes is None or order == 1 or size.n * order * (8 + 8 * size.langs) <= model_bytes:
             break
         order -= 1
         grams = grams.groupBy("lang", F.expr(f"right(gram, {order})").alias("gram")).agg(F.sum("n").alias("n"))
     fitted = grams.groupBy("lang").applyInPandas(_estimate(order), "lang string, size int, hash bigint, context bigint, shorter bigint, "
                                                            "logp double, backoff double")
-    return Model(fitted.toArrow(), order)  # at most model_bytes
+    return Model(fitted.toArrow(), order)  # as large as the models that are sent
 
 
-def score(documents: DataFrame, model: Model | None, *, text_col: str = "text", limit: int = 2 * MODEL_BYTES,
+def score(documents: DataFrame, model: Model | None, *, text_col: str = "text", limit: int = SENT_BYTES,
           evidence: int = EVIDENCE) -> DataFrame:
     """Every column of ``documents`` but the text, with ``lang_pred``, ``score``,
     ``bits`` (a symbol) and ``symbols``."""

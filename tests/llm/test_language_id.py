@@ -77,3 +77,10 @@ def test_order_follows_the_size_bound(frame):
     docs = frame([(1, "some words there", "en"), (2, "andere worte dort", "de")], "doc_id bigint, text string, lang string")
     assert lid.train(docs, order=4).order == 4
     assert lid.train(docs, order=4, model_bytes=2500).order < 4
+
+
+def test_order_is_the_same_at_any_size(frame):
+    """So many languages and n-grams once lowered the order."""
+    docs = frame([(i, " ".join(EN + DE), f"l{i:03}") for i in range(350)], "doc_id bigint, text string, lang string")
+    model = lid.train(docs)
+    assert model.order == lid.ORDER and len(model.languages) == 350
