@@ -85,3 +85,59 @@ def test_every_document_leaves_by_one_route(spark, tmp_path):
     drain("b.json", [event(1, received="2025-01-10T06:00:00Z"), event(4, received="2025-01-20T00:00:00Z"), "{"])
     routes = found()
     assert len(routes) == 8 and ("late", 1) in routes and ("late", 4) in routes and ("undedupable", 0) in routes
+
+
+def test_state_is_asked_per_group_not_per_document():
+    from pyspark.sql import Row
+
+    class State:
+        def __init__(self):
+            self.rows, self.timers, self.calls = [], [], 0
+
+        def getListState(self, name, schema):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return iter(self.rows)
+
+        def appendList(self, rows):
+            self.calls += 1
+            self.rows = self.rows + rows
+
+        def put(self, rows):
+            self.calls += 1
+            self.rows = list(rows)
+
+        def clear(self):
+            self.calls += 1
+            self.rows = []
+
+        def registerTimer(self, at):
+            self.calls += 1
+            self.timers.append(at)
+
+    class At:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+
+    hour, state = 3_600_000, State()
+    first = ingest.KeepFirst(hour)
+    first.init(state)
+
+    def routes(watermark, rows):
+        return [r.route for r in first.handleInputRows((0,), (Row(event_id=i, raw_json="x", wm_ms=t, failure_reason=None) for i, t in rows), At(watermark))]
+
+    got = routes(0, [(f"e{k % 500}", 1 + k * hour) for k in range(1000)])
+    assert got == ["accepted"] * 500 + ["duplicate"] * 500 and state.calls == 3
+    assert state.timers == [2 * hour]
+    list(first.handleExpiredTimer((0,), At(100 * hour), At(2 * hour)))  # ids of the first 99 hours go
+    assert len(state.rows) == 401 and state.timers[-1] == 101 * hour
+    assert routes(100 * hour, [("e0", 101 * hour), ("e499", 101 * hour), ("e1", 100 * hour)]) == ["accepted", "duplicate", "late"]
+    list(first.handleExpiredTimer((0,), At(9999 * hour), At(101 * hour)))
+    assert state.rows == []
