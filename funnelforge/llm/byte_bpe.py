@@ -16,8 +16,8 @@ one rank follow each other anyway and both queries agree; the second takes as ma
 steps as there are ranks in a word, not as there are bytes.  It stops every
 ``STEPS`` steps and goes on from its last state, so what it holds is bounded.
 
-Decoding joins (text, position, id) rows to the vocabulary and aggregates the
-tokens' bytes by position.
+Decoding joins (text, position, id) rows to the vocabulary, sorts by position and
+aggregates the tokens' bytes in that order.
 
 Which code points are letters, digits or white space differs between releases of
 Unicode, so the letters and digits are asked from the tiktoken library once, on the
@@ -25,7 +25,7 @@ driver, and sent along as ranges.
 
 Nothing is shuffled: texts are encoded where they are read, a text with a third of
 all bytes is one row like any other, and the words remembered by a task are
-bounded (forgotten words are encoded again).
+bounded (beyond that it keeps those in use; forgotten words are encoded again).
 
 Defined results: null and empty texts have no ids and decode to nothing; special
 tokens' names in a text are ordinary text; repeated rows are encoded as often as
@@ -58,7 +58,8 @@ SHORT = 64
 STEPS = 16
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 3_000_000
-#: Words and stretches that a task remembers; beyond that they are forgotten.
+#: Words and stretches that a task remembers; beyond that all but those of the texts at
+#: hand are forgotten.
 REMEMBERED = 400_000
 ENCODED_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
 DECODED_SCHEMA = "doc_id bigint, decoded binary"
@@ -95,8 +96,11 @@ WITH RECURSIVE state AS (
   WHERE NOT gone)
 SELECT word, pos, token, done FROM state WHERE done OR step = {STEPS} ORDER BY word, pos"""
 
+#: One thread aggregates the rows in the order they come in.  A token's bytes are kept
+#: as the characters of the same numbers.
 _DECODE = """
-SELECT text, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes FROM tokens JOIN vocabulary USING (id) GROUP BY text"""
+SELECT text, string_agg(chars, '') AS bytes
+FROM (SELECT text, chars FROM tokens JOIN vocabulary USING (id) ORDER BY pos) GROUP BY text"""
 
 
 def _ranges(points: list[int]) -> str:
@@ -165,7 +169,7 @@ class Codec:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._table("merges", {"pair": (left << 32) | right, "id": merged.astype(np.int32)})
         self._table("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int64()),
-                                   "hex": [t.hex() for t in self.ranks]})
+                                   "chars": [t.decode("latin-1") for t in self.ranks]})
         self.known: dict[str, bytes] = {}  # ids of words, and of stretches of several words
 
     def _table(self, name: str, columns: dict) -> None:
@@ -225,10 +229,11 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         cut = [self.cut(t) for t in texts]
-        new = set().union(*cut).difference(self.known)
+        asked = set().union(*cut)
+        if len(self.known) > REMEMBERED:  # frequent ones are among those asked for now
+            self.known = {s: self.known[s] for s in asked.intersection(self.known)}
+        new = asked.difference(self.known)
         if self.differs("".join(new)):
             several = {s: self.exact(s) for s in new}
         else:  # letters alone, after a space or not, are one word
@@ -249,7 +254,7 @@ class Codec:
                                               "pos": np.arange(len(flat)), "id": flat}))
         found = dict(self.con.sql(_DECODE).fetchall()) if len(flat) else {}
         self.con.unregister("tokens")
-        return [found.get(k, b"") for k in range(len(ids))]
+        return [found.get(k, "").encode("latin-1") for k in range(len(ids))]
 
 
 def _groups(batch: pa.RecordBatch, value) -> Iterator[tuple[list, list]]:

@@ -104,3 +104,17 @@ def test_query_equals_library(spark, library):
         data = b"".join(i.to_bytes(4, "little") for i in ids)
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(data).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_words_in_use_are_not_forgotten(library, monkeypatch):
+    """A full memory keeps the words of the texts at hand: they are encoded once."""
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 4)
+    codec = byte_bpe.Codec(byte_bpe.word_patterns())
+    learnt, learn = [], codec._learn
+    monkeypatch.setattr(codec, "_learn", lambda words: (learnt.extend(w := list(words)), learn(w)))
+    for k in range(3):
+        text = f"qzxv wvkq qqzj zzkx jjqv xx{'abc'[k] * 5}yq"
+        assert ids_of(codec.encode([text])[0]) == library.encode_ordinary(text)
+    assert sorted(learnt.count(w) for w in set(learnt)) == [1] * len(set(learnt))
+    texts = ["\x00\x80\xff é日🙂 \n", "", "a\x00b" * 500]
+    assert codec.decode(codec.encode(texts)) == [t.encode() for t in texts]
