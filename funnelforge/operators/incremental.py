@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from funnelforge.operators import identity, marts, staging
 from funnelforge.session import scratch_path
-from funnelforge.sources.snapshots import Snapshot, SnapshotStore, Transaction, partition_name
+from funnelforge.sources.snapshots import CODEC, Snapshot, SnapshotStore, Transaction, partition_name
 
 LOOKBACK = "INTERVAL 3 DAYS"
 FLOOR = "TIMESTAMP_NTZ'1900-01-01 00:00:00'"
 DAY = "received_day"
 BUCKET = "bucket"
+#: What identify rows claim.
+CLAIM_COLUMNS = ["event_name", "anonymous_id", "user_id", "account_id", "email", "event_ts"]
 #: Buckets of the tables kept by device or user.
 BUCKETS = 32
 
@@ -123,7 +125,7 @@ class EventTable:
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- one run
@@ -155,7 +157,7 @@ class EventTable:
             tx.write("quarantine", excluded_rows(parsed, F.expr(FLOOR)).where("false").withColumn("batch", F.lit(batch)), "batch")
         else:
             tx.write("quarantine", excluded_rows(parsed, mark).withColumn("batch", F.lit(batch)), "batch")
-            replaced = self._stage(table.join(fresh.select("event_id"), "event_id", "left_semi"), "replaced-events")
+            replaced = self._stage(self._replaceable(table).join(fresh.select("event_id"), "event_id", "left_semi"), "replaced-events")
             days, held = set(_names(fresh, DAY)), set(base.partitions("stg_events"))
             touched = sorted(days & held | set(_names(replaced, DAY)))
             done.new_days, done.rewritten_days = sorted(days - held), touched
@@ -182,6 +184,14 @@ class EventTable:
         done.snapshot = tx.commit()
         return done
 
+    def _replaceable(self, table: DataFrame) -> DataFrame:
+        """What a run asks of the table's rows by id: their days and, with ``facts``, what
+        identify rows claim.  The whole table is dealt by id, so nothing else goes along."""
+        if not self.facts:
+            return table.select("event_id", DAY)
+        claim = F.col("event_name") == "identify"
+        return table.select("event_id", DAY, *[F.when(claim, F.col(c)).alias(c) for c in CLAIM_COLUMNS])
+
     # ---- stitching
     def _claims(self, tx: Transaction, base: Snapshot, table: str, key: str, columns: list[str], fresh: DataFrame,
                 gone: DataFrame | None) -> list[str]:
@@ -243,14 +253,16 @@ class EventTable:
                     .unionByName(now.read("user_days").join(users, "user_id", "left_semi").select(DAY)))
         days = sorted(batch_days | set(_names(key_days, DAY)))
         stg = now.read("stg_events", days)
-        touched = (fresh.select("event_id")
-                   .unionByName(stg.join(asked, "anonymous_id", "left_semi").select("event_id"))
-                   .unionByName(stg.join(users, "user_id", "left_semi").select("event_id")).distinct())
-        touched = self._stage(touched, "events-to-stitch")
-        again = stg.join(touched, "event_id", "left_semi")
-        own_day = again.select("event_id", DAY)
-        stitched = marts.fct_events(again, edges, now.read("user_to_account").select("user_id", "account_id")).join(own_day, "event_id")
-        before = base.read("fct_events", days)
+        if gone is None:  # the first run: every event is new
+            again = stg
+        else:
+            touched = (fresh.select("event_id")
+                       .unionByName(stg.join(asked, "anonymous_id", "left_semi").select("event_id"))
+                       .unionByName(stg.join(users, "user_id", "left_semi").select("event_id")).distinct())
+            touched = self._stage(touched, "events-to-stitch")
+            again = stg.join(touched, "event_id", "left_semi")
+        stitched = marts.fct_events(again, edges, now.read("user_to_account").select("user_id", "account_id"), keep=[DAY])
+        before = None if gone is None else base.read("fct_events", days)
         if before is not None:
             stitched = before.join(touched, "event_id", "left_anti").unionByName(stitched)
         tx.drop("fct_events", days)

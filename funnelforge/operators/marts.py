@@ -19,6 +19,8 @@ Shuffle plan (what runs at scale):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ FCT_EVENT_COLUMNS = ["event_id", "event_name", "event_ts", "device_type", "page"
                      "user_id", "account_id", "is_stitched", "anonymous_id"]
 
 
-def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame, measure_hot_keys: bool = False) -> DataFrame:
+def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame, measure_hot_keys: bool = False,
+               keep: Sequence[str] = ()) -> DataFrame:
     """D-F: every non-identify event with identity resolved retroactively.
 
     A pre-signup anonymous event inherits the user its device was later
@@ -37,11 +40,11 @@ def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame,
 
     ``measure_hot_keys`` first measures which devices and users hold many rows (two
     passes over their id columns) and spreads those over several tasks; it pays where
-    ``stg_events`` is a written table.
+    ``stg_events`` is a written table.  ``keep`` names further columns to go along.
     """
     ev = stg_events.filter(F.col("event_name") != "identify").select(
         "event_id", "event_name", "event_ts", "device_type", "page", "utm_source",
-        "user_id", "account_id", "anonymous_id")
+        "user_id", "account_id", "anonymous_id", *keep)
     m = edges.select("anonymous_id", F.col("user_id").alias("m_user_id"))
     devices = hot_keys(ev, F.col("anonymous_id")) if measure_hot_keys else None
     j1 = left_join_spread_nulls(ev, F.col("anonymous_id"), F.col("event_id"), m, "anonymous_id", devices)
@@ -58,7 +61,7 @@ def fct_events(stg_events: DataFrame, edges: DataFrame, memberships: DataFrame,
         F.coalesce("user_id", "m_user_id").alias("user_id"),
         F.coalesce("account_id", "ua_account_id").alias("account_id"),
         (F.col("user_id").isNull() & F.col("m_user_id").isNotNull()).alias("is_stitched"),
-        "anonymous_id")
+        "anonymous_id", *keep)
 
 
 def first_touch(fct: DataFrame) -> DataFrame:

@@ -134,3 +134,24 @@ def test_empty_batch_and_rows_without_receive_time(raw_events, spark, tmp_path):
     assert table.current().count() == 2
     assert [r.failure_reason for r in table.quarantine().collect()] == ["missing_received_ts"]
     assert staging.stg_events(raw_events([])).count() == 0
+
+
+@pytest.mark.parametrize("facts", [False, True])
+def test_a_run_asks_the_table_for_few_columns_by_id(spark, tmp_path, raw_events, monkeypatch, facts):
+    """The whole table is dealt by id to find replaced rows: just ids, days and claims."""
+    table = incremental.EventTable(spark, str(tmp_path / "t"), facts)
+    table.apply(raw_events(events(random.Random(1), 20, 1, 0)), "1")
+    stage, staged = table._stage, {}
+
+    def staging_noted(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(table, "_stage", staging_noted)
+    table.apply(raw_events(events(random.Random(2), 20, 2, 10)), "2")
+    rows = staged["replaced-events"]
+    assert rows.count() > 0
+    assert rows.columns == ["event_id", incremental.DAY, *(incremental.CLAIM_COLUMNS if facts else [])]
+    if facts:
+        assert rows.where("event_name IS NULL AND email IS NOT NULL OR event_name <> 'identify'").count() == 0
+        assert sorted(table.fct_events().collect(), key=str) == sorted(facts_of(table.current()).collect(), key=str)
