@@ -60,6 +60,8 @@ FIRST_MET = 0.05
 TURNS, ASKED = 1, 4
 #: Members that one task compares with a copy of their hub, about.
 SALT_ROWS = 500
+#: Likeliest open pairs of a member that are compared before all of them.
+LIKELY = 2
 #: Hub pairs with more member pairs than this compare their members in parts.
 FEW_PAIRS = 64
 #: Words a task keeps hashes of.
@@ -388,7 +390,9 @@ def _questions(lists: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
     """A few pairs (a, b) for every component that shares many lists with another:
     in each list some member of it with some member of the list's main component."""
     pick = F.struct(F.xxhash64("key", "token", F.lit(turn)).alias("h"), "key", "n")
-    parts = (lists.join(comps, "key").groupBy("token", "comp").agg(F.count("*").alias("rows"), F.min(pick).alias("own")))
+    # dealt by token once, for all that follows per list
+    parts = (lists.join(comps, "key").repartition("token").groupBy("token", "comp")
+             .agg(F.count("*").alias("rows"), F.min(pick).alias("own")))
     main = parts.groupBy("token").agg(F.max(F.struct("rows", "comp", "own")).alias("main"), F.count("*").alias("comps"))
     asks = (parts.join(main.where("comps > 1"), "token").where("comp <> main.comp")
             .select("token", F.col("comp").alias("u"), F.col("main.comp").alias("v"), F.col("own.key").alias("b"),
@@ -434,9 +438,18 @@ def _sided(df: DataFrame, key: str, side: str) -> DataFrame:
     return df.select(*[F.col(c) if c == key else F.col(c).alias(f"{c}_{side}") for c in df.columns])
 
 
-def _open_members(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a part of one hub's members with a part of others' that neither
-    the hubs' overlap nor the bitmaps rule out."""
+def _open_members(likely: int | None):
+    """Pairs of a part of one hub's members with a part of others' that neither the
+    hubs' overlap nor the bitmaps rule out; of those of each of the others only so
+    many whose bitmaps leave most in common, if ``likely`` is given."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _open_pairs(left, right, likely)
+
+    return run
+
+
+def _open_pairs(left: pd.DataFrame, right: pd.DataFrame, likely: int | None) -> pd.DataFrame:
     out_a, out_b = [], []
     if len(left) and len(right):
         keys, m, inside, out = (left[c].to_numpy() for c in ("key_a", "m_a", "in_a", "out_a"))
@@ -450,6 +463,7 @@ def _open_members(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             most = np.minimum(np.minimum(z.in_b, shared + out) + z.out_b, np.minimum(inside, shared + z.out_b) + out)
             alive = most * (NEED + OF) >= (m + z.m_b) * NEED
             sketch = np.frombuffer(z.sketch_b, np.uint8)
+            open_, common_ = [], []
             for n, (own, rows) in by_size.items():
                 own_alive = alive[own]
                 if not own_alive.any():
@@ -461,9 +475,14 @@ def _open_members(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
                 elif len(x) < n:
                     rows = np.bitwise_or.reduce(rows.reshape(len(rows), -1, len(x)), axis=1)
                 apart = np.bitwise_count(rows ^ x).sum(axis=1, dtype=np.int64)
-                found = own[apart * (OF + NEED) <= (m[own] + z.m_b) * (OF - NEED)]
-                out_a += keys[found].tolist()
-                out_b += [z.key_b] * len(found)
+                fits = apart * (OF + NEED) <= (m[own] + z.m_b) * (OF - NEED)
+                open_.append(own[fits])
+                common_.append((m[own] + z.m_b - apart)[fits] / (m[own] + z.m_b)[fits])
+            found = np.concatenate(open_) if open_ else np.empty(0, np.int64)
+            if likely is not None and len(found) > likely:
+                found = found[np.argsort(-np.concatenate(common_), kind="stable")[:likely]]
+            out_a += keys[found].tolist()
+            out_b += [z.key_b] * len(found)
     return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
 
@@ -488,9 +507,10 @@ def _few(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return pairs.join(packed[0], "a").join(packed[1], "b").select(F.inline(found))
 
 
-def _many(pairs: DataFrame, h: DataFrame, g: DataFrame, spread: DataFrame) -> DataFrame:
+def _many(pairs: DataFrame, h: DataFrame, g: DataFrame, spread: DataFrame, likely: int | None = None) -> DataFrame:
     """Open member pairs of open hub pairs with many members: parts of at most
-    about SALT_ROWS members meet, each member is sent once to a part."""
+    about SALT_ROWS members meet, each member is sent once to a part.  With
+    ``likely``, so many for each member of the smaller side in a part."""
     parts = spread.select(F.col("hub").alias("a"), F.ceil(F.col("members") / SALT_ROWS).cast("int").alias("parts"))
     asking = pairs.join(g, "b")
     salts = asking.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")).join(parts, "a")
@@ -501,7 +521,7 @@ def _many(pairs: DataFrame, h: DataFrame, g: DataFrame, spread: DataFrame) -> Da
     on = ["a", "part", "salt"]
     return (left.select(*on, "key_a", "m_a", "in_a", "out_a", "sketch_a").groupBy(*on)
             .cogroup(right.select(*on, "key_b", "m_b", "in_b", "out_b", "shared", "sketch_b").groupBy(*on))
-            .applyInPandas(_open_members, "a bigint, b bigint"))
+            .applyInPandas(_open_members(likely), "a bigint, b bigint"))
 
 
 def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: DataFrame, width: int) -> DataFrame:
@@ -522,7 +542,7 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
         .select("key", "row.*"), "speakers")
 
     # first answers: of the classes that lead its lists (those listed most often), that which a class meets most
-    led = lists.join(sizes.select("key", "rows"), "key")
+    led = lists.join(sizes.select("key", "rows"), "key").repartition("token")
     leader = led.groupBy("token").agg(F.max(F.struct("rows", "key", "n")).alias("lead"))
     met = (led.join(leader, "token").where((F.col("lead.key") != F.col("key"))
                                            & enough(F.least("n", "lead.n"), F.col("n"), F.col("lead.n")))
@@ -530,6 +550,7 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
     near = (met.where(F.col("lists") >= F.col("n") * FIRST_MET).groupBy("b")
             .agg(F.max(F.struct("lists", "a")).alias("most")).select("most.a", "b"))
     hubs = common.stored(_hubs(compare(near, docs, speakers, width), sizes), "hubs")
+    common.give_back(spark)  # here and below: what was shuffled so far is not read again
     comps = hubs.select("key", "comp")
     for turn in range(TURNS):
         answers = compare(_questions(lists, comps, turn), docs, speakers, width)
@@ -545,7 +566,8 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
               .withColumn("x", F.min("comp").over(one)).withColumn("y", F.max("comp").over(one)).where("x <> y"))
     placed = common.stored(placed.groupBy("token", "comp", "hub").agg(
         F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most")), "blocks")
-    by_comp = placed.groupBy("token", "comp").agg(*[f(c).alias(c) for f, c in (
+    common.give_back(spark)
+    by_comp = placed.repartition("token").groupBy("token", "comp").agg(*[f(c).alias(c) for f, c in (
         (F.max, "rest"), (F.min, "least"), (F.max, "most"))])
     left, right = (_sided(by_comp, "token", s) for s in "ab")
     met = common.stored(left.join(right, "token").where((F.col("comp_a") < F.col("comp_b")) & _sized() & _reach())
@@ -565,6 +587,7 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
                 .select(F.least("hub_a", "hub_b").alias("a"), F.greatest("hub_a", "hub_b").alias("b")).distinct())
     asked = compare(meetings.select("a", "b"), docs, speakers, width)
     comps = _merged(comps, asked.where(_similar()).select("a", "b"))
+    common.give_back(spark)
 
     # members that the hubs' overlap leaves open
     bounds = [spread.select(F.col("hub").alias(s), F.col("apart").alias(f"apart_{s}"), F.col("least").alias(f"least_{s}"),
@@ -581,9 +604,13 @@ def _labels(spark: SparkSession, docs: DataFrame, members: DataFrame, repeats: D
     h, g = (kept.select(F.col("hub").alias(s), F.col("key").alias(f"key_{s}"), F.col("n").alias(f"m_{s}"),
                         F.col("shared").alias(f"in_{s}"), (F.col("n") - F.col("shared")).alias(f"out_{s}"),
                         F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    few = _few(open_.where("NOT many"), kept)
-    inner = few.unionByName(_many(open_.where("many"), h, g, spread)).distinct()
-    within = compare(inner, docs, speakers, width)
+    # where many members are open, the likeliest pairs may join the components; the others are then not needed
+    likeliest = compare(_many(open_.where("many"), h, g, spread, LIKELY).distinct(), docs, speakers, width)
+    comps = _merged(comps, likeliest.where(_similar()).select("a", "b"))
+    left = _apart(open_, comps).select(*open_.columns)
+    few = _few(left.where("NOT many"), kept)
+    inner = few.unionByName(_many(left.where("many"), h, g, spread)).distinct()
+    within = compare(inner.join(likeliest.select("a", "b"), ["a", "b"], "left_anti"), docs, speakers, width)
     return _merged(comps, within.where(_similar()).select("a", "b"))
 
 

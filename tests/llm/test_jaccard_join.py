@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -138,3 +139,28 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(205, 203), (203, 204)]
     got = {r.key: r.comp for r in jj.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 203: 203, 204: 203, 205: 203}
+
+
+def test_likeliest_open_members():
+    """So many pairs for each of the smaller side, those with most in common; without a
+    number all that may be similar."""
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(150)]
+    shingle = jj.Shingler(5)
+    hub = shingle(" ".join(words).encode())
+    sides = []
+    for s, n in (("a", 60), ("b", 20)):
+        own = [shingle(t.encode()) for t in near_copies(rnd, words, n, 8)]
+        inside = [jj.overlap(hub, x) for x in own]
+        sides.append(pd.DataFrame({f"key_{s}": range(n), f"m_{s}": [len(x) for x in own], f"in_{s}": inside,
+                                   f"out_{s}": [len(x) - i for x, i in zip(own, inside)], f"sketch_{s}": [jj.signature(x) for x in own]}))
+        sides[-1].attrs["sets"] = own
+    left, right = sides
+    right["shared"] = len(hub)
+    every, few = jj._open_members(None)(left, right), jj._open_members(2)(left, right)
+    a, b = left.attrs["sets"], right.attrs["sets"]
+    similar = {(i, j) for i in range(60) for j in range(20) if 175 * jj.overlap(a[i], b[j]) >= 75 * (len(a[i]) + len(b[j]))}
+    every, few = set(zip(every.a, every.b)), set(zip(few.a, few.b))
+    assert similar <= every and few <= every and len(few) == sum(min(2, sum(j == k for _, j in every)) for k in range(20))
+    apart = {(i, j): jj.least_difference(left.sketch_a[i], right.sketch_b[j]) / (left.m_a[i] + right.m_b[j]) for i, j in every}
+    assert all(apart[x] <= apart[y] for x in few for y in every - few if x[1] == y[1])
